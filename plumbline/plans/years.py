@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,28 +43,33 @@ def city_year_table(
     *,
     home_state: str,
     agency: str,
-    order: list[str],
+    orders: dict[str, list[str]],
     repeat_rows: bool = True,
 ) -> DataFrame:
     """City spine with every metric whose source is given, in job order.
 
+    ``sources['claim_zips']`` gives the claims a zip lookup of their own.
+    ``orders`` names the row order of the sources that need one: federal
+    surplus, the donees of the state surplus, and certified businesses.
+
     The employers of 21-22 are joined as a full outer join, so their cities
     that the spine lacks stay in the table.
     """
     s = sources
+    claim_refs = replace(refs, zips=s["claim_zips"]) if "claim_zips" in s else refs
     jobs: list[tuple[str, Callable[[], DataFrame]]] = [
         ("circuits", lambda: city.internet_circuits(s["circuits"], refs, year)),
         ("phones", lambda: city.phone_charges(*s["phones"], refs, year)),
-        ("claims", lambda: city.health_claims(s["claims"], refs, year)),
+        ("claims", lambda: city.health_claims(s["claims"], claim_refs, year)),
         ("fleet", lambda: city.fleet(s["fleet"], refs, year)),
         ("prisons", lambda: city.private_prisons(*s["prisons"])),
-        ("federal_surplus", lambda: city.federal_surplus(s["federal_surplus"], refs, year, order=order)),
+        ("federal_surplus", lambda: city.federal_surplus(s["federal_surplus"], refs, year, order=orders.get("federal_surplus"))),
         (
             "state_surplus",
-            lambda: city.state_surplus(s["state_surplus"], refs, year, bridge=s.get("donees"), order=order),
+            lambda: city.state_surplus(s["state_surplus"], refs, year, bridge=s.get("donees"), order=orders.get("donees")),
         ),
         ("marketplace", lambda: city.marketplace(s["marketplace"], refs, year, home_state=home_state)),
-        ("certified", lambda: city.certified_businesses(s["certified"], refs, year, order=order)),
+        ("certified", lambda: city.certified_businesses(s["certified"], refs, year, order=orders["certified"])),
         ("positions", lambda: city.positions(s["positions"], refs, year)),
         ("residences", lambda: city.employee_residences(s["residences"], refs, year)),
         ("temporary", lambda: city.temporary_staff(s["temporary"], refs, year)),

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-import decimal
-import math
 from collections import Counter
 
 import duckdb
@@ -19,26 +16,29 @@ def connect(sf: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def _value(v):
-    if isinstance(v, float):
-        return "nan" if math.isnan(v) else v
-    if isinstance(v, (decimal.Decimal, dt.date)):
-        return f"{type(v).__name__}:{v}"
-    return v
+# Types both engines must agree on; widths of integers count.
+KINDS = {
+    "BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "DATE": "date",
+    "BOOLEAN": "boolean", "TIMESTAMP": "timestamp", "\"NULL\"": "void",
+}
 
 
 def _rows(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
-    return sorted(columns), Counter(tuple(_value(r[i]) for i in order) for r in rows)
+    return Counter(tuple(r[i] for i in order) for r in rows)
 
 
 def difference(df, con, sql) -> str | None:
-    """None if equal, else a short report."""
-    got_columns, got = _rows(df.columns, df.collect())
+    """None if rows, names and types are equal, else a short report."""
     result = con.execute(sql)
-    want_columns, want = _rows([d[0] for d in result.description], result.fetchall())
-    if got_columns != want_columns:
-        return f"columns {got_columns} != {want_columns}"
+    want_types = {d[0]: KINDS.get(str(d[1]), str(d[1]).lower()) for d in result.description}
+    got_types = {f.name: f.dataType.simpleString().replace("_ntz", "") for f in df.schema}
+    if got_types != want_types:
+        return f"schema {sorted(set(got_types.items()) ^ set(want_types.items()))}"
+    got = _rows(df.columns, df.collect())
+    want = _rows(list(want_types), result.fetchall())
+    if not want:
+        return "no rows to compare"
     if got != want:
         extra, missing = got - want, want - got
         return (
