@@ -55,7 +55,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     rows = fact(spark, sf, "medical_retiree").drop("fy")
-    return joins.enrich(fact(spark, sf, "customer_zips"), rows, "zip", "zip")
+    return joins.enrich_lookup(fact(spark, sf, "customer_zips"), rows, "zip", "zip")
 
 
 @add(
@@ -86,6 +86,19 @@ def _(spark, sf):
     return joins.outer_join_nullsafe(*sides, "zip")
 
 
+RAW_OUTER = " FULL OUTER JOIN ".join(f"(SELECT zip, enrollee AS {n} FROM {n}) {n[:9]}" for n in ("medical_retiree", "pharmacy_retiree"))
+
+
+@add(
+    "outer_join_of_raw_rows_with_hot_keys", "D5",
+    f"""{ctes('medical_retiree', 'pharmacy_retiree')} SELECT coalesce(medical_r.zip, pharmacy_.zip) AS zip, medical_retiree, pharmacy_retiree
+    FROM {RAW_OUTER} ON medical_r.zip IS NOT DISTINCT FROM pharmacy_.zip""",
+)
+def _(spark, sf):
+    sides = [fact(spark, sf, n).select("zip", F.col("enrollee").alias(n)) for n in ("medical_retiree", "pharmacy_retiree")]
+    return joins.outer_join_nullsafe(*sides, "zip", skewed=True)
+
+
 def _total(name, out):
     return f"{out} AS (SELECT zip, CAST(enrollee AS decimal(18,2)) + CAST(dependents AS decimal(18,2)) AS {out} FROM {name})"
 

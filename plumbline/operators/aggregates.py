@@ -25,6 +25,9 @@ def _agg(source: str, fn: str, order: list[str] | None) -> Column:
     if fn == "money":
         # exact in any task order; double only at the end
         return F.coalesce(F.sum(c.cast(MONEY)), F.lit(0)).cast("double")
+    if fn == "exact":
+        # sums that are decimals already, too wide for the money type
+        return F.coalesce(F.sum(c), F.lit(0)).cast("double")
     if fn == "count":
         return F.count(c)
     if fn == "nunique":
@@ -53,6 +56,12 @@ def aggregate(
     return df.filter(present).groupBy(*names).agg(*_exprs(spec, order))
 
 
+def pre_sum(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Exact sums per key ahead of a lookup on that key, so that the lookup
+    sees one row per key. Null keys and null sums stay."""
+    return df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in columns])
+
+
 def metric_sum(df: DataFrame, key: str, columns: list[str], *, money: bool = True) -> DataFrame:
     return aggregate(df, [key], {c: (c, "money" if money else "sum") for c in columns})
 
@@ -78,7 +87,7 @@ def rollup_via(
     The lookup sees one row per fine key. ``spec`` may only hold sums.
     """
     per_fine = aggregate(fact, [fine], spec)
-    keys = dim.select(F.col(dim_key).alias(fine), F.col(coarse))
+    keys = dim.select(F.col(dim_key).alias(fine), coarse)
     again = {name: (name, fn) for name, (_, fn) in spec.items()}
     return aggregate(per_fine.join(keys, fine, "left"), [coarse], again)
 

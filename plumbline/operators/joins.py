@@ -22,18 +22,29 @@ def attach_metric(spine: DataFrame, metric: DataFrame, key: str, how: str = "lef
     return outer_join_nullsafe(spine, metric, key)
 
 
-def outer_join_nullsafe(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Full outer join in which null keys match each other."""
+def outer_join_nullsafe(left: DataFrame, right: DataFrame, key: str, *, skewed: bool = False) -> DataFrame:
+    """Full outer join in which null keys match each other.
+
+    A full outer join cannot split a hot key between tasks. With ``skewed``
+    it runs as an inner join and two anti joins, which can, at the price of
+    reading both sides twice; for sides that are grouped by key it is not
+    needed.
+    """
     r = _renamed(right, key, "_rkey")
-    joined = left.join(r, F.col(key).eqNullSafe(F.col("_rkey")), "full_outer")
-    return joined.withColumn(key, F.coalesce(F.col(key), F.col("_rkey"))).drop("_rkey")
+    same = F.col(key).eqNullSafe(F.col("_rkey"))
+    if not skewed:
+        joined = left.join(r, same, "full_outer")
+        return joined.withColumn(key, F.coalesce(F.col(key), F.col("_rkey"))).drop("_rkey")
+    matched = left.join(r, same, "inner").drop("_rkey")
+    left_only, right_only = anti_join(left, right, key), anti_join(right, left, key)
+    return matched.unionByName(left_only, allowMissingColumns=True).unionByName(right_only, allowMissingColumns=True)
 
 
 def enrich(fact: DataFrame, dim: DataFrame, left_key: str, right_key: str, *, null_safe: bool = True) -> DataFrame:
     """Left join on keys of different names; both key columns stay unless
     they share a name. Dimension columns the fact already has are not taken.
 
-    With the sides swapped this keeps dimension rows that have no fact.
+    A hot key is on the left side, whose rows adaptive execution can split.
     """
     taken = [c for c in dim.columns if c != right_key and c not in fact.columns]
     d = dim.select(F.col(right_key).alias("_rkey"), *taken)
@@ -44,6 +55,20 @@ def enrich(fact: DataFrame, dim: DataFrame, left_key: str, right_key: str, *, nu
     return out.withColumnRenamed("_rkey", right_key)
 
 
+def enrich_lookup(dim: DataFrame, fact: DataFrame, dim_key: str, fact_key: str) -> DataFrame:
+    """All lookup rows with their facts; a row without facts stays, with nulls.
+
+    A left join led by the lookup could neither broadcast it nor split a hot
+    fact key, so matches come from an inner join, which can do both, and the
+    rest from an anti join against the distinct fact keys.
+    """
+    f = _renamed(fact, fact_key, "_fkey")
+    f = f.select("_fkey", *[c for c in f.columns if c != "_fkey" and c not in dim.columns])
+    matched = dim.join(f, F.col(dim_key).eqNullSafe(F.col("_fkey")), "inner").drop("_fkey")
+    keys = fact.select(F.col(fact_key).alias(dim_key)).distinct()
+    return matched.unionByName(anti_join(dim, keys, dim_key), allowMissingColumns=True)
+
+
 def anti_join(a: DataFrame, b: DataFrame, on: str) -> DataFrame:
     """Rows of ``a`` whose key ``b`` lacks. A null key counts as any other."""
     keys = b.select(F.col(on).alias("_bkey"))

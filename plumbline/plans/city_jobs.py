@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import numbers
 from plumbline.functions.dates import endpoint_in_range, fiscal_bounds
-from plumbline.functions.text import MONEY, parse_money, strip, strip_commas
+from plumbline.functions.text import MONEY, parse_money, strip_commas
 from plumbline.operators import clean
-from plumbline.operators.aggregates import aggregate
+from plumbline.operators.aggregates import aggregate, pre_sum
 from plumbline.operators.joins import bridge_first, enrich
 from plumbline.operators.locate import city_from_address, resolve_location
 from plumbline.plans import claims as claim_sheets
@@ -31,12 +31,14 @@ def internet_circuits(fact: DataFrame, refs: Refs, year: str) -> DataFrame:
     The circuits of 18-19 are halved: each was listed by both owners.
     """
     by_city = {"city": F.upper("city")}
-    df = apply_steps(fact, "city", STEPS["circuits"][year][0], refs)
+    steps = STEPS["circuits"][year][0]
     if year == "21-22":
+        df = apply_steps(fact, "city", steps, refs)
         spec = {"internet_circuits": ("inventory_id", "nunique"), "value_of_internet_circuits": ("retail", "money")}
         return aggregate(df, by_city, spec)
-    spec = {"internet_circuits": ("circuits", "sum"), "value_of_internet_circuits": ("charge", "money")}
-    out = aggregate(df, by_city, spec)
+    per_zip = pre_sum(fact.withColumn("charge", F.col("charge").cast(MONEY)), ["zip"], ["circuits", "charge"])
+    spec = {"internet_circuits": ("circuits", "sum"), "value_of_internet_circuits": ("charge", "exact")}
+    out = aggregate(apply_steps(per_zip, "city", steps, refs), by_city, spec)
     if year == "18-19":
         out = out.withColumn("internet_circuits", numbers.ceil_half(F.col("internet_circuits")))
     return out
@@ -68,8 +70,8 @@ def health_claims(sheets: dict[str, DataFrame], refs: Refs, year: str) -> DataFr
         per_zip = aggregate(claim_sheets.strip_zip(per_zip), ["zip"], sums)
     before, after = STEPS["claims"][year]
     per_zip = per_zip.filter(F.col("zip").isNotNull())
-    money = {name: (name, "money") for name in claim_sheets.TOTALS}
-    out = aggregate(apply_steps(per_zip, "city", before, refs), ["city"], money)
+    totals = {name: (name, "exact") for name in claim_sheets.TOTALS}
+    out = aggregate(apply_steps(per_zip, "city", before, refs), ["city"], totals)
     return apply_steps(out, "city", after, refs)
 
 
@@ -272,7 +274,7 @@ def retiree_payments(fact: DataFrame, refs: Refs, year: str) -> DataFrame:
     if year in RETIREMENT_YEAR:
         fact = fact.filter(F.col("fiscal_year") == RETIREMENT_YEAR[year])
     steps = STEPS["retirees"][year][0]
-    df = fact.select("zip", "payment", "payees")
+    df = pre_sum(fact.withColumn("payment", F.col("payment").cast(MONEY)), ["zip"], ["payment", "payees"])
     if year == "21-22":
         df = clean.exclude_values(df, "zip", list(RETIREE_DROP_ZIPS[year]))
         df = apply_steps(enrich(refs.zips.select("zip", "city"), df, "zip", "zip"), "city", steps, refs)
@@ -280,7 +282,7 @@ def retiree_payments(fact: DataFrame, refs: Refs, year: str) -> DataFrame:
         df = clean.replace_values(df, ["zip"], refs.replacements)
         df = apply_steps(df, "city", steps, refs, drop_zips=RETIREE_DROP_ZIPS[year])
     return aggregate(
-        df, ["city"], {"benefits_paid_to_retirees": ("payment", "money"), "number_of_payees": ("payees", "sum")}
+        df, ["city"], {"benefits_paid_to_retirees": ("payment", "exact"), "number_of_payees": ("payees", "sum")}
     )
 
 
@@ -312,15 +314,8 @@ def travel(fact: DataFrame, refs: Refs, year: str) -> DataFrame:
     Amounts are summed per distinct text first, so the search for a place
     sees each text once.
     """
-    per_text = (
-        fact.filter(F.col("destination").isNotNull())
-        .groupBy("destination")
-        .agg(F.sum(F.col("amount").cast(MONEY)).alias("amount"))
-    )
+    known = fact.filter(F.col("destination").isNotNull()).withColumn("amount", F.col("amount").cast(MONEY))
+    per_text = pre_sum(known, ["destination"], ["amount"])
     df = resolve_location(per_text, "destination", refs.spine, "city").select("city", "amount")
     df = apply_steps(df, "city", STEPS["travel"][year][0], refs)
-    return aggregate(df, ["city"], {"travel_spend": ("amount", "money")})
-
-
-def strip_names(df: DataFrame, column: str) -> DataFrame:
-    return df.withColumn(column, strip(F.col(column)))
+    return aggregate(df, ["city"], {"travel_spend": ("amount", "exact")})

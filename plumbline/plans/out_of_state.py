@@ -34,9 +34,9 @@ def claims_outside(sheets: dict[str, DataFrame], zips: DataFrame, years: DataFra
     zip among them."""
     per_zip = claim_sheets.strip_zip(claim_sheets.claims_by_zip(sheets, extra_keys=(YEAR,)))
     names = {
-        "non_home_medical_claims": ("medical_claims", "money"),
-        "non_home_pharma_claims": ("pharmacy_claims", "money"),
-        "non_home_claims": ("total_claims", "money"),
+        "non_home_medical_claims": ("medical_claims", "exact"),
+        "non_home_pharma_claims": ("pharmacy_claims", "exact"),
+        "non_home_claims": ("total_claims", "exact"),
     }
     return _per_year(anti_join(per_zip, zips, "zip"), names, years)
 
@@ -64,9 +64,15 @@ def retirees_outside(
     spec = {"benefits_paid_to_non_home_retirees": ("payment", "money"), "non_home_payees": ("payees", "sum")}
     head = slice_labels(current, 0, RETIREE_OUT_OF_STATE_TO[current_year], order)
     rows = [total_row(head, spec, current_year)]
+    label = F.lit(None).cast("string")
     for year, fiscal in RETIREE_OUT_OF_STATE_YEAR.items():
-        top = slice_labels(history, 0, RETIREE_OUT_OF_STATE_TO[year], order)
-        rows.append(total_row(top.filter(F.col("fiscal_year") == fiscal), spec, year))
+        label = F.when(F.col("fiscal_year") == fiscal, F.lit(year)).otherwise(label)
+    # one cut serves all earlier years
+    cuts = {RETIREE_OUT_OF_STATE_TO[y] for y in RETIREE_OUT_OF_STATE_YEAR}
+    for cut in cuts:
+        years = tuple(y for y in RETIREE_OUT_OF_STATE_YEAR if RETIREE_OUT_OF_STATE_TO[y] == cut)
+        top = slice_labels(history, 0, cut, order).withColumn(YEAR, label)
+        rows.append(_per_year(top, spec, fy_spine(history.sparkSession, years)))
     return union_years(rows)
 
 

@@ -3,29 +3,34 @@
 A scan has no row order, so every function takes the columns that give it
 (``order``, unique together). Trims look up the order value at the cut with a
 bounded top-n and filter on it; the rows themselves are neither sorted nor
-shuffled.
+shuffled. Cuts further in than TOP_N number the rows instead.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ORDINAL = "_ord"
+# Deepest cut that is looked up with a top-n in one task.
+TOP_N = 10_000
 
 
 def _key(order: list[str]) -> Column:
     return F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
 
-def with_ordinal(df: DataFrame, order: list[str] | None = None, *, buckets: int = 256) -> DataFrame:
+def with_ordinal(df: DataFrame, order: list[str] | None = None, *, buckets: int = 1024) -> DataFrame:
     """Attach ``_ord``, the row number from 0.
 
     Without ``order``, ``df`` must come straight from files and is numbered in
     path and line order: rows are counted per file block, so blocks stay
     apart in tasks of their own. With ``order``, rows are numbered by it: a
-    sample cuts the first order column into ranges, each range is numbered in
-    its own task, and the sizes of the earlier ranges are added.
+    sample of whole order keys cuts them into ``buckets`` even ranges, each
+    range is numbered in a task of its own, and the sizes of the earlier
+    ranges are added. Many rows that share a leading value are split too.
     """
     return _by_file(df) if order is None else _by_columns(df, order, buckets)
 
@@ -37,40 +42,45 @@ def _by_file(df: DataFrame) -> DataFrame:
     rows = df.select("*", block, F.monotonically_increasing_id().alias("_row"))
     # one row per file block; a block is read by one task in line order
     sizes = rows.groupBy("_block").agg(F.count("*").alias("_n"), F.min("_row").alias("_row0"))
-    return _add_offsets(rows, sizes, "_block", F.col("_row") - F.col("_row0")).select(*df.columns, ORDINAL)
+    return _add_offsets(rows, sizes, F.col("_row") - F.col("_row0")).select(*df.columns, ORDINAL)
 
 
 def _by_columns(df: DataFrame, order: list[str], buckets: int) -> DataFrame:
-    cuts = df.agg(
-        F.percentile_approx(_rank_value(df, order[0]), [i / buckets for i in range(1, buckets)], 1000)
-    ).first()[0]
-    cuts = sorted(set(cuts or []))
-    value = _rank_value(df, order[0])
-    bucket = F.coalesce(
-        F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < value)) if cuts else F.lit(0), F.lit(-1)
-    )
-    rows = df.withColumn("_block", bucket)
+    rows = df.withColumn("_block", _range_of(df, order, buckets))
     sizes = rows.groupBy("_block").agg(F.count("*").alias("_n"))
     number = F.row_number().over(Window.partitionBy("_block").orderBy(*order)) - 1
-    return _add_offsets(rows.withColumn("_row", number), sizes, "_block", F.col("_row")).select(*df.columns, ORDINAL)
+    return _add_offsets(rows.withColumn("_row", number), sizes, F.col("_row")).select(*df.columns, ORDINAL)
+
 
+def _range_of(df: DataFrame, order: list[str], buckets: int, per_bucket: int = 16) -> Column:
+    """Number of the range a row's order key falls into.
 
-def _rank_value(df: DataFrame, name: str) -> Column:
-    """A number that rises with the column's own order."""
-    kind = df.schema[name].dataType.typeName()
-    c = F.col(name)
-    if kind in ("date", "timestamp", "timestamp_ntz"):
-        return F.unix_seconds(c.cast("timestamp")).cast("double")
-    if kind in ("string", "boolean"):
-        raise TypeError("the first order column must be a number or a date")
-    return c.cast("double")
+    The sample is the keys with the smallest hashes: a bounded top-n that is
+    the same in every run. Cuts only balance the ranges, so rounding them in
+    transit does no harm.
+    """
+    key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order)])
+    sample = df.select(key.alias("_k")).orderBy(F.xxhash64("_k")).limit(buckets * per_bucket)
+    held = sample.agg(F.to_json(F.sort_array(F.collect_list("_k"))).alias("_cuts")).first()[0]
+    cuts = json.loads(held)[per_bucket - 1 :: per_bucket]
+    kind = "array<struct<" + ",".join(f"k{i}:{df.schema[c].dataType.simpleString()}" for i, c in enumerate(order)) + ">>"
+    listed = F.sort_array(F.from_json(F.lit(json.dumps(cuts)), kind))
+    # binary search by halving steps
+    steps = [1 << i for i in reversed(range(len(cuts).bit_length()))]
+    return F.aggregate(
+        F.array(*map(F.lit, steps)) if steps else F.array(F.lit(1)),
+        F.lit(0),
+        lambda at, step: F.when(
+            (at + step <= F.lit(len(cuts))) & (F.get(listed, at + step - 1) < key), at + step
+        ).otherwise(at),
+    )
 
 
-def _add_offsets(rows: DataFrame, sizes: DataFrame, block: str, number: Column) -> DataFrame:
+def _add_offsets(rows: DataFrame, sizes: DataFrame, number: Column) -> DataFrame:
     # running total over the block sizes only
-    earlier = Window.orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    return rows.join(starts, block).withColumn(ORDINAL, (F.col("_start") + number).cast("bigint"))
+    return rows.join(starts, "_block").withColumn(ORDINAL, (F.col("_start") + number).cast("bigint"))
 
 
 def _bound(df: DataFrame, order: list[str], n: int, last: bool = False) -> Column:
@@ -83,6 +93,10 @@ def _bound(df: DataFrame, order: list[str], n: int, last: bool = False) -> Colum
 
 def slice_rows(df: DataFrame, start: int, stop: int | None, order: list[str]) -> DataFrame:
     """Rows ``start`` to ``stop - 1``; ``stop=None`` runs to the end."""
+    if max(start, stop or 0) > TOP_N:
+        at = F.col(ORDINAL)
+        inside = (at >= start) & (at < stop) if stop is not None else at >= start
+        return with_ordinal(df, order).filter(inside).drop(ORDINAL)
     out = df
     if start > 0:
         out = out.filter(_key(order) > _bound(df, order, start))
@@ -101,7 +115,7 @@ def skip_rows(df: DataFrame, n: int, order: list[str]) -> DataFrame:
 
 
 def skip_footer(df: DataFrame, n: int, order: list[str]) -> DataFrame:
-    """Leave out the last ``n`` rows."""
+    """Leave out the last ``n`` rows, which are few."""
     return df.filter(_key(order) < _bound(df, order, n, last=True)) if n > 0 else df
 
 
