@@ -38,8 +38,19 @@ TABLES = (
 )
 
 
+_FRAMES: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _once(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Keep the plan of an input (not its rows) for the life of the session."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _FRAMES:
+        _FRAMES[key] = build()
+    return _FRAMES[key]
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return _once(spark, sf, f"table {name}", lambda: spark.read.parquet(f"{sf}/{name}.parquet"))
 
 
 # Dates of the test tables are moved into the years the jobs know.
@@ -213,7 +224,7 @@ def _macros(sql: str, money: str) -> str:
 def fact(spark: SparkSession, sf: str, name: str) -> DataFrame:
     sql = _macros(FACTS[name], "format_number(?, 2)")
     used = {t: table(spark, sf, t) for t in TABLES if "{" + t + "}" in sql}
-    return spark.sql(sql, **used)
+    return _once(spark, sf, name, lambda: spark.sql(sql, **used))
 
 
 def refs(spark: SparkSession, sf: str, zips: str = "zips") -> Refs:

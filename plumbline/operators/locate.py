@@ -20,11 +20,15 @@ def first_contained_expr(text: Column, terms: list[str]) -> Column:
     return _first_of(text, [(t, t) for t in terms])
 
 
-def _first_of(text: Column, pairs: list[tuple[str, str]]) -> Column:
+def _first_of(text: Column, pairs: list[tuple[str, str]], chunk: int = 16) -> Column:
+    """Search a chunk of the list at a time, so that an early hit ends it."""
     if not pairs:
         return F.lit(None).cast("string")
-    listed = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(v).alias("v")) for t, v in pairs])
-    return F.get(F.filter(listed, lambda p: F.contains(text, p["t"])), F.lit(0))["v"]
+    hits = []
+    for i in range(0, len(pairs), chunk):
+        listed = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(v).alias("v")) for t, v in pairs[i : i + chunk]])
+        hits.append(F.get(F.filter(listed, lambda p: F.contains(text, p["t"])), F.lit(0))["v"])
+    return F.coalesce(*hits)
 
 
 def first_contained(

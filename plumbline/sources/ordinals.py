@@ -8,11 +8,11 @@ shuffled. Cuts further in than TOP_N number the rows instead.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbline.session import scratch_dir
+
 ORDINAL = "_ord"
 # Deepest cut that is looked up with a top-n in one task.
 TOP_N = 10_000
@@ -22,65 +22,32 @@ def _key(order: list[str]) -> Column:
     return F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
 
-def with_ordinal(df: DataFrame, order: list[str] | None = None, *, buckets: int = 1024) -> DataFrame:
+def with_ordinal(df: DataFrame, order: list[str] | None = None) -> DataFrame:
     """Attach ``_ord``, the row number from 0.
 
     Without ``order``, ``df`` must come straight from files and is numbered in
     path and line order: rows are counted per file block, so blocks stay
-    apart in tasks of their own. With ``order``, rows are numbered by it: a
-    sample of whole order keys cuts them into ``buckets`` even ranges, each
-    range is numbered in a task of its own, and the sizes of the earlier
-    ranges are added. Many rows that share a leading value are split too.
+    apart in tasks of their own. With ``order``, the rows are range
+    partitioned by the whole key, so that even a leading value most rows share
+    is split, and written to the scratch folder with their place; the written
+    table fixes the ranges, which another run of the same plan might cut
+    elsewhere. Both ways only the sizes of the blocks are gathered.
     """
-    return _by_file(df) if order is None else _by_columns(df, order, buckets)
-
-
-def _by_file(df: DataFrame) -> DataFrame:
-    block = F.struct(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start")
-    ).alias("_block")
-    rows = df.select("*", block, F.monotonically_increasing_id().alias("_row"))
-    # one row per file block; a block is read by one task in line order
+    if order is None:
+        path, start = F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start")
+        rows = df.select("*", F.struct(path, start).alias("_block"), F.monotonically_increasing_id().alias("_row"))
+    else:
+        path = scratch_dir(df.sparkSession, "ordered")
+        ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+        placed = ranged.select("*", F.spark_partition_id().alias("_block"), F.monotonically_increasing_id().alias("_row"))
+        placed.write.parquet(path)
+        rows = df.sparkSession.read.schema(placed.schema).parquet(path)
+    # a block is read by one task in its order, so its numbers are consecutive
     sizes = rows.groupBy("_block").agg(F.count("*").alias("_n"), F.min("_row").alias("_row0"))
-    return _add_offsets(rows, sizes, F.col("_row") - F.col("_row0")).select(*df.columns, ORDINAL)
-
-
-def _by_columns(df: DataFrame, order: list[str], buckets: int) -> DataFrame:
-    rows = df.withColumn("_block", _range_of(df, order, buckets))
-    sizes = rows.groupBy("_block").agg(F.count("*").alias("_n"))
-    number = F.row_number().over(Window.partitionBy("_block").orderBy(*order)) - 1
-    return _add_offsets(rows.withColumn("_row", number), sizes, F.col("_row")).select(*df.columns, ORDINAL)
-
-
-def _range_of(df: DataFrame, order: list[str], buckets: int, per_bucket: int = 16) -> Column:
-    """Number of the range a row's order key falls into.
-
-    The sample is the keys with the smallest hashes: a bounded top-n that is
-    the same in every run. Cuts only balance the ranges, so rounding them in
-    transit does no harm.
-    """
-    key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order)])
-    sample = df.select(key.alias("_k")).orderBy(F.xxhash64("_k")).limit(buckets * per_bucket)
-    held = sample.agg(F.to_json(F.sort_array(F.collect_list("_k"))).alias("_cuts")).first()[0]
-    cuts = json.loads(held)[per_bucket - 1 :: per_bucket]
-    kind = "array<struct<" + ",".join(f"k{i}:{df.schema[c].dataType.simpleString()}" for i, c in enumerate(order)) + ">>"
-    listed = F.sort_array(F.from_json(F.lit(json.dumps(cuts)), kind))
-    # binary search by halving steps
-    steps = [1 << i for i in reversed(range(len(cuts).bit_length()))]
-    return F.aggregate(
-        F.array(*map(F.lit, steps)) if steps else F.array(F.lit(1)),
-        F.lit(0),
-        lambda at, step: F.when(
-            (at + step <= F.lit(len(cuts))) & (F.get(listed, at + step - 1) < key), at + step
-        ).otherwise(at),
-    )
-
-
-def _add_offsets(rows: DataFrame, sizes: DataFrame, number: Column) -> DataFrame:
-    # running total over the block sizes only
     earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    return rows.join(starts, "_block").withColumn(ORDINAL, (F.col("_start") + number).cast("bigint"))
+    starts = sizes.select("_block", "_row0", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    number = F.col("_start") + F.col("_row") - F.col("_row0")
+    return rows.join(starts, "_block").select(*df.columns, number.cast("bigint").alias(ORDINAL))
 
 
 def _bound(df: DataFrame, order: list[str], n: int, last: bool = False) -> Column:
