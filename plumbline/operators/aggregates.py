@@ -25,6 +25,8 @@ def _agg(source: str, fn: str, order: list[str] | None) -> Column:
     if fn == "money":
         # exact in any task order; double only at the end
         return F.coalesce(F.sum(c.cast(MONEY)), F.lit(0)).cast("double")
+    if fn == "quantity":
+        return F.coalesce(F.sum(c.cast("decimal(24,6)")), F.lit(0)).cast("double")
     if fn == "exact":
         # sums that are decimals already, too wide for the money type
         return F.coalesce(F.sum(c), F.lit(0)).cast("double")

@@ -46,8 +46,9 @@ def replace_values(df: DataFrame, columns: list[str], mapping: DataFrame) -> Dat
     pairs = mapping.select(F.col(mapping.columns[0]).alias("_wrong"), F.col(mapping.columns[1]).alias("_right"))
     names = df.columns
     for column in columns:
-        df = df.join(pairs, F.col(column) == F.col("_wrong"), "left")
-        df = df.withColumn(column, F.coalesce(F.col("_right"), F.col(column))).select(*names)
+        fixed = F.coalesce(F.col("_right"), F.col(column)).alias(column)
+        joined = df.join(pairs, F.col(column) == F.col("_wrong"), "left")
+        df = joined.select(*[fixed if c == column else F.col(f"`{c}`") for c in names])
     return df
 
 

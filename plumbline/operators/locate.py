@@ -15,11 +15,6 @@ MAX_TERMS = 2000
 PREFIX = 8
 
 
-def first_contained_expr(text: Column, terms: list[str]) -> Column:
-    """First of ``terms``, in list order, that occurs anywhere in ``text``."""
-    return _first_of(text, [(t, t) for t in terms])
-
-
 def _first_of(text: Column, pairs: list[tuple[str, str]], chunk: int = 16) -> Column:
     """Search a chunk of the list at a time, so that an early hit ends it."""
     if not pairs:
@@ -101,9 +96,21 @@ def resolve_location(
     """City named in a text, else a city of the county named there, else the
     text itself, in upper case."""
     text = F.upper(F.col(column))
-    df = first_contained(df, text, geo, city, order, "_city", max_terms=max_terms)
-    df = first_contained_county(df, text, geo, "_city2", city=city, county=county, order=order, max_terms=max_terms)
-    return df.withColumn(out, F.coalesce("_city", "_city2", text)).drop("_city", "_city2")
+    held = geo.select(city, county, order).limit(max_terms + 1).collect()
+    if len(held) > max_terms:
+        df = first_contained(df, text, geo, city, order, "_city", max_terms=max_terms)
+        df = first_contained_county(
+            df, text, geo, "_city2", city=city, county=county, order=order, max_terms=max_terms
+        )
+        return df.withColumn(out, F.coalesce("_city", "_city2", text)).drop("_city", "_city2")
+    held.sort(key=lambda r: r[order])
+    cities = [(r[city], r[city]) for r in held if r[city]]
+    firsts: dict[str, str] = {}
+    for r in held:
+        if r[county]:
+            firsts.setdefault(r[county], r[city])
+    counties = [(name.split(" ")[0].upper(), first.upper()) for name, first in firsts.items() if first]
+    return df.withColumn(out, F.coalesce(_first_of(text, cities), _first_of(text, counties), text))
 
 
 def city_from_address(

@@ -173,7 +173,7 @@ def positions(fact: DataFrame, refs: Refs, year: str) -> DataFrame:
         "positions": ("position", "nunique"),
         "vacancies": ("vacant", "sum"),
         "annualized_salary": ("salary", "money"),
-        "employees": ("fte", "money"),
+        "employees": ("fte", "quantity"),
     }
     if year == "21-22":
         spec["employer_insurance_contributions"] = ("health", "money")

@@ -56,13 +56,23 @@ def apply_steps(
     inline: dict[str, str] | None = None,
     drop_zips: tuple[str, ...] = (),
 ) -> DataFrame:
+    pending = expr = F.col(key)
+
+    def flush(df: DataFrame) -> DataFrame:
+        return df if expr is pending else df.withColumn(key, expr)
+
     for step in steps.split():
         if step in _PURE:
-            df = df.withColumn(key, _PURE[step](F.col(key)))
-        elif step == "R":
+            expr = _PURE[step](expr)
+            continue
+        if step == "M":
+            expr = text.replace_each(expr, inline or {})
+            continue
+        # the other steps need the key as a column; runs of the ones above
+        # become one projection
+        df, expr = flush(df), pending
+        if step == "R":
             df = clean.replace_values(df, [key], refs.replacements)
-        elif step == "M":
-            df = clean.replace_literals(df, [key], inline or {})
         elif step == "X":
             df = clean.exclude_values(df, key, refs.exclusions)
         elif step == "N":
@@ -75,4 +85,4 @@ def apply_steps(
             df = enrich(df, refs.zips.select("zip", "city"), "zip", "zip")
         else:
             raise ValueError(f"unknown cleaning step {step!r}")
-    return df
+    return flush(df)

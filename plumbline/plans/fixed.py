@@ -88,6 +88,8 @@ RETIREMENT_YEAR = {"19-20": "2020", "20-21": "2020"}
 # Row ordinals of the sources that are cut by position.
 FEDERAL_SURPLUS_DROP = {"18-19": [177], "21-22": [5, 6, 7, 8, 9, 10, 11, 12, 13]}
 PRISON_LAST_LABEL = 28
+PRISON_CORRECTION = (2, "facility", "BLACKWATER")
+FLEET_ROWS = 31655
 RETIREE_IN_STATE_FROM = 60
 RETIREE_OUT_OF_STATE_TO = {"18-19": 174, "19-20": 174, "20-21": 174, "21-22": 57}
 RETIREE_OUT_OF_STATE_YEAR = {"18-19": "2019", "19-20": "2020", "20-21": "2021"}

@@ -101,11 +101,9 @@ def list_sheets(df: DataFrame) -> DataFrame:
     return df.select(SHEET).distinct()
 
 
-def read_mapping(spark: SparkSession, path: str, *, sep: str = ":", multi: str = "last") -> DataFrame:
+def read_mapping(spark: SparkSession, path: str, *, sep: str = ":") -> DataFrame:
     """Text lines ``wrong:right``. A repeated key takes its last line; a line
     without exactly one separator fails the job."""
-    if multi not in ("last", "first"):
-        raise ValueError(multi)
     parts = F.split(F.col("value"), sep, -1)
     lines = with_ordinal(spark.read.text(path)).withColumn(
         "parts",
@@ -113,8 +111,8 @@ def read_mapping(spark: SparkSession, path: str, *, sep: str = ":", multi: str =
             F.raise_error(F.concat(F.lit("not one pair: "), F.col("value")))
         ),
     )
-    pick = F.max_by if multi == "last" else F.min_by
-    return lines.groupBy(F.col("parts")[0].alias("wrong")).agg(pick(F.col("parts")[1], F.col(ORDINAL)).alias("right"))
+    last = F.max_by(F.col("parts")[1], F.col(ORDINAL)).alias("right")
+    return lines.groupBy(F.col("parts")[0].alias("wrong")).agg(last)
 
 
 def read_list(spark: SparkSession, path: str) -> DataFrame:
