@@ -47,15 +47,25 @@ def _exprs(spec: Spec, order: list[str] | None = None) -> list[Column]:
 
 
 def aggregate(
-    df: DataFrame, keys: list[str] | dict[str, Column], spec: Spec, *, order: list[str] | None = None
+    df: DataFrame,
+    keys: list[str] | dict[str, Column],
+    spec: Spec,
+    *,
+    order: list[str] | None = None,
+    present: bool = False,
 ) -> DataFrame:
-    """Group by columns, or by ``{name: expression}``, and apply ``spec``."""
+    """Group by columns, or by ``{name: expression}``, and apply ``spec``.
+
+    ``present`` says that no key is null, which spares a filter that would
+    work the key expressions out a second time.
+    """
     if isinstance(keys, dict):
         sources = {source for source, _ in spec.values()} | set(order or [])
         df = df.select(*[c.alias(n) for n, c in keys.items()], *[F.col(f"`{s}`") for s in sources - set(keys)])
     names = list(keys)
-    present = reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names])
-    return df.filter(present).groupBy(*names).agg(*_exprs(spec, order))
+    if not present:
+        df = df.filter(reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names]))
+    return df.groupBy(*names).agg(*_exprs(spec, order))
 
 
 def pre_sum(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:

@@ -33,12 +33,12 @@ def internet_circuits(fact: DataFrame, refs: Refs, year: str) -> DataFrame:
     by_city = {"city": F.upper("city")}
     steps = STEPS["circuits"][year][0]
     if year == "21-22":
-        df = apply_steps(fact, "city", steps, refs)
+        df = apply_steps(fact, "city", steps, refs, present=True)
         spec = {"internet_circuits": ("inventory_id", "nunique"), "value_of_internet_circuits": ("retail", "money")}
-        return aggregate(df, by_city, spec)
+        return aggregate(df, by_city, spec, present=True)
     per_zip = pre_sum(fact.withColumn("charge", F.col("charge").cast(MONEY)), ["zip"], ["circuits", "charge"])
     spec = {"internet_circuits": ("circuits", "sum"), "value_of_internet_circuits": ("charge", "exact")}
-    out = aggregate(apply_steps(per_zip, "city", steps, refs), by_city, spec)
+    out = aggregate(apply_steps(per_zip, "city", steps, refs, present=True), by_city, spec, present=True)
     if year == "18-19":
         out = out.withColumn("internet_circuits", numbers.ceil_half(F.col("internet_circuits")))
     return out
@@ -51,8 +51,8 @@ def phone_charges(local: DataFrame, internet: DataFrame, refs: Refs, year: str =
         (local, "phones_local", "local_digital_phone_charges"),
         (internet, "phones_internet", "internet_phone_charges"),
     ):
-        df = apply_steps(fact, "city", STEPS[job][year][0], refs)
-        out.append(aggregate(df, ["city"], {name: ("charges", "money")}))
+        df = apply_steps(fact, "city", STEPS[job][year][0], refs, present=True)
+        out.append(aggregate(df, ["city"], {name: ("charges", "money")}, present=True))
     # both sides are grouped, so no key is null
     return out[0].join(out[1], "city", "full_outer")
 
@@ -71,7 +71,7 @@ def health_claims(sheets: dict[str, DataFrame], refs: Refs, year: str) -> DataFr
     before, after = STEPS["claims"][year]
     per_zip = per_zip.filter(F.col("zip").isNotNull())
     totals = {name: (name, "exact") for name in claim_sheets.TOTALS}
-    out = aggregate(apply_steps(per_zip, "city", before, refs), ["city"], totals)
+    out = aggregate(apply_steps(per_zip, "city", before, refs, present=True), ["city"], totals, present=True)
     return apply_steps(out, "city", after, refs)
 
 
@@ -85,9 +85,9 @@ def fleet(fact: DataFrame, refs: Refs, year: str) -> DataFrame:
     df = fact.withColumns({c: numbers.sentinel_to_zero(F.col(c), as_type=MONEY) for c in costs.values()})
     # the sentinel is a number in every column, and a number is no city
     df = df.withColumn("city", F.nullif("city", F.lit("--")))
-    df = apply_steps(df, "city", STEPS["fleet"][year][0], refs)
+    df = apply_steps(df, "city", STEPS["fleet"][year][0], refs, present=True)
     spec = {name: (c, "money") for name, c in costs.items()}
-    return aggregate(df, ["city"], {**spec, "fleet_assets": ("asset", "count")})
+    return aggregate(df, ["city"], {**spec, "fleet_assets": ("asset", "count")}, present=True)
 
 
 def private_prisons(fact: DataFrame, locations: DataFrame) -> DataFrame:
@@ -112,9 +112,9 @@ def federal_surplus(fact: DataFrame, refs: Refs, year: str, *, order: list[str]
         if order and year in FEDERAL_SURPLUS_DROP:
             df = drop_ordinals(df, FEDERAL_SURPLUS_DROP[year], order)
         df = df.withColumn("savings", F.col("acquisition_cost").cast(MONEY) - F.col("service_charge").cast(MONEY))
-    df = apply_steps(df.withColumnRenamed("agency", "city"), "city", STEPS["federal_surplus"][year][0], refs)
+    df = apply_steps(df.withColumnRenamed("agency", "city"), "city", STEPS["federal_surplus"][year][0], refs, present=True)
     return aggregate(
-        df, ["city"], {"federal_surplus_savings": ("savings", "money"), "federal_surplus_items": ("items", "sum")}
+        df, ["city"], {"federal_surplus_savings": ("savings", "money"), "federal_surplus_items": ("items", "sum")}, present=True
     )
 
 
@@ -131,19 +131,19 @@ def state_surplus(
         df = bridge_first(df, bridge, "donee", "city", order)
     else:
         df = fact.withColumn("amount", parse_money(F.col("savings")))
-    df = apply_steps(df, "city", STEPS["state_surplus"][year][0], refs)
+    df = apply_steps(df, "city", STEPS["state_surplus"][year][0], refs, present=True)
     items = "sum" if year == "18-19" else "count"
     return aggregate(
-        df, ["city"], {"state_surplus_items": ("line_items", items), "state_surplus_savings": ("amount", "money")}
+        df, ["city"], {"state_surplus_items": ("line_items", items), "state_surplus_savings": ("amount", "money")}, present=True
     )
 
 
 def marketplace(fact: DataFrame, refs: Refs, year: str, *, home_state: str) -> DataFrame:
     """fact: state, city, amount (text), vendor."""
     df = fact.filter(F.col("state") == home_state).select("city", "amount", "vendor")
-    df = apply_steps(df, "city", STEPS["marketplace"][year][0], refs)
+    df = apply_steps(df, "city", STEPS["marketplace"][year][0], refs, present=True)
     df = df.withColumn("amount", strip_commas(F.col("amount")).cast(MONEY))
-    return aggregate(df, ["city"], {"marketplace_spend": ("amount", "money"), "vendors": ("vendor", "nunique")})
+    return aggregate(df, ["city"], {"marketplace_spend": ("amount", "money"), "vendors": ("vendor", "nunique")}, present=True)
 
 
 def certified_businesses(fact: DataFrame, refs: Refs, year: str, *, order: list[str]) -> DataFrame:
@@ -156,8 +156,8 @@ def certified_businesses(fact: DataFrame, refs: Refs, year: str, *, order: list[
         df = city_from_address(clean.dedup_first(df.filter(active), ["tax_id"], order), "address", refs.zips)
     else:
         df = clean.dedup_first(df, ["tax_id"], order)
-    df = apply_steps(df, "city", STEPS["certified"][year][0], refs, inline=CERTIFIED_CITIES)
-    return aggregate(df, ["city"], {"minority_owned_businesses_registered": ("business", "count")})
+    df = apply_steps(df, "city", STEPS["certified"][year][0], refs, inline=CERTIFIED_CITIES, present=True)
+    return aggregate(df, ["city"], {"minority_owned_businesses_registered": ("business", "count")}, present=True)
 
 
 def positions(fact: DataFrame, refs: Refs, year: str) -> DataFrame:
@@ -177,7 +177,7 @@ def positions(fact: DataFrame, refs: Refs, year: str) -> DataFrame:
     }
     if year == "21-22":
         spec["employer_insurance_contributions"] = ("health", "money")
-    out = aggregate(apply_steps(df, "city", before, refs), ["city"], spec)
+    out = aggregate(apply_steps(df, "city", before, refs, present=True), ["city"], spec, present=True)
     return apply_steps(out, "city", after, refs)
 
 
@@ -185,15 +185,15 @@ def temporary_staff(fact: DataFrame, refs: Refs, year: str) -> DataFrame:
     """fact: emp_type, city, position, vacant. Vacant rows count in 18-19."""
     df = fact.filter((F.col("emp_type") == 4) | (F.col("emp_type") == 5)).select("city", "position", "vacant")
     before, after = STEPS["temporary"][year]
-    out = aggregate(apply_steps(df, "city", before, refs), ["city"], {"temporary_employees": ("position", "nunique")})
+    out = aggregate(apply_steps(df, "city", before, refs, present=True), ["city"], {"temporary_employees": ("position", "nunique")}, present=True)
     return apply_steps(out, "city", after, refs)
 
 
 def employee_residences(fact: DataFrame, refs: Refs, year: str = "21-22") -> DataFrame:
     """fact: home_city, salary."""
     before, after = STEPS["residences"][year]
-    df = apply_steps(fact.select(F.col("home_city").alias("city"), "salary"), "city", before, refs)
-    out = aggregate(df, ["city"], {"employee_residences": ("salary", "count")})
+    df = apply_steps(fact.select(F.col("home_city").alias("city"), "salary"), "city", before, refs, present=True)
+    out = aggregate(df, ["city"], {"employee_residences": ("salary", "count")}, present=True)
     return apply_steps(out, "city", after, refs)
 
 
@@ -221,7 +221,7 @@ def facilities(
     if year in ("18-19", "19-20"):
         spec["utility_bills_paid"] = ("utilities", "money")
         spec["building_maintenance"] = ("operating", "money")
-    return aggregate(apply_steps(df, "city", steps, refs), ["city"], spec)
+    return aggregate(apply_steps(df, "city", steps, refs, present=True), ["city"], spec, present=True)
 
 
 # Categories of the operating-expense source.
@@ -264,8 +264,8 @@ def attach_expenses(table: DataFrame, fact: DataFrame, refs: Refs, *, repeat_row
 
 def construction(fact: DataFrame, refs: Refs, year: str = "21-22") -> DataFrame:
     """fact: city, funds."""
-    df = apply_steps(fact, "city", STEPS["construction"][year][0], refs)
-    return aggregate(df, ["city"], {"fixed_capital_outlay": ("funds", "money")})
+    df = apply_steps(fact, "city", STEPS["construction"][year][0], refs, present=True)
+    return aggregate(df, ["city"], {"fixed_capital_outlay": ("funds", "money")}, present=True)
 
 
 def retiree_payments(fact: DataFrame, refs: Refs, year: str) -> DataFrame:
@@ -277,12 +277,12 @@ def retiree_payments(fact: DataFrame, refs: Refs, year: str) -> DataFrame:
     df = pre_sum(fact.withColumn("payment", F.col("payment").cast(MONEY)), ["zip"], ["payment", "payees"])
     if year == "21-22":
         df = clean.exclude_values(df, "zip", list(RETIREE_DROP_ZIPS[year]))
-        df = apply_steps(enrich(refs.zips.select("zip", "city"), df, "zip", "zip"), "city", steps, refs)
+        df = apply_steps(enrich(refs.zips.select("zip", "city"), df, "zip", "zip"), "city", steps, refs, present=True)
     else:
         df = clean.replace_values(df, ["zip"], refs.replacements)
-        df = apply_steps(df, "city", steps, refs, drop_zips=RETIREE_DROP_ZIPS[year])
+        df = apply_steps(df, "city", steps, refs, drop_zips=RETIREE_DROP_ZIPS[year], present=True)
     return aggregate(
-        df, ["city"], {"benefits_paid_to_retirees": ("payment", "exact"), "number_of_payees": ("payees", "sum")}
+        df, ["city"], {"benefits_paid_to_retirees": ("payment", "exact"), "number_of_payees": ("payees", "sum")}, present=True
     )
 
 
@@ -293,19 +293,19 @@ def _of_year(fact: DataFrame, year: str) -> DataFrame:
 def retirement_employers(fact: DataFrame, refs: Refs, year: str) -> DataFrame:
     """fact: agency, city, contribution, and fiscal_year in 19-20 and 20-21.
     Before 21-22 the contributions come from the same pass."""
-    df = apply_steps(_of_year(fact, year), "city", STEPS["employers"][year][0], refs)
+    df = apply_steps(_of_year(fact, year), "city", STEPS["employers"][year][0], refs, present=True)
     spec = {"employers_using_retirement_system": ("agency", "nunique")}
     if year != "21-22":
         spec["employer_contributions"] = ("contribution", "money")
-    return aggregate(df, ["city"], spec)
+    return aggregate(df, ["city"], spec, present=True)
 
 
 def employer_contributions(fact: DataFrame, refs: Refs, year: str) -> DataFrame:
     """fact as for the employers; the total row at its end is already off."""
     if year != "21-22":
         return retirement_employers(fact, refs, year).select("city", "employer_contributions")
-    df = apply_steps(fact, "city", STEPS["contributions"][year][0], refs)
-    return aggregate(df, ["city"], {"employer_contributions": ("contribution", "money")})
+    df = apply_steps(fact, "city", STEPS["contributions"][year][0], refs, present=True)
+    return aggregate(df, ["city"], {"employer_contributions": ("contribution", "money")}, present=True)
 
 
 def travel(fact: DataFrame, refs: Refs, year: str) -> DataFrame:
@@ -317,5 +317,5 @@ def travel(fact: DataFrame, refs: Refs, year: str) -> DataFrame:
     known = fact.filter(F.col("destination").isNotNull()).withColumn("amount", F.col("amount").cast(MONEY))
     per_text = pre_sum(known, ["destination"], ["amount"])
     df = resolve_location(per_text, "destination", refs.spine, "city").select("city", "amount")
-    df = apply_steps(df, "city", STEPS["travel"][year][0], refs)
-    return aggregate(df, ["city"], {"travel_spend": ("amount", "exact")})
+    df = apply_steps(df, "city", STEPS["travel"][year][0], refs, present=True)
+    return aggregate(df, ["city"], {"travel_spend": ("amount", "exact")}, present=True)

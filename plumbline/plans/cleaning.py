@@ -55,7 +55,19 @@ def apply_steps(
     *,
     inline: dict[str, str] | None = None,
     drop_zips: tuple[str, ...] = (),
+    present: bool = False,
 ) -> DataFrame:
+    """Run the steps on column ``key``.
+
+    ``present`` also drops rows that would end with a null key, as the
+    group-by after the steps does: no step but J makes a null, and F leaves
+    none, so they go before the other work is done on them.
+    """
+    def drop_absent(df: DataFrame) -> DataFrame:
+        return df.filter(F.col(key).isNotNull()) if present and "F" not in steps else df
+
+    if "J" not in steps:
+        df = drop_absent(df)
     pending = expr = F.col(key)
 
     def flush(df: DataFrame) -> DataFrame:
@@ -82,7 +94,7 @@ def apply_steps(
         elif step == "Q":
             df = clean.exclude_values(df, "zip", list(drop_zips))
         elif step == "J":
-            df = enrich(df, refs.zips.select("zip", "city"), "zip", "zip")
+            df = drop_absent(enrich(df, refs.zips.select("zip", "city"), "zip", "zip"))
         else:
             raise ValueError(f"unknown cleaning step {step!r}")
     return flush(df)

@@ -17,8 +17,8 @@ DISBURSEMENT_PARTS = ("wireless", "nonwireless", "prepaid_wireless", "supplement
 
 def grants(fact: DataFrame, refs: Refs, year: str) -> DataFrame:
     """fact: county, final_award."""
-    df = apply_steps(fact, "county", STEPS["grants"][year][0], refs)
-    return aggregate(df, ["county"], {"grants_awarded": ("final_award", "money")})
+    df = apply_steps(fact, "county", STEPS["grants"][year][0], refs, present=True)
+    return aggregate(df, ["county"], {"grants_awarded": ("final_award", "money")}, present=True)
 
 
 def disbursements(fact: DataFrame, refs: Refs, year: str) -> DataFrame:
@@ -27,8 +27,8 @@ def disbursements(fact: DataFrame, refs: Refs, year: str) -> DataFrame:
         paid = F.col("total").cast(MONEY)
     else:
         paid = add_all(*[F.col(p).cast(MONEY) for p in DISBURSEMENT_PARTS])
-    df = apply_steps(fact.select("county", paid.alias("paid")), "county", STEPS["disbursements"][year][0], refs)
-    return aggregate(df, ["county"], {"e911_disbursements": ("paid", "money")})
+    df = apply_steps(fact.select("county", paid.alias("paid")), "county", STEPS["disbursements"][year][0], refs, present=True)
+    return aggregate(df, ["county"], {"e911_disbursements": ("paid", "money")}, present=True)
 
 
 def erate(fact: DataFrame, refs: Refs, year: str) -> DataFrame:
@@ -42,14 +42,14 @@ def erate(fact: DataFrame, refs: Refs, year: str) -> DataFrame:
 
 def call_centers(fact: DataFrame, refs: Refs, year: str) -> DataFrame:
     """fact: county, center."""
-    df = apply_steps(fact.select("county", "center"), "county", STEPS["call_centers"][year][0], refs)
-    return aggregate(df, ["county"], {"e911_circuits": ("center", "count")})
+    df = apply_steps(fact.select("county", "center"), "county", STEPS["call_centers"][year][0], refs, present=True)
+    return aggregate(df, ["county"], {"e911_circuits": ("center", "count")}, present=True)
 
 
 def towers(fact: DataFrame, refs: Refs, year: str) -> DataFrame:
     """fact: county, tower. The suffix and the spelling map come after the
     group-by, so two spellings of a county stay two rows."""
     before, after = STEPS["towers"][year]
-    df = apply_steps(fact.select("county", "tower"), "county", before, refs, inline=TOWER_COUNTIES)
-    out = aggregate(df, ["county"], {"radio_towers": ("tower", "count")})
+    df = apply_steps(fact.select("county", "tower"), "county", before, refs, inline=TOWER_COUNTIES, present=True)
+    out = aggregate(df, ["county"], {"radio_towers": ("tower", "count")}, present=True)
     return apply_steps(out, "county", after, refs)

@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from plumbline.session import scratch_dir
 
 ORDINAL = "_ord"
-# Deepest cut that is looked up with a top-n in one task.
-TOP_N = 10_000
+# Deepest cut that is looked up with a top-n. Spark trims each task's rows
+# before the shuffle up to this depth.
+TOP_N = 1000
+MERGE_GROUPS = 256
 
 
 def _key(order: list[str]) -> Column:
@@ -50,12 +52,21 @@ def with_ordinal(df: DataFrame, order: list[str] | None = None) -> DataFrame:
     return rows.join(starts, "_block").select(*df.columns, number.cast("bigint").alias(ORDINAL))
 
 
+def _nearest(df: DataFrame, order: list[str], n: int, last: bool = False) -> DataFrame:
+    """The ``n`` first order values (``_k``), or the last ones.
+
+    Top-n per task, then per group of tasks, then over the groups, so that no
+    task takes in ``n`` rows from every other one.
+    """
+    direction = F.col("_k").desc() if last else F.col("_k").asc()
+    keys = df.select(_key(order).alias("_k"), (F.spark_partition_id() % MERGE_GROUPS).alias("_g"))
+    rank = F.row_number().over(Window.partitionBy("_g").orderBy(direction))
+    return keys.withColumn("_n", rank).filter(F.col("_n") <= n).select("_k").orderBy(direction).limit(n)
+
+
 def _bound(df: DataFrame, order: list[str], n: int, last: bool = False) -> Column:
     """Order value of the n-th row from the start, or from the end."""
-    key = _key(order).alias("_k")
-    keys = df.select(key)
-    top = keys.orderBy(F.col("_k").desc() if last else F.col("_k").asc()).limit(n)
-    return top.agg((F.min if last else F.max)("_k")).scalar()
+    return _nearest(df, order, n, last).agg((F.min if last else F.max)("_k")).scalar()
 
 
 def slice_rows(df: DataFrame, start: int, stop: int | None, order: list[str]) -> DataFrame:
@@ -82,14 +93,18 @@ def skip_rows(df: DataFrame, n: int, order: list[str]) -> DataFrame:
 
 
 def skip_footer(df: DataFrame, n: int, order: list[str]) -> DataFrame:
-    """Leave out the last ``n`` rows, which are few."""
-    return df.filter(_key(order) < _bound(df, order, n, last=True)) if n > 0 else df
+    """Leave out the last ``n`` rows."""
+    if n <= 0:
+        return df
+    if n > TOP_N:
+        rows = with_ordinal(df, order)
+        return rows.filter(F.col(ORDINAL) < rows.agg(F.count("*")).scalar() - n).drop(ORDINAL)
+    return df.filter(_key(order) < _bound(df, order, n, last=True))
 
 
 def rows_at(df: DataFrame, ordinals: list[int], order: list[str]) -> Column:
     """Array of the order values at the given ordinals."""
-    top = df.select(_key(order).alias("_k")).orderBy("_k").limit(max(ordinals) + 1)
-    held = top.agg(F.sort_array(F.collect_list("_k")).alias("_ks"))
+    held = _nearest(df, order, max(ordinals) + 1).agg(F.sort_array(F.collect_list("_k")).alias("_ks"))
     picked = F.transform(F.array(*map(F.lit, ordinals)), lambda i: F.get("_ks", i))
     return held.select(picked).scalar()
 
