@@ -120,7 +120,7 @@ def _(spark, sf):
     return rows.groupBy("emp_type", "pay_code").agg(F.coalesce(F.sum("pay"), F.lit(0)).cast("double").alias("pay"))
 
 
-# The first city in spine order is the reference's rule, not the longest.
+# The first city in spine order wins, not the longest.
 CITY_HIT = "(SELECT arg_min(s.city, s.ord) FROM spine s WHERE contains({t}, s.city))"
 WORDS = """words AS (SELECT upper(split_part(county, ' ', 1)) AS word, arg_min(upper(city), ord) AS city, min(ord) AS ord
     FROM spine GROUP BY county)"""

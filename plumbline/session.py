@@ -39,9 +39,11 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for an intermediate table.
 
     It lies under ``spark.checkpoint.dir``, the shared folder the cluster
-    names; a local folder serves only where that setting is absent.
+    names. Only a local session may do without that setting.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="plumbline-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -161,7 +161,7 @@ TEXTS = ["Largo, FL", "key largo", "Tampa and Largo", "St. Petersburg", "palm",
 
 
 def find(text):
-    """The reference rules, spelled out in Python."""
+    """The rules, spelled out in Python."""
     if text is None:
         return None
     up = text.upper()
