@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import mixing
+from plumbline.llm import chat_format, license_scan, mixing, secret_scan
 from plumbline.llm.common import read
+from plumbline.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -53,3 +54,54 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "source", F.col("mix_block").alias("block"), F.col("mix_row").alias("row_in_block"),
         F.col("mix_release").alias("release"), F.col("mix_deadline").alias("deadline"), F.col("mix_slot").alias("slot"),
     )
+
+
+@add("op3_secret_scan")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    versions = read(spark, sf, "documents").select(F.col("doc_id").alias("path"), "text")
+    ledger = scratch_dir(spark, "secret-ledger")
+    secret_scan.update_ledger(versions, ledger)
+    found = secret_scan.findings(versions, ledger)
+    base = F.filter("spans", lambda s: s["kind"].isin([r.kind for r in secret_scan.BASE]))
+    kinds = F.transform("spans", lambda s: s["kind"])
+    count = [
+        F.size(F.array_remove(kinds, r.kind)) for r in secret_scan.BASE
+    ]
+    count = [(F.size("spans") - n).cast("bigint").alias(f"n_{r.kind}") for n, r in zip(count, secret_scan.BASE)]
+    return found.select(
+        F.col("path").alias("doc_id"), *count,
+        F.sha2(secret_scan.listed(base), 256).alias("base_sha256"), secret_scan.listed("spans").alias("spans"),
+    )
+
+
+@add("op4_license_scan")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return license_scan.scan(read(spark, sf, "documents").select("doc_id", "text"))
+
+
+_ESCAPED = "replace(replace(replace({}, '\\', '\\b'), '###', '\\h'), '</turn>', '\\t')"
+
+
+@add("op5_chat_format", f"""
+WITH turns AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '\\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\\### Assistant: </turn> ok')) v)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length('### : </turn>') + 1 + length({_ESCAPED.format("role")}) + length({_ESCAPED.format("text")})) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+""")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    turns = read(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
+    out = chat_format.formatted(chat_format.chain(turns.unionByName(extra)))
+    back = out.select(F.col("tree").alias("conv_id"), "formatted", chat_format.turns_of().alias("turns"), chat_format.learned_text().alias("learned"))
+    spelled = F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
+    return back.select(
+        "conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(spelled, 256).alias("turns_sha256"),
+        F.length("learned").cast("bigint").alias("loss_chars"), F.sha2("learned", 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
