@@ -42,11 +42,12 @@ STRETCH = 1.5  # longest span of a match, in lengths of its template
 def templates(spark: SparkSession) -> DataFrame:
     """(template, label, exact, pairs, place, pair): one row per word pair of a template."""
     rows = []
-    for exact, texts in ((True, PHRASES.items()), (False, ((v, k) for k, v in PASSAGES.items()))):
-        for text, label in texts:
-            words = re.findall(WORD, text.lower())
-            pairs = [f"{a} {b}" for a, b in zip(words, words[1:])]
-            rows += [(len(rows) - i, label, exact, len(pairs), i, p) for i, p in enumerate(pairs)]
+    texts = [(text, label, True) for text, label in PHRASES.items()]
+    texts += [(text, label, False) for label, text in PASSAGES.items()]
+    for number, (text, label, exact) in enumerate(texts):
+        words = re.findall(WORD, text.lower())
+        pairs = [f"{a} {b}" for a, b in zip(words, words[1:])]
+        rows += [(number, label, exact, len(pairs), i, p) for i, p in enumerate(pairs)]
     return spark.createDataFrame(rows, "template int, label string, exact boolean, pairs int, place int, pair string").withColumn(
         "hash", F.xxhash64("pair")
     )
