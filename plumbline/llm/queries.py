@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import chat_format, license_scan, mixing, secret_scan
+from plumbline.llm import byte_bpe, chat_format, exact_dedup, license_scan, mixing, secret_scan, token_files, toxicity
 from plumbline.llm.common import read
 from plumbline.session import scratch_dir
 
@@ -105,3 +106,35 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
         F.length("learned").cast("bigint").alias("loss_chars"), F.sha2("learned", 256).alias("loss_sha256"),
         F.length("formatted").cast("bigint").alias("formatted_chars"),
     )
+
+
+@add("op6_toxicity")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    out = toxicity.scores(docs, toxicity.train(docs, read(spark, sf, "labels")))
+    held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0
+    return out.select(
+        "doc_id", held.alias("held_out"), F.col("toxic_score").alias("score"), (F.col("toxic_score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+@add("op7_byte_bpe")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.encode_documents(read(spark, sf, "documents"), path, public_tokenizers.PATTERN)
+
+
+@add("op8_token_files")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return token_files.round_trip(read(spark, sf, "documents"), path, 1, scratch_dir(spark, "token-files"))
+
+
+@add("op9_exact_dedup", """
+WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+  doc_id = min(doc_id) OVER w AS kept, text_sha256
+FROM d WINDOW w AS (PARTITION BY text_sha256)
+""")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    return exact_dedup.classes(read(spark, sf, "documents"))
