@@ -21,9 +21,8 @@ import ahocorasick
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from plumbline.llm.common import whole_text
+from plumbline.llm.common import per_text
 
 # Entries that one Python worker keeps; a full memo is emptied.
 MEMO = 250_000
@@ -209,32 +208,31 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     whole; a batch of Arrow rows at a time is in memory. The ids are decoded
     again through the token table and the bytes digested.
     """
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start():
         own, words = encoder(path, pattern)
         spelled = [str(i) for i in range(max(own.tokens) + 1)]
-        for batch in batches:
-            rows = []
-            for text in batch["text"]:
+
+        def values(texts: list[str]) -> list:
+            sizes, listed, data = [], [], []
+            for text in texts:
                 ids = text_ids(text, own, words)
-                listed = ",".join(map(spelled.__getitem__, ids)).encode()
-                rows.append((len(ids), hashlib.sha256(listed).hexdigest(), hashlib.sha256(own.decode(ids)).hexdigest()))
-            out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
-            yield out.assign(doc_id=batch["doc_id"].values)[["doc_id", *out.columns]]
+                sizes.append(len(ids))
+                listed.append(hashlib.sha256(",".join(map(spelled.__getitem__, ids)).encode()).hexdigest())
+                data.append(hashlib.sha256(own.decode(ids)).hexdigest())
+            return [sizes, listed, data]
 
-    schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text")).mapInPandas(run, schema)
+        return values
+
+    return per_text(docs, ["doc_id"], {"n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"}, start)
 
 
 def token_ids(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """(doc_id, ids) per row: the ids themselves."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start():
         own, words = encoder(path, pattern)
-        for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"].values, "ids": [text_ids(t, own, words) for t in batch["text"]]})
+        return lambda texts: [[text_ids(t, own, words) for t in texts]]
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text")).mapInPandas(
-        run, "doc_id bigint, ids array<int>"
-    )
+    return per_text(docs, ["doc_id"], {"ids": "array<int>"}, start)
 
 
 def decoded(ids: DataFrame, path: str, pattern: str) -> DataFrame:

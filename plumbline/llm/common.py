@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.session import scratch_dir
 
@@ -78,3 +82,36 @@ def connected_components(edges: DataFrame, name: str = "components", rounds: int
 
 def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+ARROW = {
+    "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(),
+    "array<int>": pa.list_(pa.int32()), "array<bigint>": pa.list_(pa.int64()),
+}
+
+
+def per_text(
+    docs: DataFrame, keep: list[str], fields: dict[str, str], start: Callable[[], Callable[[list[str]], list]], text: str = "text"
+) -> DataFrame:
+    """The columns ``keep`` and new ``fields`` (name: type) worked out from
+    each whole text, an Arrow batch at a time.
+
+    ``start()`` runs once per task and returns a function from a list of texts
+    (null as empty) to one list of values per field. Kept columns pass through
+    untouched, whatever their types and nulls.
+    """
+    last = text not in keep
+    own = docs.select(*keep, *([F.col(text)] if last else []))
+    at = len(keep) if last else keep.index(text)
+    types = [ARROW[t] for t in fields.values()]
+    added = T.StructType.fromDDL(", ".join(f"`{n}` {t}" for n, t in fields.items()))
+    schema = T.StructType([*own.schema.fields[: len(keep)], *added.fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        values_of = start()
+        for batch in batches:
+            texts = ["" if t is None else t for t in batch.column(at).to_pylist()]
+            new = [pa.array(v, type=t) for v, t in zip(values_of(texts), types)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *new], names=schema.names)
+
+    return own.mapInArrow(run, schema)

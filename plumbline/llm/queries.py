@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import byte_bpe, chat_format, exact_dedup, license_scan, mixing, secret_scan, token_files, toxicity
+from plumbline.llm import byte_bpe, chat_format, exact_dedup, license_scan, mixing, near_dup, secret_scan, token_files, toxicity
 from plumbline.llm.common import read
 from plumbline.session import scratch_dir
 
@@ -57,6 +57,24 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@add("op2_near_dup", """
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\\x09-\\x0D\\x20]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS sh
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS c FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b USING (sh) GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE k / (a.c + b.c - k) >= 0.8),
+r AS (SELECT doc_id AS id, doc_id AS seen FROM documents UNION SELECT id, y FROM r JOIN l ON seen = x),
+g AS (SELECT id, min(seen) AS class_id FROM r GROUP BY id)
+SELECT w.doc_id, class_id, w.doc_id = class_id AS kept, CAST(coalesce(c, 0) AS BIGINT) AS n_shingles
+FROM w JOIN g ON w.doc_id = id LEFT JOIN n ON n.doc_id = w.doc_id
+""")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dup.classes(read(spark, sf, "documents"))
+
+
 @add("op3_secret_scan")
 def op3(spark: SparkSession, sf: str) -> DataFrame:
     versions = read(spark, sf, "documents").select(F.col("doc_id").alias("path"), "text")

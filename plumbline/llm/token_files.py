@@ -21,11 +21,12 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from plumbline.llm.common import saved, whole_text
+from plumbline.llm.common import ARROW, per_text, saved
 
 MEMO = 250_000
 BLOCK_IDS = 1 << 18
@@ -109,12 +110,11 @@ def encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     """(doc_id, ids): ids of each whole text and the end id, as uint32 bytes. Null texts count as empty."""
     end = np.array([end_id], dtype="<u4").tobytes()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start():
         words = words_of(path)
-        for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "ids": [text_ids(t, words) + end for t in batch["text"]]})
+        return lambda texts: [[text_ids(t, words) + end for t in texts]]
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text")).mapInPandas(run, "doc_id bigint, ids binary")
+    return per_text(docs, ["doc_id"], {"ids": "binary"}, start)
 
 
 def rank_table(ids: DataFrame) -> DataFrame:
@@ -150,18 +150,19 @@ def write(ids: DataFrame, folder: str) -> None:
     rank_table(ids).coalesce(1).write.parquet(f"{folder}/ranks")
     _, of_id = _ranks(ids.sparkSession, folder)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, kept, n = 0, [], 0
 
         def flush():
-            names = np.array([-1 if pd.isna(i) else i for i, _ in kept], dtype="<i8")
-            null = np.packbits(np.array([pd.isna(i) for i, _ in kept])).tobytes()
+            names = np.array([-1 if i is None else i for i, _ in kept], dtype="<i8")
+            null = np.packbits(np.array([i is None for i, _ in kept])).tobytes()
             flat = np.frombuffer(b"".join(d for _, d in kept), dtype="<u4")
             lengths = pack(np.array([len(d) // 4 for _, d in kept], dtype=np.uint32))
-            return pd.DataFrame([(0, block, len(kept), len(flat), names.tobytes() + null, *lengths, *pack(of_id[flat]))], columns=columns)
+            row = (0, block, len(kept), len(flat), names.tobytes() + null, *lengths, *pack(of_id[flat]))
+            return pa.RecordBatch.from_arrays([pa.array([v], type=t) for v, t in zip(row, types)], names=columns)
 
         for batch in batches:
-            for row in zip(batch["doc_id"], batch["ids"]):
+            for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 kept.append(row)
                 n += len(row[1]) // 4
                 if n >= BLOCK_IDS:
@@ -171,9 +172,10 @@ def write(ids: DataFrame, folder: str) -> None:
             yield flush()
 
     columns = [c.split()[0] for c in BLOCKS.split(", ")]
+    types = [ARROW[c.split()[1]] for c in BLOCKS.split(", ")]
     parts = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = ids.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
-    placed.mapInPandas(run, BLOCKS).withColumn("file", F.spark_partition_id()).write.parquet(f"{folder}/blocks")
+    placed.mapInArrow(run, BLOCKS).withColumn("file", F.spark_partition_id()).write.parquet(f"{folder}/blocks")
 
 
 def _ranks(spark: SparkSession, folder: str) -> tuple[np.ndarray, np.ndarray]:
@@ -202,22 +204,20 @@ def read_back(spark: SparkSession, folder: str) -> DataFrame:
     starts = counts.select("file", "block", F.coalesce(F.sum("ids").over(within), F.lit(0)).alias("block_start"))
     starts = starts.join(files, "file").select("file", "block", (F.col("file_start") + F.col("block_start")).alias("start"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in batch.itertuples():
-                names = np.frombuffer(b.doc_ids[: 8 * b.docs], dtype="<i8")
-                null = np.unpackbits(np.frombuffer(b.doc_ids[8 * b.docs :], dtype=np.uint8), count=b.docs).astype(bool)
-                sizes = unpack(b.lengths_control, b.lengths, b.docs).astype(np.int64)
-                flat = by_rank[unpack(b.control, b.data, b.ids)].astype("<u4").tobytes()
+            for b in batch.to_pylist():
+                names = np.frombuffer(b["doc_ids"][: 8 * b["docs"]], dtype="<i8")
+                null = np.unpackbits(np.frombuffer(b["doc_ids"][8 * b["docs"] :], dtype=np.uint8), count=b["docs"]).astype(bool)
+                sizes = unpack(b["lengths_control"], b["lengths"], b["docs"]).astype(np.int64)
+                flat = by_rank[unpack(b["control"], b["data"], b["ids"])].astype("<u4").tobytes()
                 ends = np.cumsum(sizes)
                 crc = [zlib.crc32(flat[4 * (e - s) : 4 * e]) for s, e in zip(sizes, ends)]
-                yield pd.DataFrame({
-                    "doc_id": pd.array(np.where(null, 0, names), dtype="Int64").copy() if not null.any() else pd.arrays.IntegerArray(names.copy(), null),
-                    "start": b.start + ends - sizes, "n_tokens": sizes, "ids_crc32": crc,
-                })
+                columns = [pa.array(names, mask=null), *map(pa.array, (b["start"] + ends - sizes, sizes, np.array(crc, dtype=np.int64)))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
-    return blocks.join(starts, ["file", "block"]).mapInPandas(run, schema)
+    return blocks.join(starts, ["file", "block"]).mapInArrow(run, schema)
 
 
 def round_trip(docs: DataFrame, path: str, end_id: int, folder: str) -> DataFrame:

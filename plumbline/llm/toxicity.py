@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import whole_text
+from plumbline.llm.common import per_text, whole_text
 
 SPAN, DECAY = 6, 0.6
 LETTERS = 64
@@ -361,13 +361,13 @@ def scores(docs: DataFrame, machine: Machine) -> DataFrame:
     and does not change a score.
     """
     model = docs.sparkSession.sparkContext.broadcast(machine)  # one table of fixed size
-    fields = docs.select("*", F.lit(0.0).alias("toxic_score")).schema
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start():
         m, memo = model.value, {}
-        for batch in batches:
-            bags = [words_of(t or "") for t in batch["text"]]
-            worst = np.full(len(bags), np.float32(-np.inf))
+
+        def values(texts: list[str]) -> list:
+            bags = [words_of(t) for t in texts]
+            worst = np.full(len(bags), -np.inf)
             start = 0
             while start < len(bags):
                 # A few texts at a time, so that new words are scored together.
@@ -383,6 +383,8 @@ def scores(docs: DataFrame, machine: Machine) -> DataFrame:
                 for at in range(start, end):
                     worst[at] = max(map(memo.__getitem__, bags[at]), default=m.bias - 1.0)
                 start = end
-            yield batch.assign(toxic_score=m.probability(worst.astype(np.float64)))
+            return [m.probability(worst)]
+
+        return values
 
-    return docs.mapInPandas(run, fields)
+    return per_text(docs, docs.columns, {"toxic_score": "double"}, start)
