@@ -70,15 +70,17 @@ def branches(messages: DataFrame, best: int | None = 1) -> DataFrame:
     jump = saved(up.select("a.tree", "a.node", F.col("b.node").alias("up"), F.col("a.score").alias("own")), "chat-jump")
     jumps, n = [], jump.count()
     while True:
-        jumps.append(jump.where("up IS NOT NULL").select("tree", "node", "up"))
-        if jump.where("up IS NOT NULL").isEmpty():
+        # Paths that have reached their root are not joined again.
+        rising, done = jump.where("up IS NOT NULL"), jump.where("up IS NULL")
+        jumps.append(rising.select("tree", "node", "up"))
+        if rising.isEmpty():
             break
         if 1 << (len(jumps) - 1) > n:
             raise ValueError("messages answer each other in a ring")
-        higher = jump.alias("a").join(jump.alias("b"), same & (F.col("a.up") == F.col("b.node")), "left")
-        jump = saved(
-            higher.select("a.tree", "a.node", "b.up", (F.col("a.own") + F.coalesce("b.own", F.lit(0.0))).alias("own")), "chat-jump"
+        higher = rising.alias("a").join(jump.alias("b"), same & (F.col("a.up") == F.col("b.node"))).select(
+            "a.tree", "a.node", "b.up", (F.col("a.own") + F.col("b.own")).alias("own")
         )
+        jump = saved(done.unionByName(higher), "chat-jump")
     # Now no ancestor is left above, so ``own`` is the score of the whole path.
     inner = ids.where("parent IS NOT NULL").select("tree", F.col("parent").alias("node")).distinct()
     leaves = jump.alias("a").join(inner.alias("b"), same & (F.col("a.node") == F.col("b.node")), "left_anti")
