@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import byte_bpe, chat_format, exact_dedup, license_scan, mixing, near_dup, secret_scan, token_files, toxicity
+from plumbline.llm import byte_bpe, chat_format, exact_dedup, license_scan, mixing, near_dup, secret_scan, token_files, toxicity, vector_dedup
 from plumbline.llm.common import read
 from plumbline.session import scratch_dir
 
@@ -156,3 +156,18 @@ FROM d WINDOW w AS (PARTITION BY text_sha256)
 """)
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.classes(read(spark, sf, "documents"))
+
+
+@add("op10_vector_dedup", """
+WITH RECURSIVE l AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) >= 0.98),
+r AS (SELECT vec_id AS id, vec_id AS seen FROM embeddings UNION SELECT id, y FROM r JOIN l ON seen = x),
+g AS (SELECT id, min(seen) AS component_id FROM r GROUP BY id),
+n AS (SELECT x, count(*) AS n FROM l GROUP BY x)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN g ON vec_id = id LEFT JOIN n ON vec_id = x
+""")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    # The audited recall is left to the operator: it is no value of a row.
+    return vector_dedup.classes(read(spark, sf, "embeddings")).drop("recall")
