@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from plumbline.llm import byte_bpe, exact_dedup, mixing, near_dup, toxicity
 from plumbline.llm.common import read, saved
@@ -18,7 +19,8 @@ from plumbline.llm.common import read, saved
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that score below one half; trained on ``labels``."""
     machine = toxicity.train(docs.select("doc_id", "text"), read(spark, sf_dir, "labels"))
-    return toxicity.scores(docs, machine).where("toxic_score < 0.5").select(*docs.columns)
+    name = max(docs.columns, key=len) + "_score"  # a new name, whatever the columns
+    return toxicity.scores(docs, machine, name).where(F.col(name) < 0.5).select(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -238,10 +238,10 @@ def kept(docs: DataFrame, batches: int = 3) -> DataFrame:
     is sorted. Repeated rows of a keeper are told apart only where they exist.
     """
     keep = saved(classes(docs, batches).where("kept").select(F.col("doc_id").alias("kept_id"), F.unhex("text_sha256").alias("kept_digest")), "dedup-kept")
-    own = docs.withColumn("kept_digest", F.unhex(F.sha2(normalised(), 256)))
-    same = own["doc_id"].eqNullSafe(keep["kept_id"]) & (own["kept_digest"] == keep["kept_digest"])
+    own = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.unhex(F.sha2(normalised(), 256)).alias("digest"))
+    same = own["id"].eqNullSafe(keep["kept_id"]) & (own["digest"] == keep["kept_digest"])
     out = own.join(keep.hint("shuffle_hash"), same, "left_semi")
     repeated = digests(docs).groupBy("doc_id", "digest").count().where("count > 1")
     if not repeated.isEmpty():
-        out = out.dropDuplicates(["doc_id", "kept_digest"])
-    return out.drop("kept_digest")
+        out = out.dropDuplicates(["id", "digest"])
+    return out.select("row.*")

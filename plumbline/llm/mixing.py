@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from plumbline.llm.common import power_of_two, saved
 
 ROWS_PER_BUCKET = 20_000
+NEW = ("mix_block", "mix_row", "mix_release", "mix_deadline", "mix_slot")
 MOST_SOURCES = 10_000
 
 # Sources are keyed so that a null source is one of its own, apart from "".
@@ -75,7 +76,8 @@ def schedule(docs: DataFrame, shares: DataFrame, block_rows: int = 64) -> DataFr
     """``docs`` with ``mix_block``, ``mix_row`` (place in its block), ``mix_release``,
     ``mix_deadline`` and ``mix_slot``; the mix is the order (mix_slot, mix_row).
 
-    docs needs ``doc_id`` and ``source``; other columns are kept. Rows of a
+    docs needs ``doc_id`` and ``source``; other columns are kept, but for
+    ones that have the name of a new column, which it replaces. Rows of a
     source are dealt in the order of md5(doc_id), then doc_id; repeated rows
     are dealt like others, null ids last, null sources form a source. Each row
     comes exactly once. When a source has no more blocks its slots stay empty
@@ -92,7 +94,9 @@ def schedule(docs: DataFrame, shares: DataFrame, block_rows: int = 64) -> DataFr
     slices = power_of_two(n / ROWS_PER_BUCKET, 256)
     digest = F.md5(F.col("doc_id").cast("string"))
     slice_of = F.coalesce(F.shiftright(F.conv(F.substring("mix_md5", 1, 8), 16, 10).cast("bigint") * slices, 32), F.lit(slices))
-    dealt = docs.withColumn("key", KEY).withColumn("mix_md5", digest).withColumn("mix_slice", slice_of)
+    # Packed, so that no column of docs can clash with a column used here.
+    old = [c for c in docs.columns if c not in NEW]
+    dealt = docs.select(F.struct(*old).alias("row"), "doc_id", KEY.alias("key"), digest.alias("mix_md5")).withColumn("mix_slice", slice_of)
     counts = dealt.groupBy("key", "mix_slice").agg(F.count("*").alias("n"))
     before = Window.partitionBy("key").orderBy("mix_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("key", "mix_slice", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
@@ -109,7 +113,7 @@ def schedule(docs: DataFrame, shares: DataFrame, block_rows: int = 64) -> DataFr
     placed = placed.withColumn("share", share).withColumn("j", F.col("mix_block") % F.col("share"))
     out = placed.join(steps.drop("share"), ["key", "j"])
     return out.select(
-        *docs.columns,
+        "row.*",
         "mix_block",
         (F.col("place") % block_rows).alias("mix_row"),
         F.expr(f"(mix_block * {length}L) div share").alias("mix_release"),
@@ -124,4 +128,5 @@ def mixed(docs: DataFrame, shares: DataFrame | None = None, block_rows: int = 64
     Written files follow each other in that order.
     """
     shares = tempered_shares(docs) if shares is None else shares
-    return schedule(docs, shares, block_rows).orderBy("mix_slot", "mix_row").select(*docs.columns)
+    named = docs.select(F.struct("*").alias("row"), "doc_id", "source")
+    return schedule(named, shares, block_rows).orderBy("mix_slot", "mix_row").select("row.*")

@@ -353,8 +353,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
     return fit([(int(t), [s.split(" ") for s in sentences]) for t, sentences in zip(rows["toxic"], rows["sentences"])])
 
 
-def scores(docs: DataFrame, machine: Machine) -> DataFrame:
-    """docs (doc_id, text, other columns kept) with ``toxic_score``, from 0 to 1.
+def scores(docs: DataFrame, machine: Machine, name: str = "toxic_score") -> DataFrame:
+    """docs (text, other columns kept) with ``toxic_score``, or another name, from 0 to 1.
 
     Whole texts are read; null and empty texts score 0 words and so the least
     score. Values of words are kept per Python worker; the memory is bounded
@@ -387,4 +387,4 @@ def scores(docs: DataFrame, machine: Machine) -> DataFrame:
 
         return values
 
-    return per_text(docs, docs.columns, {"toxic_score": "double"}, start)
+    return per_text(docs, docs.columns, {name: "double"}, start)
