@@ -12,7 +12,7 @@ arithmetic. No row is scheduled one by one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import power_of_two, saved
@@ -21,8 +21,11 @@ ROWS_PER_BUCKET = 20_000
 NEW = ("mix_block", "mix_row", "mix_release", "mix_deadline", "mix_slot")
 MOST_SOURCES = 10_000
 
-# Sources are keyed so that a null source is one of its own, apart from "".
-KEY = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("-"))
+
+def source_key() -> Column:
+    """A null source is one of its own, apart from the empty one."""
+    return F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("-"))
+
 
 _FOLD = """
 aggregate(
@@ -56,7 +59,7 @@ def period(shares: DataFrame) -> tuple[DataFrame, int]:
     W is the sum of the shares. More than ``MOST_SOURCES`` sources is an
     error: group them first. Shares must be positive.
     """
-    rows = shares.select(KEY.alias("key"), F.col("share").cast("bigint").alias("share")).groupBy("key").agg(
+    rows = shares.select(source_key().alias("key"), F.col("share").cast("bigint").alias("share")).groupBy("key").agg(
         F.sum("share").alias("share")
     )
     n, length, least = rows.agg(F.count("*"), F.sum("share"), F.min("share")).first()
@@ -96,7 +99,7 @@ def schedule(docs: DataFrame, shares: DataFrame, block_rows: int = 64) -> DataFr
     slice_of = F.coalesce(F.shiftright(F.conv(F.substring("mix_md5", 1, 8), 16, 10).cast("bigint") * slices, 32), F.lit(slices))
     # Packed, so that no column of docs can clash with a column used here.
     old = [c for c in docs.columns if c not in NEW]
-    dealt = docs.select(F.struct(*old).alias("row"), "doc_id", KEY.alias("key"), digest.alias("mix_md5")).withColumn("mix_slice", slice_of)
+    dealt = docs.select(F.struct(*old).alias("row"), "doc_id", source_key().alias("key"), digest.alias("mix_md5")).withColumn("mix_slice", slice_of)
     counts = dealt.groupBy("key", "mix_slice").agg(F.count("*").alias("n"))
     before = Window.partitionBy("key").orderBy("mix_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("key", "mix_slice", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
