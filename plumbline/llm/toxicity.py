@@ -32,16 +32,17 @@ from plumbline.llm.common import per_text, whole_text
 
 SPAN, DECAY = 6, 0.6
 LETTERS = 64
+SHORT = 3 * DECAY**6  # added to a word's squared norm: words of few letters say little
 WINDOW, STRIDE = 30, 24  # longer words are read in windows that share more than SPAN places
 MEMO = 250_000
 
 # Labelled rows per class that the machine is fitted on, by hash of doc_id.
 SAMPLE_PER_CLASS = 2000
-LANDMARKS, NEGATIVES, ROUNDS = 256, 30_000, 3
+LANDMARKS, NEGATIVES, ROUNDS = 256, 16_000, 3
 
 SENTENCE = re.compile(r"[.!?]+\s|\n+")
-# Letters spelled apart: at least four in a row.
-APART = re.compile(r"(?<!\S)\S(?:[ \t]\S(?!\S)){3,}")
+# Letters spelled apart, by blanks or by marks: at least four in a row.
+APART = re.compile(r"(?<!\S)\S(?:[ \t]\S(?!\S)){3,}|[^\W\d_](?:[^\w\s][^\W\d_]){3,}")
 
 
 @lru_cache(maxsize=None)
@@ -80,8 +81,8 @@ def _features(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     (i, j, k), weight = _triples(codes.shape[1])
     a, b, c = codes[:, i], codes[:, j], codes[:, k]
     weight = np.where((a > 0) & (b > 0) & (c > 0), weight, 0).astype(np.float32)
-    size = np.sqrt((weight**2).sum(axis=1, keepdims=True))
-    return (a * LETTERS + b) * LETTERS + c, weight / np.maximum(size, 1e-9)
+    size = np.sqrt((weight**2).sum(axis=1, keepdims=True) + SHORT)
+    return (a * LETTERS + b) * LETTERS + c, weight / size
 
 
 def _by_length(words: list[str], limit: int = 4096) -> Iterator[list[int]]:
@@ -121,7 +122,7 @@ def words_of(text: str) -> set[str]:
     low = text.lower()
     words = set(low.split())
     for run in APART.findall(low):
-        words.add("".join(run.split()))
+        words.add("".join(filter(str.isalpha, run)))
     return words
 
 
@@ -225,6 +226,12 @@ def _distinct(bags: list[tuple[int, list[list[str]]]]) -> list[tuple[int, list[l
     return list(first.values())
 
 
+def runs(word: str) -> set[str]:
+    """Runs of four letters, ends marked."""
+    marked = f"^{word}$"
+    return {marked[i : i + 4] for i in range(max(1, len(marked) - 3))}
+
+
 def spelled_apart(word: str) -> list[str]:
     """A word as it may be disguised: marks between its letters, a mark for a
     letter or beside one, a letter put in."""
@@ -252,10 +259,22 @@ def fit(bags: list[tuple[int, list[list[str]]]]) -> Machine:
     if not all(n):
         return NOTHING
 
-    def skew(word: str) -> float:
-        up, down = seen[1].get(word, 0), seen[0].get(word, 0)
+    # Letter runs are shared by words of one stem, so they tell more from few documents.
+    runs_of = {w: runs(w) for w in {*seen[0], *seen[1]}}
+    run_seen = [{}, {}]
+    for label, sentences in train:
+        for run in set().union(*(runs_of[w] for s in sentences for w in s)):
+            run_seen[label][run] = run_seen[label].get(run, 0) + 1
+
+    def lean(counts: list[dict], key: str) -> float:
+        up, down = counts[1].get(key, 0), counts[0].get(key, 0)
         return np.log((up + 0.5) / (n[1] + 1)) - np.log((down + 0.5) / (n[0] + 1)) + 0.05 * min(up, 20)
 
+    run_lean = {r: lean(run_seen, r) for r in run_seen[1]}
+
+    def skew(word: str) -> float:
+        return lean(seen, word) + max((run_lean.get(r, -9.0) for r in runs_of[word]), default=-9.0)
+
     clean = sorted(seen[0], key=lambda w: (-seen[0][w], w))
     striking = sorted((w for w in seen[1] if seen[1][w] >= 2 or n[1] < 8), key=lambda w: (-skew(w), w))[: LANDMARKS * 5 // 8]
     step = max(1, len(clean) // NEGATIVES)

@@ -288,7 +288,7 @@ def test_best_branches_of_a_tree(spark):
 
 # ---- op6 ----------------------------------------------------------------
 
-SF = "/root/testdata/sf0.01"
+SF = "/root/testdata/sf0.1"
 
 
 @pytest.fixture(scope="module")
@@ -300,8 +300,8 @@ def test_toxicity_on_held_out_rows(spark, machine):
     out = toxicity.scores(read(spark, SF, "documents"), machine).join(read(spark, SF, "labels"), "doc_id").collect()
     held = [r for r in out if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
     bad, good = ([r.toxic_score for r in held if r.toxic == t] for t in (1, 0))
-    assert len(bad) >= 5
-    assert np.mean([b > g for b in bad for g in good]) > 0.95
+    assert len(bad) >= 50
+    assert np.mean([b > g for b in bad for g in good]) > 0.92
     assert np.mean([g < 0.5 for g in good]) > 0.97
 
 
@@ -323,7 +323,8 @@ def test_table_equals_landmarks(machine):
         for i, j, k in itertools.combinations(range(len(s)), 3):
             if k - i < toxicity.SPAN:
                 out[s[i] + s[j] + s[k]] = out.get(s[i] + s[j] + s[k], 0) + toxicity.DECAY ** (k - i + 1)
-        size = sum(toxicity.DECAY ** (2 * (k - i + 1)) for i, j, k in itertools.combinations(range(len(s)), 3) if k - i < toxicity.SPAN) ** 0.5
+        size = sum(toxicity.DECAY ** (2 * (k - i + 1)) for i, j, k in itertools.combinations(range(len(s)), 3) if k - i < toxicity.SPAN)
+        size = (size + toxicity.SHORT) ** 0.5
         return {u: v / size for u, v in out.items()}
 
     a, b = features("stupid"), features("student")
