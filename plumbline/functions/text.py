@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 # trim alone removes blanks only.
 WHITESPACE = "".join(chr(i) for i in range(sys.maxunicode + 1) if chr(i).isspace())
 
-MONEY = "decimal(18,2)"
+# Amounts are kept to ten decimals, so that parts of a cent add up; sums get ten
+# more digits. Nothing is rounded to cents on the way.
+MONEY = "decimal(28,10)"
 
 
 def upper_key(c: Column) -> Column:
@@ -77,6 +79,11 @@ def undefined_if_blank(c: Column, label: str = "UNDEFINED") -> Column:
     return F.when(c.isNull() | (c == " "), F.lit(label)).otherwise(c)
 
 
+def cp1252_text(text: str) -> str:
+    """As :func:`cp1252_from_latin1`, for a string."""
+    return "".join(bytes([ord(c)]).decode("cp1252", "replace") if 0x80 <= ord(c) < 0xA0 else c for c in text)
+
+
 def cp1252_from_latin1(c: Column) -> Column:
     """Windows-1252 text that was decoded as ISO-8859-1."""
     wrong, right = [], []

@@ -120,7 +120,8 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def profile_nulls(df: DataFrame) -> DataFrame:
-    """Per column: number and percentage of nulls, and the type. One pass."""
+    """Per column: number and percentage of nulls, and the type. One pass. The
+    percentage of an empty table is null."""
     names = df.columns
     nulls = df.agg(
         F.count("*").alias("_rows"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"_n{i}") for i, c in enumerate(names)]
@@ -130,7 +131,7 @@ def profile_nulls(df: DataFrame) -> DataFrame:
             F.struct(
                 F.lit(c).alias("column_name"),
                 F.col(f"_n{i}").alias("total"),
-                (F.col(f"_n{i}") / F.col("_rows") * 100).alias("percent"),
+                (F.try_divide(f"_n{i}", "_rows") * 100).alias("percent"),
                 F.lit(df.schema[c].dataType.simpleString()).alias("type"),
             )
             for i, c in enumerate(names)

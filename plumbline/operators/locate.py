@@ -16,14 +16,15 @@ PREFIX = 8
 
 
 def _first_of(text: Column, pairs: list[tuple[str, str]], chunk: int = 16) -> Column:
-    """Search a chunk of the list at a time, so that an early hit ends it."""
+    """Search a chunk of the list at a time, so that an early hit ends it. The
+    first term found decides, also when its value is null."""
     if not pairs:
         return F.lit(None).cast("string")
     hits = []
     for i in range(0, len(pairs), chunk):
-        listed = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(v).alias("v")) for t, v in pairs[i : i + chunk]])
-        hits.append(F.get(F.filter(listed, lambda p: F.contains(text, p["t"])), F.lit(0))["v"])
-    return F.coalesce(*hits)
+        listed = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(v).cast("string").alias("v")) for t, v in pairs[i : i + chunk]])
+        hits.append(F.get(F.filter(listed, lambda p: F.contains(text, p["t"])), F.lit(0)))
+    return F.coalesce(*hits)["v"]
 
 
 def first_contained(
@@ -41,13 +42,13 @@ def first_contained(
     or that term's ``value``; null if none is.
 
     Terms are matched as substrings, so the first listed wins over a longer
-    one. A dictionary of at most ``max_terms`` becomes a constant in a
+    one, an empty term is in every text, and a null term or text in none. A dictionary of at most ``max_terms`` becomes a constant in a
     projection. A larger one is joined: the texts' substrings of up to
     PREFIX characters meet the terms' prefixes, and only texts that then
     contain the term stay.
     """
     value = value or term
-    terms = dictionary.filter(F.length(term) > 0).select(
+    terms = dictionary.filter(F.col(term).isNotNull()).select(
         F.col(term).alias("_term"), F.col(order).alias("_rank"), F.col(value).alias("_value")
     )
     held = terms.limit(max_terms + 1).collect()
@@ -58,6 +59,9 @@ def first_contained(
 
 
 def _first_contained_join(df: DataFrame, text: Column, terms: DataFrame, out: str) -> DataFrame:
+    # An empty term is in every text: of these the first is a bound for all.
+    empty = terms.filter(F.length("_term") == 0).agg(F.min(F.struct("_rank", "_value")).alias("_all"))
+    terms = terms.filter(F.length("_term") > 0)
     keyed = df.withColumn("_text", text).withColumn("_id", F.sha2("_text", 256))
     texts = keyed.filter(F.col("_text").isNotNull()).groupBy("_id").agg(F.any_value("_text").alias("_text"))
     indexed = terms.withColumn("_gram", F.substring("_term", 1, PREFIX))
@@ -67,8 +71,10 @@ def _first_contained_join(df: DataFrame, text: Column, terms: DataFrame, out: st
     found = texts.select("_id", F.explode(F.array_distinct(grams)).alias("_gram"))
     candidates = found.join(indexed, "_gram").select("_id", "_term", "_rank", "_value")
     hits = candidates.join(texts, "_id").filter(F.contains("_text", F.col("_term")))
-    best = hits.groupBy("_id").agg(F.min_by("_value", "_rank").alias(out))
-    return keyed.join(best, "_id", "left").drop("_id", "_text")
+    best = hits.groupBy("_id").agg(F.min(F.struct("_rank", "_value")).alias("_hit"))
+    # least() skips nulls
+    first = F.when(F.col("_text").isNotNull(), F.least("_hit", empty.scalar()))
+    return keyed.join(best, "_id", "left").withColumn(out, first["_value"]).drop("_id", "_text", "_hit")
 
 
 def county_dictionary(geo: DataFrame, city: str, county: str, order: str) -> DataFrame:
@@ -96,21 +102,9 @@ def resolve_location(
     """City named in a text, else a city of the county named there, else the
     text itself, in upper case."""
     text = F.upper(F.col(column))
-    held = geo.select(city, county, order).limit(max_terms + 1).collect()
-    if len(held) > max_terms:
-        df = first_contained(df, text, geo, city, order, "_city", max_terms=max_terms)
-        df = first_contained_county(
-            df, text, geo, "_city2", city=city, county=county, order=order, max_terms=max_terms
-        )
-        return df.withColumn(out, F.coalesce("_city", "_city2", text)).drop("_city", "_city2")
-    held.sort(key=lambda r: r[order])
-    cities = [(r[city], r[city]) for r in held if r[city]]
-    firsts: dict[str, str] = {}
-    for r in held:
-        if r[county]:
-            firsts.setdefault(r[county], r[city])
-    counties = [(name.split(" ")[0].upper(), first.upper()) for name, first in firsts.items() if first]
-    return df.withColumn(out, F.coalesce(_first_of(text, cities), _first_of(text, counties), text))
+    df = first_contained(df, text, geo, city, order, "_city", max_terms=max_terms)
+    df = first_contained_county(df, text, geo, "_city2", city=city, county=county, order=order, max_terms=max_terms)
+    return df.withColumn(out, F.coalesce("_city", "_city2", text)).drop("_city", "_city2")
 
 
 def city_from_address(

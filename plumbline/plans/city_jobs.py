@@ -33,7 +33,7 @@ def internet_circuits(fact: DataFrame, refs: Refs, year: str) -> DataFrame:
     by_city = {"city": F.upper("city")}
     steps = STEPS["circuits"][year][0]
     if year == "21-22":
-        df = apply_steps(fact, "city", steps, refs, present=True)
+        df = apply_steps(fact, "city", steps, refs, texts=("inventory_id",), present=True)
         spec = {"internet_circuits": ("inventory_id", "nunique"), "value_of_internet_circuits": ("retail", "money")}
         return aggregate(df, by_city, spec, present=True)
     per_zip = pre_sum(fact.withColumn("charge", F.col("charge").cast(MONEY)), ["zip"], ["circuits", "charge"])
@@ -141,7 +141,7 @@ def state_surplus(
 def marketplace(fact: DataFrame, refs: Refs, year: str, *, home_state: str) -> DataFrame:
     """fact: state, city, amount (text), vendor."""
     df = fact.filter(F.col("state") == home_state).select("city", "amount", "vendor")
-    df = apply_steps(df, "city", STEPS["marketplace"][year][0], refs, present=True)
+    df = apply_steps(df, "city", STEPS["marketplace"][year][0], refs, texts=("vendor",), present=True)
     df = df.withColumn("amount", strip_commas(F.col("amount")).cast(MONEY))
     return aggregate(df, ["city"], {"marketplace_spend": ("amount", "money"), "vendors": ("vendor", "nunique")}, present=True)
 
@@ -293,7 +293,7 @@ def _of_year(fact: DataFrame, year: str) -> DataFrame:
 def retirement_employers(fact: DataFrame, refs: Refs, year: str) -> DataFrame:
     """fact: agency, city, contribution, and fiscal_year in 19-20 and 20-21.
     Before 21-22 the contributions come from the same pass."""
-    df = apply_steps(_of_year(fact, year), "city", STEPS["employers"][year][0], refs, present=True)
+    df = apply_steps(_of_year(fact, year), "city", STEPS["employers"][year][0], refs, texts=("agency",), present=True)
     spec = {"employers_using_retirement_system": ("agency", "nunique")}
     if year != "21-22":
         spec["employer_contributions"] = ("contribution", "money")

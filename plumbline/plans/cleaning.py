@@ -55,10 +55,15 @@ def apply_steps(
     *,
     inline: dict[str, str] | None = None,
     drop_zips: tuple[str, ...] = (),
+    texts: tuple[str, ...] = (),
     present: bool = False,
 ) -> DataFrame:
     """Run the steps on column ``key``.
 
+    The spelling map also replaces in the text columns ``texts``: those that
+    a job counts distinct values of. In the others it could change nothing
+    that is used.
+
     ``present`` also drops rows that would end with a null key, as the
     group-by after the steps does: no step but J makes a null, and F leaves
     none, so they go before the other work is done on them.
@@ -84,7 +89,7 @@ def apply_steps(
         # become one projection
         df, expr = flush(df), pending
         if step == "R":
-            df = clean.replace_values(df, [key], refs.replacements)
+            df = clean.replace_values(df, [key, *texts], refs.replacements)
         elif step == "X":
             df = clean.exclude_values(df, key, refs.exclusions)
         elif step == "N":

@@ -7,12 +7,14 @@ are data, a rename map brings that year's headers to one declared schema.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import csv
+import io
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.functions.text import cp1252_from_latin1
+from plumbline.functions.text import cp1252_from_latin1, cp1252_text
 from plumbline.operators.clean import dedup_first, with_fy
 from plumbline.operators.unions import union_years
 from plumbline.plans.claims import SHEETS
@@ -26,7 +28,7 @@ from plumbline.plans.fixed import (
 )
 from plumbline.plans.out_of_state import claims_outside, fy_spine, retirees_outside, spend_outside, summary
 from plumbline.plans.years import city_year_table, county_year_table
-from plumbline.sources.ordinals import ORDINAL, correct_at, promote_header, skip_footer, with_ordinal
+from plumbline.sources.ordinals import ORDINAL, promote_header, with_ordinal
 from plumbline.sources.tables import conform, read_list, read_mapping, write_table, write_year
 
 ROW = "row_id"
@@ -54,6 +56,12 @@ class File:
     path: str
     renames: dict[str, str] = field(default_factory=dict)
     encoding: str = "utf-8"
+    # Sheets (files or folders below ``path``) in their order.
+    sheets: tuple[str, ...] = ()
+    # Cells may hold line breaks; such a file is read by one task.
+    multiline: bool = False
+    # In place of the fixed layout of the source and year.
+    layout: Layout | None = None
 
 
 # Rows of the sources that are not a plain table, by year.
@@ -85,39 +93,39 @@ LAYOUTS: dict[str, dict[str, Layout]] = {
     "contributions": {"21-22": Layout(footer=1)},
 }
 
-_CLAIM = "zip string, enrollee decimal(18,2), dependents decimal(18,2)"
+_CLAIM = "zip string, enrollee decimal(28,10), dependents decimal(28,10)"
 _COSTS = "city string, asset string, operating_cost string, maintenance_cost string, fuel_cost string"
-_RETIREE = "zip string, payment decimal(18,2), payees bigint"
-_EMPLOYER = "agency string, city string, contribution decimal(18,2)"
+_RETIREE = "zip string, payment decimal(28,10), payees bigint"
+_EMPLOYER = "agency string, city string, contribution decimal(28,10)"
 _BUILDING = (
-    "agency string, id string, city string, square_feet decimal(18,2), land decimal(18,2), structure decimal(18,2)"
+    "agency string, id string, city string, square_feet decimal(28,10), land decimal(28,10), structure decimal(28,10)"
 )
-_POSITION = "emp_type bigint, city string, position string, vacant string, fte decimal(18,6)"
+_POSITION = "emp_type bigint, city string, position string, vacant string, fte decimal(28,10)"
 
 # Declared columns of every source; a year's own where they differ.
 SCHEMAS: dict[str, str | dict[str, str]] = {
     "circuits": {
-        "": "zip string, circuits bigint, charge decimal(18,2)",
-        "21-22": "inventory_id string, city string, retail decimal(18,2)",
+        "": "zip string, circuits bigint, charge decimal(28,10)",
+        "21-22": "inventory_id string, city string, retail decimal(28,10)",
     },
-    "grants": "county string, final_award decimal(18,2)",
+    "grants": "county string, final_award decimal(28,10)",
     "disbursements": {
-        "": "county string, wireless decimal(18,2), nonwireless decimal(18,2), prepaid_wireless decimal(18,2), "
-        "supplemental decimal(18,2), special decimal(18,2)",
-        "18-19": "county string, total decimal(18,2)",
+        "": "county string, wireless decimal(28,10), nonwireless decimal(28,10), prepaid_wireless decimal(28,10), "
+        "supplemental decimal(28,10), special decimal(28,10)",
+        "18-19": "county string, total decimal(28,10)",
     },
     "erate": "county string, authorized string",
     "call_centers": "county string, center string",
     "towers": "county string, tower string",
-    "phones_local": "city string, charges decimal(18,2)",
-    "phones_internet": "city string, charges decimal(18,2)",
+    "phones_local": "city string, charges decimal(28,10)",
+    "phones_internet": "city string, charges decimal(28,10)",
     **{name: _CLAIM for name in SHEETS},
     "fleet": _COSTS,
-    "prisons": "facility string, reimbursement decimal(18,2)",
+    "prisons": "facility string, reimbursement decimal(28,10)",
     "prison_locations": "facility string, city string",
     "federal_surplus": {
-        "": "agency string, invoice string, acquisition_cost decimal(18,2), service_charge decimal(18,2), items bigint",
-        "20-21": "agency string, savings decimal(18,2), items bigint",
+        "": "agency string, invoice string, acquisition_cost decimal(28,10), service_charge decimal(28,10), items bigint",
+        "20-21": "agency string, savings decimal(28,10), items bigint",
     },
     "state_surplus": {
         "": "donee string, line_items bigint, direct_cost string, federal_cost string, overseas_cost string, service_charge string",
@@ -132,26 +140,31 @@ SCHEMAS: dict[str, str | dict[str, str]] = {
         "19-20": "tax_id string, business string, effective_on date, expire_on date, address string",
     },
     "positions": {
-        "": f"{_POSITION}, base_rate decimal(18,6), pay_code string",
-        "21-22": f"{_POSITION}, salary decimal(18,2), health decimal(18,2), home_city string",
+        "": f"{_POSITION}, base_rate decimal(28,10), pay_code string",
+        "21-22": f"{_POSITION}, salary decimal(28,10), health decimal(28,10), home_city string",
     },
     "facilities": {
         "": _BUILDING,
-        "18-19": f"{_BUILDING}, utilities decimal(18,2), operating decimal(18,2)",
-        "19-20": f"{_BUILDING}, utilities decimal(18,2), operating decimal(18,2)",
+        "18-19": f"{_BUILDING}, utilities decimal(28,10), operating decimal(28,10)",
+        "19-20": f"{_BUILDING}, utilities decimal(28,10), operating decimal(28,10)",
     },
-    "expenses": "city string, category string, amount decimal(18,2)",
-    "construction": "city string, funds decimal(18,2)",
+    "expenses": "city string, category string, amount decimal(28,10)",
+    "construction": "city string, funds decimal(28,10)",
     "retirees": {"": f"{_RETIREE}, fiscal_year string", "18-19": _RETIREE, "21-22": _RETIREE},
     "retirees_outside": {"": f"{_RETIREE}, fiscal_year string", "21-22": _RETIREE},
     "employers": {"": f"{_EMPLOYER}, fiscal_year string", "18-19": _EMPLOYER, "21-22": _EMPLOYER},
     "contributions": _EMPLOYER,
-    "travel": "destination string, amount decimal(18,2)",
+    "travel": "destination string, amount decimal(28,10)",
 }
 
 # Sources whose jobs refer to row order.
 ORDERED = {"federal_surplus", "certified", "donees", "prisons", "retirees_outside"}
 ORDERS = {name: [ROW] for name in ORDERED}
+# Sources whose undeclared columns are part of the result.
+KEEPS_ALL = {"prison_locations"}
+# Numbers of a sheet's rows start this far from those of the one before.
+SHEET_ROWS = 1 << 40
+RAGGED = "_ragged"
 
 
 def schema_of(source: str, year: str) -> str:
@@ -161,26 +174,82 @@ def schema_of(source: str, year: str) -> str:
 
 def load_source(spark: SparkSession, file: File, source: str, year: str) -> DataFrame:
     """A landed source of one year with its declared columns, plus ``row_id``
-    where the job needs the order."""
-    layout = LAYOUTS.get(source, {}).get(year, Layout())
-    schema = schema_of(source, year)
-    reader = spark.read.option("encoding", "iso-8859-1" if file.encoding == "cp1252" else file.encoding)
-    if layout.plain and source not in ORDERED:
-        # no schema: every column is text until it is conformed
-        return conform(_recoded(reader.option("header", True).csv(file.path), file), file.renames, schema)
-    rows = promote_header(with_ordinal(_recoded(reader.csv(file.path), file)), [ORDINAL], at=layout.header)
-    if layout.footer:
-        rows = skip_footer(rows, layout.footer, [ORDINAL])
-    number = F.col(ORDINAL) - (layout.header + 1)
-    kept = rows.withColumn(ROW, number).filter(F.col(ROW) >= layout.first)
-    if layout.last is not None:
-        kept = kept.filter(F.col(ROW) <= layout.last)
-    out = conform(kept, file.renames, f"{schema}, {ROW} bigint")
+    where the job needs the order.
+
+    Every data row must have as many cells as the header row; lines above the
+    header and lines cut off may have any number. Sheets of a file each have a
+    header row of their own and follow each other in the order given.
+    """
+    layout = file.layout or LAYOUTS.get(source, {}).get(year, Layout())
+    if file.sheets:
+        parts = [
+            _rows(spark, replace(file, path=f"{file.path.rstrip('/')}/{sheet}", sheets=()), layout, True)
+            .withColumnsRenamed(file.renames).withColumn(ROW, F.col(ROW) + i * SHEET_ROWS)
+            for i, sheet in enumerate(file.sheets)
+        ]
+        rows = union_years(parts)
+    else:
+        rows = _rows(spark, file, layout, source in ORDERED)
+    ordered = ROW in rows.columns
+    out = _declared(rows, file, source, year, ordered)
     if source == "prisons":
-        out = correct_at(out, *PRISON_CORRECTION, [ROW])
+        at, column, value = PRISON_CORRECTION
+        out = out.withColumn(column, F.when(F.col(ROW) == at, F.lit(value)).otherwise(F.col(column)))
     return out if source in ORDERED else out.drop(ROW)
 
 
+def _declared(rows: DataFrame, file: File, source: str, year: str, ordered: bool) -> DataFrame:
+    schema = schema_of(source, year) + (f", {ROW} bigint" if ordered else "")
+    if source not in KEEPS_ALL:
+        return conform(rows, file.renames, schema)
+    declared = conform(rows, file.renames, schema)
+    renamed = rows.withColumnsRenamed(file.renames)
+    return renamed.select(*[F.col(f"`{c}`").cast(declared.schema[c].dataType) if c in declared.columns else F.col(f"`{c}`") for c in renamed.columns])
+
+
+def _rows(spark: SparkSession, file: File, layout: Layout, ordered: bool) -> DataFrame:
+    """Data rows of one sheet under the names of its header row, all as text,
+    with ``row_id`` if the layout or the caller needs it."""
+    reader = spark.read.option("encoding", "iso-8859-1" if file.encoding == "cp1252" else file.encoding)
+    reader = reader.option("multiLine", file.multiline)
+    names = _header(reader, file.path, layout.header)
+    if file.encoding == "cp1252":
+        names = [cp1252_text(n) for n in names]
+    text = ", ".join(f"`_c{i}` string" for i in range(len(names)))
+    named = [F.col(f"_c{i}").alias(n) for i, n in enumerate(names) if n]
+    if layout.plain and not ordered:
+        # a row with another number of cells fails the job
+        df = reader.schema(text).option("header", True).option("enforceSchema", True).option("mode", "FAILFAST").csv(file.path)
+        return _recoded(df, file).select(*named)
+    ragged = reader.schema(f"{text}, {RAGGED} string").option("columnNameOfCorruptRecord", RAGGED).option("columnPruning", False)
+    rows = with_ordinal(_recoded(ragged.csv(file.path), file), total="_all")
+    at, last = F.col(ORDINAL) - (layout.header + 1), F.col("_all") - layout.footer
+    inside = (F.col(ROW) >= layout.first) & (F.col(ORDINAL) < last)
+    if layout.last is not None:
+        inside = inside & (F.col(ROW) <= layout.last)
+    # A query may not read the record of a faulty line alone, so a cell is read with it.
+    fits = F.col(RAGGED).isNull() & (F.length(F.coalesce("_c0", F.lit(""))) >= 0)
+    fault = F.raise_error(F.concat(F.lit(f"{file.path}: not {len(names)} cells: "), F.col(RAGGED))).cast("boolean")
+    kept = rows.withColumn(ROW, at).where(F.when(~inside, False).when(fits, True).otherwise(fault))
+    return kept.select(*named, ROW)
+
+
+def _header(reader: DataFrameReader, path: str, at: int) -> list[str]:
+    """Cells of the header row, read with the lines above it from the start of
+    the first file."""
+    first = min(reader.text(path).inputFiles())
+    # No line has so few cells, so each comes as the record it is.
+    raw = reader.schema(f"`_c0` string, `_c1` string, {RAGGED} string").option("columnNameOfCorruptRecord", RAGGED)
+    lines = raw.option("columnPruning", False).csv(first).head(at + 1)
+    if len(lines) <= at:
+        raise ValueError(f"{path}: no header row {at}")
+    line = lines[at]
+    record = line[RAGGED] if line[RAGGED] is not None else None
+    if record is None:
+        return [line[0] or "", line[1] or ""]
+    return [c.strip() if "\n" not in c else c for c in next(csv.reader(io.StringIO(record)))]
+
+
 def _recoded(df: DataFrame, file: File) -> DataFrame:
     if file.encoding != "cp1252":
         return df

@@ -1,9 +1,11 @@
 """Row positions: headers, footers, slices and corrections by ordinal.
 
 A scan has no row order, so every function takes the columns that give it
-(``order``, unique together). Trims look up the order value at the cut with a
-bounded top-n and filter on it; the rows themselves are neither sorted nor
-shuffled. Cuts further in than TOP_N number the rows instead.
+(``order``). Nulls come first, and rows with equal order values are on one side
+of a cut together. Trims look up the order value at the cut and filter on it;
+the rows themselves are neither sorted nor shuffled. How the value is looked up
+depends on the depth of the cut (a bounded top-n, or beyond TOP_N numbered rows);
+what it is does not.
 """
 
 from __future__ import annotations
@@ -18,14 +20,18 @@ ORDINAL = "_ord"
 # before the shuffle up to this depth.
 TOP_N = 1000
 MERGE_GROUPS = 256
+# A table of block sizes up to this many rows (a few megabytes) is broadcast.
+MOST_BLOCKS = 20_000
 
 
 def _key(order: list[str]) -> Column:
-    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    # a struct is never null, and compares with nulls first
+    return F.struct(*order)
 
 
-def with_ordinal(df: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """Attach ``_ord``, the row number from 0.
+def with_ordinal(df: DataFrame, order: list[str] | None = None, *, total: str | None = None) -> DataFrame:
+    """Attach ``_ord``, the row number from 0, and with ``total`` a column of
+    that name with the number of all rows.
 
     Without ``order``, ``df`` must come straight from files and is numbered in
     path and line order: rows are counted per file block, so blocks stay
@@ -33,7 +39,9 @@ def with_ordinal(df: DataFrame, order: list[str] | None = None) -> DataFrame:
     partitioned by the whole key, so that even a leading value most rows share
     is split, and written to the scratch folder with their place; the written
     table fixes the ranges, which another run of the same plan might cut
-    elsewhere. Both ways only the sizes of the blocks are gathered.
+    elsewhere. Both ways only the sizes of the blocks are gathered, in a table
+    of one row per block; while it is small it is broadcast, so that no row is
+    shuffled to look its block up.
     """
     if order is None:
         path, start = F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start")
@@ -47,9 +55,18 @@ def with_ordinal(df: DataFrame, order: list[str] | None = None) -> DataFrame:
     # a block is read by one task in its order, so its numbers are consecutive
     sizes = rows.groupBy("_block").agg(F.count("*").alias("_n"), F.min("_row").alias("_row0"))
     earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_block", "_row0", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    everything = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    starts = sizes.select(
+        "_block", "_row0", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"), F.sum("_n").over(everything).alias("_all")
+    )
+    kept = scratch_dir(df.sparkSession, "blocks")
+    starts.write.parquet(kept)
+    starts = df.sparkSession.read.schema(starts.schema).parquet(kept)
+    if starts.count() <= MOST_BLOCKS:
+        starts = F.broadcast(starts)
     number = F.col("_start") + F.col("_row") - F.col("_row0")
-    return rows.join(starts, "_block").select(*df.columns, number.cast("bigint").alias(ORDINAL))
+    out = [F.col("_all").cast("bigint").alias(total)] if total else []
+    return rows.join(starts, "_block").select(*df.columns, number.cast("bigint").alias(ORDINAL), *out)
 
 
 def _nearest(df: DataFrame, order: list[str], n: int, last: bool = False) -> DataFrame:
@@ -66,15 +83,18 @@ def _nearest(df: DataFrame, order: list[str], n: int, last: bool = False) -> Dat
 
 def _bound(df: DataFrame, order: list[str], n: int, last: bool = False) -> Column:
     """Order value of the n-th row from the start, or from the end."""
-    return _nearest(df, order, n, last).agg((F.min if last else F.max)("_k")).scalar()
+    if n <= TOP_N:
+        held = _nearest(df, order, n, last)
+    else:
+        rows = with_ordinal(df, order)
+        place = F.col(ORDINAL)
+        inside = place >= rows.agg(F.count("*")).scalar() - n if last else place < n
+        held = rows.filter(inside).select(_key(order).alias("_k"))
+    return held.agg((F.min if last else F.max)("_k")).scalar()
 
 
 def slice_rows(df: DataFrame, start: int, stop: int | None, order: list[str]) -> DataFrame:
     """Rows ``start`` to ``stop - 1``; ``stop=None`` runs to the end."""
-    if max(start, stop or 0) > TOP_N:
-        at = F.col(ORDINAL)
-        inside = (at >= start) & (at < stop) if stop is not None else at >= start
-        return with_ordinal(df, order).filter(inside).drop(ORDINAL)
     out = df
     if start > 0:
         out = out.filter(_key(order) > _bound(df, order, start))
@@ -96,17 +116,17 @@ def skip_footer(df: DataFrame, n: int, order: list[str]) -> DataFrame:
     """Leave out the last ``n`` rows."""
     if n <= 0:
         return df
-    if n > TOP_N:
-        rows = with_ordinal(df, order)
-        return rows.filter(F.col(ORDINAL) < rows.agg(F.count("*")).scalar() - n).drop(ORDINAL)
     return df.filter(_key(order) < _bound(df, order, n, last=True))
 
 
 def rows_at(df: DataFrame, ordinals: list[int], order: list[str]) -> Column:
-    """Array of the order values at the given ordinals."""
-    held = _nearest(df, order, max(ordinals) + 1).agg(F.sort_array(F.collect_list("_k")).alias("_ks"))
-    picked = F.transform(F.array(*map(F.lit, ordinals)), lambda i: F.get("_ks", i))
-    return held.select(picked).scalar()
+    """Array of the order values at the given ordinals; only these are gathered."""
+    depth = max(ordinals) + 1
+    if depth <= TOP_N:
+        held = _nearest(df, order, depth).withColumn(ORDINAL, F.row_number().over(Window.orderBy("_k")) - 1)
+    else:
+        held = with_ordinal(df, order).select(_key(order).alias("_k"), ORDINAL)
+    return held.filter(F.col(ORDINAL).isin(*ordinals)).agg(F.collect_list("_k")).scalar()
 
 
 def drop_ordinals(df: DataFrame, ordinals: list[int], order: list[str]) -> DataFrame:

@@ -64,7 +64,15 @@ def _landed(spark: SparkSession, path: str, schema: T.StructType | str | None, f
         if SHEET not in schema.names:
             schema = T.StructType(schema.fields + [T.StructField(SHEET, T.StringType())])
         reader = reader.schema(schema)
-    return reader.option("header", True).csv(path) if fmt == "csv" else reader.parquet(path)
+    reader = reader.option("header", True).option("mode", "FAILFAST")
+    read = reader.csv if fmt == "csv" else reader.parquet
+    df = read(path)
+    if schema is None and df.schema[SHEET].dataType != T.StringType():
+        # Sheet names of digits would be read as numbers, and 07 as 7.
+        fields = [T.StructField(f.name, T.StringType()) if f.name == SHEET else f for f in df.schema]
+        df = (spark.read.schema(T.StructType(fields)).option("header", True).option("mode", "FAILFAST").csv if fmt == "csv"
+              else spark.read.schema(T.StructType(fields)).parquet)(path)
+    return df
 
 
 def read_sheet(

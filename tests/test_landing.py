@@ -3,7 +3,7 @@
 import pytest
 
 from plumbline.plans.claims import SHEETS
-from plumbline.plans.landing import LAYOUTS, SCHEMAS, File, assemble_out_of_state, assemble_year, load_refs, load_source, schema_of
+from plumbline.plans.landing import LAYOUTS, SCHEMAS, File, Layout, assemble_out_of_state, assemble_year, load_refs, load_source, schema_of
 from plumbline.plans.years import all_years
 from plumbline.sources.tables import read_years
 
@@ -97,3 +97,36 @@ def test_out_of_state_summary(spark, shared, tmp_path):
     assert got["20-21"]["invoices"] == 1 and got["20-21"]["non_home_vendors"] == 2 and got["20-21"]["non_home_marketplace_spend"] == 4.0
     # 99999 is outside everywhere; the total line is a row where it is not cut
     assert got["21-22"]["non_home_medical_claims"] == 6.0 and got["21-22"]["non_home_claims"] == 12.0
+
+
+MONTHLY = {"Agency": "agency", "Invoice\nNumber": "invoice", "Cost": "acquisition_cost", "Service Charge": "service_charge", "Items": "items"}
+
+
+def test_sheets_with_headers_of_their_own(spark, tmp_path):
+    put(tmp_path, "July.csv", 'Agency,"Invoice\nNumber",Cost,Service Charge,Items\n"Tampa\nannex",i1,1.005,0.001,2\nOcala,i2,2,0,1\n')
+    put(tmp_path, "August.csv", 'Items,Cost,Service Charge,Agency,"Invoice\nNumber"\n7,5,1,Miami,i3\n')
+    file = File(str(tmp_path), MONTHLY, sheets=("July.csv", "August.csv"), multiline=True)
+    got = sorted(load_source(spark, file, "federal_surplus", "21-22").collect(), key=lambda r: r["row_id"])
+    assert [(r["agency"], r["invoice"], float(r["acquisition_cost"]), r["items"]) for r in got] == [
+        ("Tampa\nannex", "i1", 1.005, 2), ("Ocala", "i2", 2.0, 1), ("Miami", "i3", 5.0, 7),
+    ]
+
+
+def test_rows_of_another_width_fail(spark, tmp_path):
+    names = {"zip": "zip"}
+    short_title = put(tmp_path, "a.csv", "title\nzip,payment,payees\n" + "00001,1,1\n" * 70 + "total\n")
+    assert load_source(spark, File(short_title, names), "retirees", "21-22").count() == 10
+    for bad in ("00001,1\n", "00001,1,1,9\n"):
+        path = put(tmp_path, "b.csv", "title\nzip,payment,payees\n" + "00001,1,1\n" * 65 + bad + "total\n")
+        with pytest.raises(Exception, match="not 3 cells"):
+            load_source(spark, File(path, names), "retirees", "21-22").collect()
+        plain = put(tmp_path, "c.csv", "destination,amount,x\na,1,1\n" + bad.replace(",9", ",9"))
+        with pytest.raises(Exception):
+            load_source(spark, File(plain), "travel", "21-22").collect()
+
+
+def test_given_layout_and_kept_columns(spark, tmp_path):
+    path = put(tmp_path, "d.csv", "note,,\nFacility,City,District\nF1,Tampa,4\nF2,Ocala,5\n")
+    file = File(path, {"Facility": "facility", "City": "city"}, layout=Layout(header=1))
+    got = load_source(spark, file, "prison_locations", "21-22")
+    assert got.columns == ["facility", "city", "District"] and sorted(r["District"] for r in got.collect()) == ["4", "5"]
