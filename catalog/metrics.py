@@ -58,7 +58,7 @@ HALVED = f"CAST(ceil(coalesce(sum(circuits), 0) / 2) AS BIGINT) AS internet_circ
             Y18: _grouped(cleaned("zip_circuits", "city", "J S R X"), "city", HALVED, "upper(city)"),
             Y19: _grouped(cleaned("zip_circuits", "city", "J S R X"), "city", ZIPPED, "upper(city)"),
             Y20: _grouped(cleaned("zip_circuits", "city", "J R X U S"), "city", ZIPPED, "upper(city)"),
-            Y21: _grouped(cleaned("site_circuits", "city", "U S R X"), "city", SITE, "upper(city)"),
+            Y21: _grouped(cleaned("site_circuits", "city", "U S R X", texts=("inventory_id",)), "city", SITE, "upper(city)"),
         }
     ),
 )
@@ -309,7 +309,7 @@ AT_HOME = "(SELECT city, amount, vendor FROM spend WHERE state = 'HS')"
 
 
 def _market(steps: str) -> str:
-    return _grouped(cleaned(AT_HOME, "city", steps), "city", MARKET)
+    return _grouped(cleaned(AT_HOME, "city", steps, texts=("vendor",)), "city", MARKET)
 
 
 @add(
@@ -561,10 +561,10 @@ EMPLOYERS_2020 = "(SELECT * FROM employers WHERE fiscal_year = '2020')"
     f"{ctes('employers', *REFS)} "
     + _rules("employers", 
         {
-            Y18: _grouped(cleaned("employers", "city", "T R X"), "city", f"{AGENCIES}, {PAID_IN}"),
-            Y19: _grouped(cleaned(EMPLOYERS_2020, "city", "U S R X"), "city", f"{AGENCIES}, {PAID_IN}"),
-            Y20: _grouped(cleaned(EMPLOYERS_2020, "city", "S R X"), "city", f"{AGENCIES}, {PAID_IN}"),
-            Y21: _grouped(cleaned("employers", "city", "R X S"), "city", AGENCIES),
+            Y18: _grouped(cleaned("employers", "city", "T R X", texts=("agency",)), "city", f"{AGENCIES}, {PAID_IN}"),
+            Y19: _grouped(cleaned(EMPLOYERS_2020, "city", "U S R X", texts=("agency",)), "city", f"{AGENCIES}, {PAID_IN}"),
+            Y20: _grouped(cleaned(EMPLOYERS_2020, "city", "S R X", texts=("agency",)), "city", f"{AGENCIES}, {PAID_IN}"),
+            Y21: _grouped(cleaned("employers", "city", "R X S", texts=("agency",)), "city", AGENCIES),
         }
     ),
 )
@@ -578,7 +578,7 @@ def _(spark, sf):
     f"{ctes('employers', *REFS)} "
     + _rules("contributions", 
         {
-            Y18: _grouped(cleaned("employers", "city", "T R X"), "city", PAID_IN),
+            Y18: _grouped(cleaned("employers", "city", "T R X", texts=("agency",)), "city", PAID_IN),
             Y19: _grouped(cleaned(EMPLOYERS_2020, "city", "U S R X"), "city", PAID_IN),
             Y20: _grouped(cleaned(EMPLOYERS_2020, "city", "S R X"), "city", PAID_IN),
             Y21: _grouped(cleaned("employers", "city", "R X L S"), "city", PAID_IN),

@@ -96,6 +96,16 @@ def _money(x: str) -> str:
     return f"CAST({x} AS decimal(18,2))"
 
 
+def _parts(x: str) -> str:
+    """Amounts with parts of a cent."""
+    return f"({_money(x)} * CAST(0.0013 AS decimal(6,4)))"
+
+
+# Values that the spelling map also hits, so that two spellings of one count once.
+def _spelled(x: str) -> str:
+    return f"CASE {x} % 10 WHEN 0 THEN 'NATN_' || CAST(n_nationkey AS STRING) WHEN 1 THEN n_name ELSE CAST({x} AS STRING) END"
+
+
 def _claims(priority: str) -> str:
     blank = " || CASE WHEN o_orderstatus = 'O' THEN ' ' ELSE '' END" if priority[0] in "14" else ""
     return f"""SELECT {_fy('o_orderdate')} AS fy,
@@ -121,15 +131,15 @@ FACTS = {
     "spend": f"""SELECT o_orderkey AS invoice, {_fy('o_orderdate')} AS fy,
         CASE o_orderstatus WHEN 'F' THEN 'HS' WHEN 'O' THEN 'XS' END AS state, {ORDER_CITY} AS city, n_name AS place,
         @money(o_totalprice) AS amount, '$' || @money(o_totalprice) AS amount_usd, {_money('o_totalprice')} AS price,
-        CAST(o_custkey AS STRING) AS vendor, o_orderpriority AS priority, {ORDER_DAY} AS day
+        {_spelled('o_custkey')} AS vendor, o_orderpriority AS priority, {ORDER_DAY} AS day
       FROM {_ORDERS}""",
-    "site_circuits": f"""SELECT {_fy('o_orderdate')} AS fy, CAST(o_custkey AS STRING) AS inventory_id,
+    "site_circuits": f"""SELECT {_fy('o_orderdate')} AS fy, {_spelled('o_custkey')} AS inventory_id,
         {ORDER_CITY} AS city, {_money('o_totalprice')} AS retail FROM {_ORDERS}""",
     "zip_circuits": f"""SELECT {_fy('o_orderdate')} AS fy, lpad(CAST(c_nationkey AS STRING), 5, '0') AS zip,
         CAST(length(o_orderpriority) AS BIGINT) AS circuits, {_money('o_totalprice')} AS charge FROM {_ORDERS}""",
-    "phones_local": f"""SELECT {_fy('o_orderdate')} AS fy, {ORDER_CITY} AS city, {_money('o_totalprice')} AS charges
+    "phones_local": f"""SELECT {_fy('o_orderdate')} AS fy, {ORDER_CITY} AS city, {_parts('o_totalprice')} AS charges
       FROM {_ORDERS} WHERE o_orderstatus <> 'F'""",
-    "phones_internet": f"""SELECT {_fy('o_orderdate')} AS fy, {ORDER_CITY} AS city, {_money('o_totalprice')} AS charges
+    "phones_internet": f"""SELECT {_fy('o_orderdate')} AS fy, {ORDER_CITY} AS city, {_parts('o_totalprice')} AS charges
       FROM {_ORDERS} WHERE n_regionkey <> 0""",
     "medical_retiree": _claims("1-URGENT"),
     "medical_active": _claims("2-HIGH"),
@@ -174,7 +184,7 @@ FACTS = {
         CASE WHEN l_tax = 0 THEN NULL ELSE {_money('l_extendedprice')} END AS salary, {_money('l_tax')} AS health
       FROM {_LINES}""",
     "facilities": f"""SELECT {_fy('l_shipdate')} AS fy, l_linestatus AS agency, nullif(l_linenumber, 2) AS id,
-        {LINE_CITY} AS city, {_money('l_quantity')} AS square_feet, {_money('l_extendedprice')} AS land,
+        {LINE_CITY} AS city, {_parts('l_quantity')} AS square_feet, {_money('l_extendedprice')} AS land,
         {_money('l_discount')} AS structure, {_money('l_tax')} AS utilities,
         CASE WHEN l_returnflag = 'A' THEN NULL ELSE {_money('l_quantity')} END AS operating FROM {_LINES}""",
     "expenses": f"""SELECT {CUSTOMER_CITY} AS city,
@@ -182,7 +192,7 @@ FACTS = {
           WHEN 'purchase' THEN 'Total Direct Expenses' WHEN 'error' THEN 'Other' END AS category,
         {_money('value')} AS amount
       FROM {{events}} JOIN {{customer}} ON user_id = c_custkey JOIN {{nation}} ON c_nationkey = n_nationkey""",
-    "construction": f"""SELECT {_fy('o_orderdate')} AS fy, {ORDER_CITY} AS city, {_money('o_totalprice')} AS funds
+    "construction": f"""SELECT {_fy('o_orderdate')} AS fy, {ORDER_CITY} AS city, {_parts('o_totalprice')} AS funds
       FROM {_ORDERS}""",
     "retirees": f"""SELECT {_fy('o_orderdate')} AS fy, o_orderkey AS row_id,
         CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN '75791'
@@ -190,7 +200,7 @@ FACTS = {
           ELSE lpad(CAST(c_nationkey AS STRING), 5, '0') END AS zip,
         {_money('o_totalprice')} AS payment, CAST(length(o_orderpriority) AS BIGINT) AS payees,
         CAST(year({ORDER_DAY}) AS STRING) AS fiscal_year FROM {_ORDERS}""",
-    "employers": f"""SELECT {_fy('o_orderdate')} AS fy, o_orderkey AS row_id, CAST(o_custkey AS STRING) AS agency,
+    "employers": f"""SELECT {_fy('o_orderdate')} AS fy, o_orderkey AS row_id, {_spelled('o_custkey')} AS agency,
         {ORDER_CITY} AS city, {_money('o_totalprice')} AS contribution,
         CAST(year({ORDER_DAY}) AS STRING) AS fiscal_year FROM {_ORDERS}""",
     "travel": f"""SELECT {_fy('o_orderdate')} AS fy, CASE o_orderpriority
@@ -199,7 +209,7 @@ FACTS = {
           WHEN '3-MEDIUM' THEN 'NATN_' || CAST(n_nationkey AS STRING)
           WHEN '5-LOW' THEN CASE o_orderstatus WHEN 'P' THEN NULL ELSE ' remote ' END
           ELSE n_name || ' then NATION_1' END AS destination,
-        {_money('o_totalprice')} AS amount, o_orderkey AS row_id
+        {_parts('o_totalprice')} AS amount, o_orderkey AS row_id
       FROM {_ORDERS} JOIN {{region}} ON n_regionkey = r_regionkey""",
     "county_facts": f"""SELECT c_custkey AS row_id, {COUNTY} AS county, {_money('c_acctbal')} AS final_award,
         {_money('c_acctbal')} AS total, {_money('c_acctbal')} AS wireless, {_money('c_nationkey')} AS nonwireless,
@@ -245,7 +255,7 @@ def ctes(*names: str) -> str:
     return "WITH " + ",\n".join(parts)
 
 
-def cleaned(source: str, key: str, steps: str, *, zips: str = "zips", inline: dict | None = None, drop_zips=()) -> str:
+def cleaned(source: str, key: str, steps: str, *, zips: str = "zips", inline: dict | None = None, drop_zips=(), texts=()) -> str:
     """Subquery that applies cleaning steps in SQL, written apart from the
     Spark ones."""
     q = f"(SELECT * FROM {source})"
@@ -258,6 +268,8 @@ def cleaned(source: str, key: str, steps: str, *, zips: str = "zips", inline: di
             q = f"(SELECT * REPLACE ({one[step].format(k=key)} AS {key}) FROM {q})"
         elif step == "R":
             q = f"(SELECT f.* REPLACE (coalesce(m.fixed, f.{key}) AS {key}) FROM {q} f LEFT JOIN replacements m ON f.{key} = m.wrong)"
+            for t in texts:
+                q = f"(SELECT f.* REPLACE (coalesce(m.fixed, f.{t}) AS {t}) FROM {q} f LEFT JOIN replacements m ON f.{t} = m.wrong)"
         elif step == "M":
             whens = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in (inline or {}).items())
             q = f"(SELECT * REPLACE (CASE {key} {whens} ELSE {key} END AS {key}) FROM {q})"

@@ -257,7 +257,7 @@ def attach_expenses(table: DataFrame, fact: DataFrame, refs: Refs, *, repeat_row
         return table.join(both, "city", "left")
     df = apply_steps(fact, "city", STEPS["expenses"]["20-21"][0], refs)
     rows = df.filter(F.col("category") == MAINTENANCE).select(
-        "city", "category", F.col("amount").alias("building_maintenance")
+        "city", "category", F.col("amount").cast("double").alias("building_maintenance")
     )
     return table.join(both.select("city", "utility_bills_paid"), "city", "left").join(rows, "city", "left")
 

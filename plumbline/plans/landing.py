@@ -211,7 +211,7 @@ def _rows(spark: SparkSession, file: File, layout: Layout, ordered: bool) -> Dat
     """Data rows of one sheet under the names of its header row, all as text,
     with ``row_id`` if the layout or the caller needs it."""
     reader = spark.read.option("encoding", "iso-8859-1" if file.encoding == "cp1252" else file.encoding)
-    reader = reader.option("multiLine", file.multiline)
+    reader = reader.option("multiLine", file.multiline).option("escape", '"')
     names = _header(reader, file.path, layout.header)
     if file.encoding == "cp1252":
         names = [cp1252_text(n) for n in names]

@@ -26,8 +26,10 @@ def read_table(
     encoding: str = "utf-8",
     sep: str = ",",
     multiline: bool = False,
+    escape: str = '"',
 ) -> DataFrame:
-    """CSV with declared types. ``schema`` names the columns by position.
+    """CSV with declared types. ``schema`` names the columns by position. A
+    quote inside a quoted cell is doubled.
 
     Windows-1252 files are decoded as ISO-8859-1, which splits across tasks
     like UTF-8 does, and their differing characters are then mapped.
@@ -40,6 +42,7 @@ def read_table(
         .option("encoding", "iso-8859-1" if cp1252 else encoding)
         .option("sep", sep)
         .option("multiLine", multiline)
+        .option("escape", escape)
         .option("mode", "FAILFAST")
         .csv(path)
     )

@@ -219,3 +219,26 @@ def test_counts_of_all_pairs_are_not_needed():
     seen = [sum(v is not None for v in part) for part in lists]
     rows = [max(len(part), 1) for part in lists]
     assert med == (total[0] * seen[1] + total[1] * seen[0]) * rows[2] * rows[3]
+
+
+@pytest.mark.parametrize("limit", [0, 5, 6, 2000])
+def test_place_search_means_the_same_at_any_size(frame, rows, limit):
+    geo = frame([("OCALA", " Marion", 1), (None, "Polk", 2), ("TAMPA", "Polk County", 3), ("", "Bay", 4), ("MIAMI", None, 5), ("ERIE", "Bay", 6)],
+                "city string, county string, ord int")
+    texts = frame([("visit tampa",), ("marion hq",), ("polk",), (None,), ("",)], "t string")
+    got = locate.resolve_location(texts, "t", geo, "place", max_terms=limit)
+    # An empty city is in every text, but ranks behind those listed before it.
+    assert rows(got, "t", "place") == rows(frame([("visit tampa", "TAMPA"), ("marion hq", ""), ("polk", ""), (None, None), ("", "")], "t string, place string"))
+    only = geo.where("city <> ''")
+    got = locate.resolve_location(texts, "t", only, "place", max_terms=limit)
+    # A county that begins with a blank gives the empty word.
+    assert rows(got, "t", "place") == rows(frame([("visit tampa", "TAMPA"), ("marion hq", "OCALA"), ("polk", "OCALA"), (None, None), ("", "OCALA")], "t string, place string"))
+
+
+def test_parts_of_a_cent_add_up(frame):
+    many = frame([("A", 0.004)] * 1000, "city string, x double")
+    assert aggregates.metric_sum(many, "city", ["x"]).first()["x"] == 4.0
+
+
+def test_null_profile_of_an_empty_table(frame):
+    assert [tuple(r)[1:3] for r in aggregates.profile_nulls(frame([], "a int, b string")).collect()] == [(0, None), (0, None)]

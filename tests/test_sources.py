@@ -83,6 +83,25 @@ def test_header_footer_and_slices(spark, n, monkeypatch):
         assert numbers(ordinals.skip_footer(df, n, ["id"])) == (list(range(10))[:-n] if n else list(range(10)))
 
 
+@pytest.mark.parametrize("keys", [[None, 1, 2, 3], [0, 0, 1, 2], [None, None, 5, 5], [3, 2, 2, None]])
+def test_cuts_mean_the_same_at_any_depth(spark, monkeypatch, keys):
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "id int, n int")
+    key = lambda k: (k is not None, k or 0)
+    ranked = sorted(keys, key=key)
+    for depth in (0, 1, 2, 1000):
+        monkeypatch.setattr(ordinals, "TOP_N", depth)
+        for n in range(1, 6):
+            cut = key(ranked[min(n, 4) - 1])
+            got = lambda out: sorted((r[0] for r in out.select("id").collect()), key=key)  # noqa: B023, E731
+            assert got(ordinals.slice_rows(df, 0, n, ["id"])) == [k for k in ranked if key(k) <= cut]
+            assert got(ordinals.skip_rows(df, n, ["id"])) == [k for k in ranked if key(k) > cut]
+            last = key(ranked[-min(n, 4)])
+            assert got(ordinals.skip_footer(df, n, ["id"])) == [k for k in ranked if key(k) < last]
+        assert sorted(r[0] for r in ordinals.drop_ordinals(df.where("id > 1"), [0], ["id"]).select("id").collect()) == sorted(
+            k for k in keys if k is not None and k > min(x for x in keys if x is not None and x > 1)
+        )
+
+
 def test_dropped_ordinals_beyond_the_end_are_ignored(spark):
     df = spark.range(6)
     assert numbers(ordinals.drop_ordinals(df, [0, 3, 99], ["id"])) == [1, 2, 4, 5]
