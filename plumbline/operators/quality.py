@@ -1,6 +1,47 @@
-"""Checks on cleaned data, gathered in one place."""
+"""Checks on cleaned data: the single ones, and a report on a year's table."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.operators.aggregates import control_total, profile_nulls, reconcile, value_counts
 from plumbline.operators.joins import audit_unique, unmatched_keys
+from plumbline.operators.unions import union_years
+
+__all__ = ["audit_unique", "control_total", "profile_nulls", "reconcile", "unmatched_keys", "value_counts", "year_report"]
+
+
+def _number(df: DataFrame, check: str, subject: str, value) -> DataFrame:
+    return df.agg(value.cast("double").alias("value")).select(F.lit(check).alias("check"), F.lit(subject).alias("subject"), "value")
+
+
+def _totals(df: DataFrame, check: str, skip: set[str]) -> DataFrame | None:
+    """One row per number column, null for one without values."""
+    names = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType) and f.name not in skip]
+    if not names:
+        return None
+    sums = df.agg(*[F.sum(f"`{c}`").cast("double").alias(c) for c in names])
+    return sums.unpivot([], names, "subject", "value").select(F.lit(check).alias("check"), "subject", "value")
+
+
+def year_report(metrics: dict[str, DataFrame], spine: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """(check, subject, value) of a year table and the metric frames joined to it.
 
-__all__ = ["audit_unique", "control_total", "profile_nulls", "reconcile", "unmatched_keys", "value_counts"]
+    ``repeated keys``: rows of a metric beyond one per key, which would repeat
+    the spine. ``keys off the spine``: metric rows that a left join loses.
+    ``total of the metric`` and ``total in the table``: control totals before
+    and after the joins. ``percent null``: per column of the table.
+    """
+    parts = []
+    for name, frame in metrics.items():
+        parts.append(_number(frame, "repeated keys", name, F.count(key) - F.count_distinct(key)))
+        parts.append(_number(unmatched_keys(frame, spine, key), "keys off the spine", name, F.count("*")))
+        parts.append(_totals(frame, "total of the metric", {key}))
+    parts.append(_totals(table, "total in the table", {key}))
+    nulls = profile_nulls(table).select(F.lit("percent null").alias("check"), F.col("column_name").alias("subject"), F.col("percent").alias("value"))
+    parts.append(nulls)
+    return reduce(lambda a, b: union_years([a, b]), [p for p in parts if p is not None])

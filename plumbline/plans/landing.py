@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.text import cp1252_from_latin1, cp1252_text
+from plumbline.operators import quality
 from plumbline.operators.clean import dedup_first, with_fy
 from plumbline.operators.unions import union_years
 from plumbline.plans.claims import SHEETS
@@ -29,7 +30,7 @@ from plumbline.plans.fixed import (
 from plumbline.plans.out_of_state import claims_outside, fy_spine, retirees_outside, spend_outside, summary
 from plumbline.plans.years import city_year_table, county_year_table
 from plumbline.sources.ordinals import ORDINAL, promote_header, with_ordinal
-from plumbline.sources.tables import conform, read_list, read_mapping, write_table, write_year
+from plumbline.sources.tables import YEAR, conform, read_list, read_mapping, write_table, write_year
 
 ROW = "row_id"
 
@@ -297,14 +298,20 @@ def assemble_year(
     home_state: str,
     agency: str,
     repeat_rows: bool = True,
+    report_path: str | None = None,
 ) -> None:
-    """Read a year's landed files and write its city and county tables."""
+    """Read a year's landed files and write its city and county tables, and to
+    ``report_path`` what :func:`quality.year_report` finds in the city table."""
+    frames: dict[str, DataFrame] = {}
     sources = load_year(spark, files, year)
     city = city_year_table(
-        sources, refs, year, home_state=home_state, agency=agency, orders=ORDERS, repeat_rows=repeat_rows
+        sources, refs, year, home_state=home_state, agency=agency, orders=ORDERS, repeat_rows=repeat_rows, frames=frames
     )
     write_year(county_year_table(sources, refs, year), county_path)
     write_year(city, city_path)
+    if report_path is not None:
+        written = spark.read.schema(city.schema).parquet(city_path).where(F.col(YEAR) == year)
+        write_year(quality.year_report(frames, refs.spine, written, "city"), report_path, year)
 
 
 def assemble_out_of_state(

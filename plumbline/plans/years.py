@@ -45,12 +45,14 @@ def city_year_table(
     agency: str,
     orders: dict[str, list[str]],
     repeat_rows: bool = True,
+    frames: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """City spine with every metric whose source is given, in job order.
 
     ``sources['claim_zips']`` gives the claims a zip lookup of their own.
     ``orders`` names the row order of the sources that need one: federal
     surplus, the donees of the state surplus, and certified businesses.
+    ``frames`` is given the metric frame of each source, for a report on them.
 
     The employers of 21-22 are joined as a full outer join, so their cities
     that the spine lacks stay in the table.
@@ -86,7 +88,10 @@ def city_year_table(
             table = city.attach_expenses(table, s["expenses"], refs, repeat_rows=repeat_rows)
         if name in s:
             how = "outer" if (name == "employers" and year == "21-22") else "left"
-            table = attach_metric(table, job(), "city", how)
+            metric = job()
+            if frames is not None:
+                frames[name] = metric
+            table = attach_metric(table, metric, "city", how)
     return with_fy(table, year)
 
 

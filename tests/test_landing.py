@@ -67,7 +67,12 @@ def test_years_are_assembled_and_united(spark, shared, tmp_path):
     paths = {"city_path": str(tmp_path / "city"), "county_path": str(tmp_path / "county")}
     late = {"marketplace": File(market), "employers": File(employers), "contributions": File(employers), "grants": File(grants),
             "federal_surplus": File(surplus), "certified": File(certified)}
-    assemble_year(spark, late, shared, "21-22", home_state="FL", agency="x", **paths)
+    report = str(tmp_path / "report")
+    assemble_year(spark, late, shared, "21-22", home_state="FL", agency="x", report_path=report, **paths)
+    found = {(r["check"], r["subject"]): r["value"] for r in spark.read.parquet(report).collect()}
+    assert found["repeated keys", "marketplace"] == 0 and found["keys off the spine", "employers"] == 1
+    assert found["total of the metric", "marketplace_spend"] == found["total in the table", "marketplace_spend"] == 1002.5
+    assert found["total of the metric", "vendors"] == 2 and found["percent null", "marketplace_spend"] > 0
     assemble_year(spark, {"marketplace": File(market)}, shared, "20-21", home_state="FL", agency="x", **paths)
     city = {(r["fy"], r["city"]): r for r in read_years(spark, paths["city_path"]).collect()}
     assert city["21-22", "TAMPA"]["marketplace_spend"] == 1002.5 and city["21-22", "TAMPA"]["vendors"] == 2
