@@ -28,13 +28,14 @@ def combine_claims(
     """One row per match of the four sheets on zip, with staged totals.
 
     A total is null where a part is null, so a zip on one sheet only has no
-    total. Zips repeated on a sheet repeat their matches.
+    total. Zips repeated on a sheet repeat their matches. The sheets are raw,
+    so the null zip may be hot and is split.
     """
     mr, me = sheet_total(medical_retiree, "mr"), sheet_total(medical_active, "me")
     pr, pe = sheet_total(pharmacy_retiree, "pr"), sheet_total(pharmacy_active, "pe")
-    medical = outer_join_nullsafe(mr, me, "zip").withColumn("medical_claims", F.col("me") + F.col("mr"))
-    pharmacy = outer_join_nullsafe(pr, pe, "zip").withColumn("pharmacy_claims", F.col("pe") + F.col("pr"))
-    return outer_join_nullsafe(medical, pharmacy, "zip").withColumns(
+    medical = outer_join_nullsafe(mr, me, "zip", skewed=True).withColumn("medical_claims", F.col("me") + F.col("mr"))
+    pharmacy = outer_join_nullsafe(pr, pe, "zip", skewed=True).withColumn("pharmacy_claims", F.col("pe") + F.col("pr"))
+    return outer_join_nullsafe(medical, pharmacy, "zip", skewed=True).withColumns(
         {
             "total_claims": F.col("medical_claims") + F.col("pharmacy_claims"),
             "employee_claims": F.col("me") + F.col("pe"),
