@@ -84,6 +84,8 @@ def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+TEXTS = 500
+
 ARROW = {
     "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(),
     "array<int>": pa.list_(pa.int32()), "array<bigint>": pa.list_(pa.int64()),
@@ -94,7 +96,7 @@ def per_text(
     docs: DataFrame, keep: list[str], fields: dict[str, str], start: Callable[[], Callable[[list[str]], list]], text: str = "text"
 ) -> DataFrame:
     """The columns ``keep`` and new ``fields`` (name: type) worked out from
-    each whole text, an Arrow batch at a time.
+    each whole text.
 
     ``start()`` runs once per task and returns a function from a list of texts
     (null as empty) to one list of values per field. Kept columns pass through
@@ -109,9 +111,11 @@ def per_text(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values_of = start()
-        for batch in batches:
-            texts = ["" if t is None else t for t in batch.column(at).to_pylist()]
-            new = [pa.array(v, type=t) for v, t in zip(values_of(texts), types)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *new], names=schema.names)
+        for whole in batches:
+            # Some hundred texts at a time are Python strings.
+            for batch in (whole.slice(i, TEXTS) for i in range(0, whole.num_rows, TEXTS)):
+                texts = ["" if t is None else t for t in batch.column(at).to_pylist()]
+                new = [pa.array(v, type=t) for v, t in zip(values_of(texts), types)]
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *new], names=schema.names)
 
     return own.mapInArrow(run, schema)

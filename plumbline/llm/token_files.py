@@ -14,21 +14,25 @@ Files and blocks ascend with doc_id.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from plumbline.llm.common import ARROW, per_text, saved
 
-MEMO = 250_000
+MEMO = 400_000
 BLOCK_IDS = 1 << 18
 
 # Lengths of four ids by control byte.
@@ -55,18 +59,37 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 
 class Words(dict):
-    """Ids (little-endian uint32 bytes) of a stretch of text between white
-    space. The tokenizer drops white space and never joins tokens across it,
-    so each stretch is encoded alone by the library, and known ones at once."""
+    """Ids (little-endian bytes) of a stretch of text between white space. The
+    tokenizer drops white space and never joins tokens across it, so each
+    stretch is encoded alone by the library, and known ones at once.
+
+    In a stretch of Latin letters and marks the library's normaliser only
+    changes case, and its splitting pattern gives pieces that its model
+    encodes one by one; those too are kept.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.type = id_type(self.tokenizer)
+        split = json.loads(self.tokenizer.to_str())["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self.split = regex.compile(split).findall
+        to_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bytes_of = {c: to_bytes.pre_tokenize_str(chr(c))[0][0] for c in (*range(0x21, 0x7F), *range(0xA1, 0x180))}
         self.pieces: dict[str, bytes] = {}
 
     def __missing__(self, stretch: str) -> bytes:
-        plain = PLAIN.fullmatch(stretch)
-        ids = b"".join(self.piece(p.lower()) for p in plain.groups() if p) if plain else self.encode(stretch)
+        pieces = self.pieces
+        if (stretch.isascii() and stretch.isprintable()) or LATIN.fullmatch(stretch):
+            low = stretch.lower()
+            if low.isalpha():
+                ids = pieces.get(low) or self.piece(low)
+            elif low[-1] in ".,;:!?" and low[:-1].isalpha():
+                ids = (pieces.get(low[:-1]) or self.piece(low[:-1])) + (pieces.get(low[-1]) or self.piece(low[-1]))
+            else:
+                ids = b"".join([pieces.get(p) or self.piece(p) for p in self.split(low)])
+        else:
+            ids = self.encode(stretch)
         if len(stretch) <= 64:
             if len(self) >= MEMO:
                 self.clear()
@@ -74,18 +97,23 @@ class Words(dict):
         return ids
 
     def piece(self, piece: str) -> bytes:
-        """A run of ASCII letters, or a mark, stands as it is before the
-        tokenizer's model, so the model is asked directly."""
-        ids = self.pieces.get(piece)
-        if ids is None:
-            ids = np.asarray([t.id for t in self.model.tokenize(piece)], dtype="<u4").tobytes()
+        ids = self.packed([t.id for t in self.model.tokenize(piece.translate(self.bytes_of))])
+        if len(piece) <= 64:
             if len(self.pieces) >= MEMO:
                 self.pieces.clear()
             self.pieces[piece] = ids
         return ids
 
+    def packed(self, ids: list[int]) -> bytes:
+        return array(self.type, ids).tobytes()
+
     def encode(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+
+def id_type(tokenizer: Tokenizer) -> str:
+    """Two bytes for an id while the vocabulary allows, else four."""
+    return "H" if tokenizer.get_vocab_size() <= 1 << 16 else "I"
 
 
 @lru_cache(maxsize=2)
@@ -94,36 +122,36 @@ def words_of(path: str) -> Words:
     return Words(path)
 
 
-PLAIN = re.compile("([A-Za-z]{1,64})([.,;:!?]?)")
+# Lower case is letter by letter here, and no normal form changes it.
+LATIN = re.compile("[\x21-\x7E\xA1-\u012F\u0131-\u017F]{1,200}")
 
-# White space to str.split, but not to the tokenizer; and its special tokens.
-ODD = re.compile("[\x1c-\x1f]|<\\|")
+# White space to str.split, but not to the tokenizer; and how its special tokens begin.
+ODD = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
 
 
 def text_ids(text: str, words: Words) -> bytes:
-    if ODD.search(text):
+    if any(odd in text for odd in ODD):
         return words.encode(text)
     return b"".join(map(words.__getitem__, text.split()))
 
 
 def encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """(doc_id, ids): ids of each whole text and the end id, as uint32 bytes. Null texts count as empty."""
-    end = np.array([end_id], dtype="<u4").tobytes()
-
+    """(doc_id, ids): ids of each whole text and the end id, as bytes (``id_type``). Null texts count as empty."""
     def start():
         words = words_of(path)
+        end = words.packed([end_id])
         return lambda texts: [[text_ids(t, words) + end for t in texts]]
 
     return per_text(docs, ["doc_id"], {"ids": "binary"}, start)
 
 
-def rank_table(ids: DataFrame) -> DataFrame:
+def rank_table(ids: DataFrame, kind: str) -> DataFrame:
     """(rank, id) by falling number of uses over all documents; one row per id in use, so bounded by the vocabulary."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
             for data in batch["ids"]:
-                count = np.bincount(np.frombuffer(data, dtype="<u4"))
+                count = np.bincount(np.frombuffer(data, dtype=kind))
                 if len(count) > len(total):
                     count[: len(total)] += total
                     total = count
@@ -140,14 +168,15 @@ def rank_table(ids: DataFrame) -> DataFrame:
 BLOCKS = "file int, block int, docs int, ids bigint, doc_ids binary, lengths_control binary, lengths binary, control binary, data binary"
 
 
-def write(ids: DataFrame, folder: str) -> None:
-    """Write (doc_id, ids) to ``folder``. ``ids`` is read twice: pass a written table.
+def write(ids: DataFrame, kind: str, folder: str) -> None:
+    """Write (doc_id, ids) to ``folder``; ``kind`` is the type of the ids.
+    ``ids`` is read twice: pass a written table.
 
     Documents are range partitioned by doc_id; one file per partition, blocks
     of about ``BLOCK_IDS`` ids, a document whole in one block. Null ids come
     first, repeated ids follow each other.
     """
-    rank_table(ids).coalesce(1).write.parquet(f"{folder}/ranks")
+    rank_table(ids, kind).coalesce(1).write.parquet(f"{folder}/ranks")
     _, of_id = _ranks(ids.sparkSession, folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,15 +185,15 @@ def write(ids: DataFrame, folder: str) -> None:
         def flush():
             names = np.array([-1 if i is None else i for i, _ in kept], dtype="<i8")
             null = np.packbits(np.array([i is None for i, _ in kept])).tobytes()
-            flat = np.frombuffer(b"".join(d for _, d in kept), dtype="<u4")
-            lengths = pack(np.array([len(d) // 4 for _, d in kept], dtype=np.uint32))
+            flat = np.frombuffer(b"".join(d for _, d in kept), dtype=kind)
+            lengths = pack(np.array([len(d) // width for _, d in kept], dtype=np.uint32))
             row = (0, block, len(kept), len(flat), names.tobytes() + null, *lengths, *pack(of_id[flat]))
             return pa.RecordBatch.from_arrays([pa.array([v], type=t) for v, t in zip(row, types)], names=columns)
 
         for batch in batches:
             for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 kept.append(row)
-                n += len(row[1]) // 4
+                n += len(row[1]) // width
                 if n >= BLOCK_IDS:
                     yield flush()
                     block, kept, n = block + 1, [], 0
@@ -172,6 +201,7 @@ def write(ids: DataFrame, folder: str) -> None:
             yield flush()
 
     columns = [c.split()[0] for c in BLOCKS.split(", ")]
+    width = np.dtype(kind).itemsize
     types = [ARROW[c.split()[1]] for c in BLOCKS.split(", ")]
     parts = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = ids.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
@@ -222,5 +252,5 @@ def read_back(spark: SparkSession, folder: str) -> DataFrame:
 
 def round_trip(docs: DataFrame, path: str, end_id: int, folder: str) -> DataFrame:
     """Encode, write to ``folder`` and read back."""
-    write(saved(encoded(docs, path, end_id), "token-ids"), folder)
+    write(saved(encoded(docs, path, end_id), "token-ids"), id_type(Tokenizer.from_file(path)), folder)
     return read_back(docs.sparkSession, folder)
