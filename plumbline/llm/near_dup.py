@@ -11,12 +11,11 @@ agree in a band are candidates, and candidates are verified by the exact
 Jaccard similarity of their shingle sets.
 
 Texts with equal shingles are one node from the start. In a band's bucket not
-all pairs are compared. Every member is compared with the least one, its
-leader. Distances 1 - J obey the triangle inequality, so a member that is
-farther than twice the threshold's distance from the leader cannot be linked
-to any that are linked to the leader. What this leaves open goes into further
-rounds, and pairs already in one component need no check: no component is
-missed that all pairs of all buckets would give.
+all pairs are compared: every member is compared with the least one, its
+leader, and those unlike it get a new leader, for a few rounds. Members of
+buckets that then still hold two components are joined exactly, by prefixes of
+their rarest shingles. So no component is missed that comparing all pairs of
+all buckets would give, and no pairs within a large group are spelled out.
 """
 
 from __future__ import annotations
@@ -26,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import connected_components, per_text, saved
@@ -35,7 +34,7 @@ WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 25, 5
 MEMO = 300_000
 PER_TASK = 500  # members compared with one leader in a group
-ROUNDS = 3  # rounds of new leaders before open pairs are spelled out
+ROUNDS = 3  # rounds of leaders before what is left is joined by prefixes
 
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -185,61 +184,85 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     copies = known.groupBy("print").agg(F.min("doc_id").alias("node"))
     nodes = known.join(copies.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     members = nodes.select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("node"))
-    # A bucket of one has no pairs.
+    # A bucket of one has no partners.
     shared = members.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1")
     open_members = saved(members.join(shared.select("bucket"), "bucket", "left_semi"), "near-open")
     sets = saved(key_sets(docs, open_members.select("node").distinct()), "near-sets")
-    far = 1 - 2 * (1 - threshold)  # below, the triangle inequality excludes a link
-
-    links, border, taken = None, None, None
-    for round_no in range(ROUNDS + 1):
-        leaders = open_members.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1")
-        if leaders.isEmpty():
-            break
-        led = open_members.join(leaders.select("bucket", "leader"), "bucket")
-        if round_no == ROUNDS:
-            # What is still open: all pairs that differ in component.
-            component = connected_components(links) if links is not None else None
-            both = open_members.alias("x").join(open_members.alias("y"), "bucket").where("x.node < y.node")
-            pairs = _apart(both.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), component)
-            links = _both(links, _linked(similarities(pairs, sets), threshold))
-            break
-        stars = led.where("node > leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-        measured = saved(similarities(stars, sets), "near-stars")
+    links, rest = None, open_members
+    for _ in range(ROUNDS):
+        leaders = rest.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1")
+        led = rest.join(leaders.select("bucket", "leader"), "bucket").where("node > leader")
+        measured = saved(similarities(led.select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), sets), "near-stars")
         links = _both(links, _linked(measured, threshold))
-        tagged = led.where("node > leader").join(
-            measured.select(F.col("a").alias("leader"), F.col("b").alias("node"), "similarity"), ["leader", "node"]
-        )
-        # Members near the leader may still be linked to what is linked to the leader.
-        round_id = F.lit(round_no)
-        near = tagged.where((F.col("similarity") < threshold) & (F.col("similarity") >= far)).select(
-            round_id.alias("round"), "bucket", F.col("leader").alias("a"), F.col("node").alias("b")
-        )
-        border = _both(border, saved(near, "near-border"))
-        taken = _both(taken, saved(tagged.where(F.col("similarity") >= threshold).select(round_id.alias("round"), "bucket", F.col("node").alias("taken")), "near-taken"))
-        open_members = saved(tagged.where(F.col("similarity") < threshold).select("bucket", "node"), "near-open")
-    component = None
-    if links is not None:
-        links = saved(links, "near-links")
-        component = connected_components(links)
-        if border is not None:
-            # Only for members that no chain of links has brought to the leader's component.
-            left = saved(_apart(border, component).select("round", "bucket", "b"), "near-left")
-            pairs = left.join(taken, ["round", "bucket"]).select(F.col("taken").alias("a"), "b").distinct()
-            more = saved(_linked(similarities(_apart(pairs, component), sets), threshold), "near-links")
-            if not more.isEmpty():
-                component = connected_components(links.unionByName(more))
+        # What is not like its leader gets a new one.
+        unlike = measured.where(F.col("similarity") < threshold).select(F.col("a").alias("leader"), F.col("b").alias("node"))
+        rest = saved(led.join(unlike, ["leader", "node"]).select("bucket", "node"), "near-rest")
+        if rest.isEmpty():
+            break
+    links = saved(links, "near-links")
+    component = saved(connected_components(links), "near-components")
+    # Members of buckets that still hold two components.
+    tagged = open_members.join(component.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = tagged.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    apart = saved(tagged.join(mixed.select("bucket"), "bucket", "left_semi").select("node", "component").distinct(), "near-apart")
+    if not apart.isEmpty():
+        more = saved(_linked(similarities(prefix_pairs(apart, sets, threshold), sets), threshold), "near-links")
+        if not more.isEmpty():
+            component = connected_components(links.unionByName(more))
     own = sketch.withColumn("print", F.when(F.col("doc_id").isNotNull(), F.col("print"))).join(copies, "print", "left")
-    if component is None:
-        out = own.withColumn("component", F.col("node"))
-    else:
-        out = own.join(component.select(F.col("id").alias("node"), "component"), "node", "left")
+    out = own.join(component.select(F.col("id").alias("node"), "component"), "node", "left")
     class_id = F.coalesce("component", "node", "doc_id")
     return out.select(
         "doc_id", class_id.alias("class_id"), F.col("doc_id").eqNullSafe(class_id).alias("kept"), "n_shingles"
     )
 
 
+def prefix_pairs(apart: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of nodes in different components that may reach the
+    threshold: all that do are among them.
+
+    Shingles are ordered by the number of nodes that have them, rare ones
+    first. Two sets that reach the threshold share a shingle in the first
+    n - threshold * n + 1 of each, and from the first one they share on, both
+    must have enough left. Shingles of one node only need no partner, but keep
+    their places. Copies with edits of their own begin with those, so that
+    near misses of a large group do not meet at all.
+    """
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            own = [np.frombuffer(keys, dtype=np.int64) for keys in batch["keys"]]
+            n = np.array([len(keys) for keys in own])
+            yield pd.DataFrame({
+                "node": np.repeat(batch["node"].to_numpy(), n), "component": np.repeat(batch["component"].to_numpy(), n),
+                "n": np.repeat(n, n), "shingle": np.concatenate(own),
+            })
+
+    rows = saved(
+        apart.join(sets, "node").mapInPandas(run, "node bigint, component bigint, n bigint, shingle bigint"), "near-shingles"
+    )
+    common = rows.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+    ranked = rows.join(common, "shingle").withColumns({
+        "place": F.row_number().over(Window.partitionBy("node").orderBy("df", "shingle")),
+        "shared": F.count("*").over(Window.partitionBy("node")),
+    })
+    ranked = ranked.withColumn("place", F.col("n") - F.col("shared") + F.col("place"))
+    prefix = saved(
+        ranked.where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1).select("shingle", "node", "component", "n", "place"),
+        "near-prefix",
+    )
+    a, b = prefix.alias("a"), prefix.alias("b")
+    left = F.least(F.expr("a.n - a.place"), F.expr("b.n - b.place")) + 1
+    both = F.expr("a.n + b.n")
+    may = (
+        (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.component") != F.col("b.component"))
+        & (left * (1 + threshold) >= both * threshold - 1e-9)
+        & (F.least("a.n", "b.n") >= F.greatest("a.n", "b.n") * threshold - 1e-9)
+    )
+    return a.join(b, may).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+
+
 def _linked(measured: DataFrame, threshold: float) -> DataFrame:
     return measured.where(F.col("similarity") >= threshold).select(F.col("a").alias("src"), F.col("b").alias("dst"))
 
@@ -248,15 +271,6 @@ def _both(one: DataFrame | None, other: DataFrame) -> DataFrame:
     return other if one is None else one.unionByName(other)
 
 
-def _apart(pairs: DataFrame, component: DataFrame | None) -> DataFrame:
-    """The rows of pairs (a, b, ...) whose ends are not known to be in one component."""
-    if component is None:
-        return pairs
-    side = lambda c, to: component.select(F.col("id").alias(c), F.col("component").alias(to))
-    tagged = pairs.join(side("a", "ca"), "a", "left").join(side("b", "cb"), "b", "left")
-    return tagged.where(~F.coalesce(F.col("ca") == F.col("cb"), F.lit(False))).select(*pairs.columns)
-
-
 def kept(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs that stay, with their columns: one of each class."""
     keep = saved(classes(docs, threshold).where("kept").select(F.col("doc_id").alias("kept_id")).distinct(), "near-kept")
