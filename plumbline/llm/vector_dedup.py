@@ -7,7 +7,8 @@ threshold are kept. Where lists are saturated (full of neighbours above the
 threshold) they are enlarged to the whole component, which is compared in
 blocks, so link counts are exact within a component. An audit compares a
 fixed number of vectors with all rows of their label and asks for a recall;
-below it, the search goes on with new cells and longer lists.
+below it, the search goes on with new cells and longer lists, and is audited
+with other vectors. When the last attempt is below it too, the job fails.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from plumbline.llm.common import connected_components, saved
 
 THRESHOLD = 0.98
 NEIGHBOURS, TABLES, CELL = 10, 4, 48
-MOST_STEPS, SETTLED = 6, 0.002  # steps, and the share of list places that still change at the end
+SETTLED = 0.002  # share of list places that still change at the end
 AUDITED, RECALL, ATTEMPTS = 256, 0.97, 3
 BLOCK = 256
 
@@ -166,21 +167,22 @@ def neighbour_graph(nodes: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
     """(u, v, sim): lists of k neighbours after NN-descent."""
     lists = saved(first_lists(nodes, k), "knn-lists")
     size = nodes.count()
-    for _ in range(MOST_STEPS):
+    while True:
         lists = saved(refined(lists, nodes, k), "knn-lists")
         if lists.where("fresh").count() <= SETTLED * size * k:
             break
     return lists.select("u", "v", "sim")
 
 
-def audit(nodes: DataFrame, component: DataFrame, threshold: float) -> tuple[float, DataFrame]:
+def audit(nodes: DataFrame, component: DataFrame, threshold: float, attempt: int = 0) -> tuple[float, DataFrame]:
     """Share of the true links of ``AUDITED`` vectors whose ends are in one
     component, and those links (src, dst).
 
-    The vectors are a fixed number, lowest by hash, and are sent to every
-    task; each row of the corpus is compared with those of its label.
+    The vectors are a fixed number, lowest by a hash of the attempt, and are
+    sent to every task; each row of the corpus is compared with those of its
+    label. ``component`` must not rest on links of an audit.
     """
-    picked = nodes.orderBy(F.xxhash64("node", F.lit(5)), "node").limit(AUDITED).toPandas()
+    picked = nodes.orderBy(F.xxhash64("node", F.lit(5 + attempt)), "node").limit(AUDITED).toPandas()
     by_group = {g: (rows["node"].to_numpy(), _matrix(rows["unit"])) for g, rows in picked.groupby("grp")}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -235,8 +237,9 @@ def classes(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     nothing and are their own component; so do rows with a null vec_id, kept
     with a null component. vec_id must otherwise be unique. Equal vectors of a
     label are one node that counts for all its copies. No rows give no rows.
+    A recall below ``RECALL`` in the last attempt is an error.
     """
-    known, links, recall = None, None, 1.0
+    known, links, audited, recall = None, None, None, 1.0
     every = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"))
     for attempt in range(ATTEMPTS):
         rows = saved(units(vectors, attempt), "knn-units")
@@ -247,10 +250,14 @@ def classes(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         found = graph.where(F.col("sim") >= threshold).select(F.col("u").alias("src"), F.col("v").alias("dst"))
         links = found if links is None else links.unionByName(found)
         component = saved(connected_components(links), "knn-components")
-        recall, true = audit(nodes, component, threshold)
+        recall, true = audit(nodes, component, threshold, attempt)
+        audited = true if audited is None else audited.unionByName(true)
         if recall >= RECALL:
             break
-        links = links.unionByName(true)
+    else:
+        raise RuntimeError(f"recall {recall:.3f} after {ATTEMPTS} attempts, {RECALL} is asked for")
+    if recall < 1 or attempt:  # what audits have found besides
+        component = saved(connected_components(links.unionByName(audited)), "knn-components")
     counts = link_counts(nodes, component, threshold)
     node = known.select(F.col("node").alias("vec_id"), "first", "weight")
     node = node.join(counts.withColumnRenamed("node", "first"), "first", "left")

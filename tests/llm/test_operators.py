@@ -478,3 +478,14 @@ def test_vector_classes_match_all_pairs(spark, monkeypatch):
     assert all(got[i].n_links == 0 and got[i].component_id == i and got[i].kept for i in range(900, 908))
     assert got[None].kept and got[None].component_id is None and got[1].recall >= 0.97
     assert vector_dedup.classes(frame.where("vec_id < 0")).collect() == []
+
+
+def test_vector_recall_below_the_bound_fails(spark, monkeypatch):
+    # Only links of audited vectors are found: all attempts are far below the bound.
+    monkeypatch.setattr(vector_dedup, "AUDITED", 10)
+    monkeypatch.setattr(vector_dedup, "in_groups", lambda df, keys, each, schema: spark.createDataFrame([], schema))
+    base = np.random.default_rng(3).standard_normal((100, 24))
+    rows = [(i, [float(v) for v in e], 0) for i, e in enumerate(np.vstack([base, base + 0.01]))]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+    with pytest.raises(RuntimeError, match="recall"):
+        vector_dedup.classes(frame).collect()
