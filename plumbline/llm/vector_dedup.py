@@ -2,13 +2,15 @@
 
 A neighbour graph per label starts from cells of random hyperplanes and is
 refined: neighbours of a common vector are compared with each other, and each
-vector keeps its nearest, until hardly a list changes. Edges at or above the
-threshold are kept. Where lists are saturated (full of neighbours above the
-threshold) they are enlarged to the whole component, which is compared in
-blocks, so link counts are exact within a component. An audit compares a
-fixed number of vectors with all rows of their label and asks for a recall;
-below it, the search goes on with new cells and longer lists, and is audited
-with other vectors. When the last attempt is below it too, the job fails.
+vector keeps its nearest, until hardly a list changes. Every pair at or above
+the threshold that is met on the way is a link, whether it stays in a list or
+not. Vectors whose lists are saturated (full of neighbours above the
+threshold) search again for their nearest outside their component. Whole
+components are compared in blocks, so link counts are exact within a
+component. An audit compares a fixed number of vectors with all rows of their
+label and asks for a recall; below it, the search goes on with new cells and
+longer lists, and is audited with other vectors. When the last attempt is
+below it too, the job fails.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ AUDITED, RECALL, ATTEMPTS = 256, 0.97, 3
 BLOCK = 256
 
 UNIT = "grp string, node bigint, unit binary, codes array<bigint>"
+FOUND = "u bigint, v bigint, sim double, link boolean"
+NO_ENTRY = -3.0
 
 
 def in_groups(df: DataFrame, keys: list[str], each: Callable[[pd.DataFrame], tuple], schema: str) -> DataFrame:
@@ -98,80 +102,153 @@ def units(vectors: DataFrame, seed: int) -> DataFrame:
     return named.mapInPandas(run, UNIT)
 
 
-def _nearest(edges: DataFrame, k: int) -> DataFrame:
-    """The k nearest v of each u; edges has (u, v, sim, fresh), pairs once."""
+def _nearest(pairs: DataFrame, k: int) -> DataFrame:
+    """The k nearest v of each u as ``listed``, and of the rest the links.
+
+    pairs has (u, v, sim, fresh, link), pairs once; ``NO_ENTRY`` marks a link
+    that is no candidate for a list.
+    """
     rank = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("sim"), "v"))
-    return edges.withColumn("rank", rank).where(F.col("rank") <= k).drop("rank")
+    ranked = pairs.withColumn("listed", (rank <= k) & (F.col("sim") > NO_ENTRY))
+    return ranked.where("listed OR link")
+
 
+def _star(ids: np.ndarray, linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that hold together what ``linked`` does: every vector with the
+    first of its component, so at most one per vector in place of all pairs."""
+    if not linked.any():
+        return ids[:0], ids[:0]
+    linked = linked | linked.T
+    place = np.arange(len(ids))
+    while True:
+        low = np.minimum(place, np.where(linked, place[None, :], len(ids)).min(axis=1))
+        low = low[low]
+        if (low == place).all():
+            break
+        place = low
+    at = np.flatnonzero(place != np.arange(len(ids)))
+    return ids[at], ids[place[at]]
 
-def first_lists(nodes: DataFrame, k: int) -> DataFrame:
-    """(u, v, sim, fresh): the nearest within cells.
 
-    A cell is a label and as many hyperplanes as leave about ``CELL`` vectors;
-    a fuller cell (a dense place) is dealt at random into several.
+def _found(ids: np.ndarray, a: np.ndarray, b: np.ndarray, sim: np.ndarray, linked: np.ndarray) -> tuple:
+    """Columns of ``FOUND``: candidates (a, b) and the star of the links."""
+    src, dst = _star(ids, linked)
+    return (
+        np.r_[ids[a], src], np.r_[ids[b], dst], np.r_[sim[a, b], np.full(len(src), NO_ENTRY)],
+        np.r_[np.zeros(len(a), dtype=bool), np.ones(len(src), dtype=bool)],
+    )
+
+
+def first_lists(nodes: DataFrame, k: int, threshold: float, turn: int = 0) -> DataFrame:
+    """(u, v, sim, fresh, link, listed): the nearest within cells.
+
+    A cell is a label and as many hyperplanes as leave about ``CELL`` vectors,
+    other ones in each turn; a fuller cell (a dense place) is dealt at random
+    into several.
     """
     sizes = nodes.groupBy("grp").agg(F.count("*").alias("n"))
     bits = F.greatest(F.lit(0), F.least(F.lit(30), F.ceil(F.log2(F.col("n") / CELL)))).cast("int")
-    placed = nodes.join(sizes.select("grp", bits.alias("bits")), "grp").select("grp", "node", "unit", "bits", F.posexplode("codes").alias("tab", "code"))
-    placed = placed.withColumn("cell", F.expr("code & (shiftleft(1L, bits) - 1L)")).drop("code", "bits")
+    placed = nodes.join(sizes.select("grp", bits.alias("bits")), "grp").select(
+        "grp", "node", "unit", "own", "search", "bits", F.posexplode("codes").alias("tab", "code")
+    )
+    shifted = f"shiftright(code, cast(least(30 - bits, bits * {turn}) AS int))"
+    placed = placed.withColumn("cell", F.expr(f"{shifted} & (shiftleft(1L, bits) - 1L)")).drop("code", "bits")
     fill = placed.groupBy("grp", "tab", "cell").agg(F.ceil(F.count("*") / (2 * CELL)).alias("deals"))
-    placed = placed.join(fill, ["grp", "tab", "cell"]).withColumn("deal", F.pmod(F.xxhash64("node", "tab"), "deals"))
+    placed = placed.join(fill, ["grp", "tab", "cell"]).withColumn("deal", F.pmod(F.xxhash64("node", "tab", F.lit(turn)), "deals"))
 
     def each(rows: pd.DataFrame) -> tuple:
-        x, ids = _matrix(rows["unit"]), rows["node"].to_numpy()
+        x, ids, own, search = _matrix(rows["unit"]), rows["node"].to_numpy(), rows["own"].to_numpy(), rows["search"].to_numpy(dtype=bool)
         sim = x @ x.T
-        np.fill_diagonal(sim, -2)
+        other = own[:, None] != own[None, :]
         m = min(k, len(ids) - 1)
-        near = np.argpartition(-sim, m - 1, axis=1)[:, :m] if m > 0 else np.zeros((len(ids), 0), dtype=np.int64)
-        return np.repeat(ids, m), ids[near].ravel(), np.take_along_axis(sim, near, axis=1).ravel()
-
-    pairs = in_groups(placed, ["grp", "tab", "cell", "deal"], each, "u bigint, v bigint, sim double")
-    return _nearest(pairs.groupBy("u", "v").agg(F.max("sim").alias("sim"), F.lit(True).alias("fresh")), k)
+        if m < 1:
+            return _found(ids, ids[:0], ids[:0], sim, other)
+        shown = np.where(other, sim, NO_ENTRY)
+        near = np.argpartition(-shown, m - 1, axis=1)[:, :m]
+        a, b = np.repeat(np.arange(len(ids)), m), near.ravel()
+        good = search[a] & other[a, b]
+        return _found(ids, a[good], b[good], sim, other & (sim >= threshold))
+
+    pairs = in_groups(placed, ["grp", "tab", "cell", "deal"], each, FOUND)
+    pairs = pairs.groupBy("u", "v").agg(F.max("sim").alias("sim"), F.lit(True).alias("fresh"), F.max("link").alias("link"))
+    return _nearest(pairs, k)
+
+
+def _members(lists: DataFrame, k: int) -> DataFrame:
+    """(centre, member, fresh): the list of a centre and, of the vectors that
+    list it, at most k by hash."""
+    own = lists.select(F.col("u").alias("centre"), F.col("v").alias("member"), "fresh")
+    back = lists.select(F.col("v").alias("centre"), F.col("u").alias("member"), "fresh")
+    rank = F.row_number().over(Window.partitionBy("centre").orderBy(F.xxhash64("member", "centre"), "member"))
+    return own.unionByName(back.withColumn("rank", rank).where(F.col("rank") <= k).drop("rank"))
 
 
-def refined(lists: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
+def refined(lists: DataFrame, nodes: DataFrame, k: int, threshold: float, near: DataFrame | None = None) -> DataFrame:
     """One step: neighbours of a common vector are compared.
 
     Of the vectors that list a centre, as many as a list is long stand for
     the rest, chosen by hash; so a centre has at most 2k members, also one
-    that very many list. Pairs are compared when one of both is fresh, and
-    leave the task only if they enter the list of one side.
+    that very many list, and as many more from the settled lists ``near``.
+    Pairs are compared when one of both is fresh, and leave the task only if
+    they enter the list of one side, or in the star of the links met.
     """
-    own = lists.select(F.col("u").alias("centre"), F.col("v").alias("member"), "fresh")
-    back = lists.select(F.col("v").alias("centre"), F.col("u").alias("member"), "fresh")
-    rank = F.row_number().over(Window.partitionBy("centre").orderBy(F.xxhash64("member", "centre"), "member"))
-    back = back.withColumn("rank", rank).where(F.col("rank") <= k).drop("rank")
-    around = own.unionByName(back).groupBy("centre", "member").agg(F.max("fresh").alias("fresh"))
+    around = _members(lists, k)
+    if near is not None:
+        around = around.unionByName(_members(near.withColumn("fresh", F.lit(False)), k))
+    around = around.groupBy("centre", "member").agg(F.max("fresh").alias("fresh"))
     last = lists.groupBy("u").agg(F.when(F.count("*") >= k, F.min("sim")).otherwise(-2.0).alias("last"))
-    sides = nodes.select(F.col("node").alias("member"), "unit").join(last.withColumnRenamed("u", "member"), "member", "left")
+    sides = nodes.select(F.col("node").alias("member"), "unit", "own", "search").join(last.withColumnRenamed("u", "member"), "member", "left")
     rows = around.join(sides.withColumn("last", F.coalesce("last", F.lit(-2.0))), "member")
 
     def each(g: pd.DataFrame) -> tuple:
-        fresh = g["fresh"].to_numpy(dtype=bool)
+        fresh, ids = g["fresh"].to_numpy(dtype=bool), g["member"].to_numpy()
         if not fresh.any() or len(g) < 2:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        x, ids, floor = _matrix(g["unit"]), g["member"].to_numpy(), g["last"].to_numpy()
+            return _found(ids, ids[:0], ids[:0], np.zeros((1, 1)), np.zeros((1, 1), dtype=bool))
+        x, own, floor, search = _matrix(g["unit"]), g["own"].to_numpy(), g["last"].to_numpy(), g["search"].to_numpy(dtype=bool)
         sim = x @ x.T
-        worth = (fresh[:, None] | fresh[None, :]) & (sim > floor[:, None])
-        np.fill_diagonal(worth, False)
-        a, b = np.nonzero(worth)
-        return ids[a], ids[b], sim[a, b]
-
-    found = in_groups(rows, ["centre"], each, "u bigint, v bigint, sim double")
-    merged = lists.select("u", "v", "sim", F.lit(1).alias("known")).unionByName(found.withColumn("known", F.lit(0)))
-    merged = merged.groupBy("u", "v").agg(F.max("sim").alias("sim"), (F.max("known") == 0).alias("fresh"))
+        worth = (fresh[:, None] | fresh[None, :]) & (own[:, None] != own[None, :])
+        a, b = np.nonzero(worth & search[:, None] & (sim > floor[:, None]))
+        return _found(ids, a, b, sim, worth & (sim >= threshold))
+
+    found = in_groups(rows, ["centre"], each, FOUND)
+    merged = lists.select("u", "v", "sim", F.lit(False).alias("link"), F.lit(1).alias("known")).unionByName(found.withColumn("known", F.lit(0)))
+    merged = merged.groupBy("u", "v").agg(F.max("sim").alias("sim"), (F.max("known") == 0).alias("fresh"), F.max("link").alias("link"))
     return _nearest(merged, k)
 
 
-def neighbour_graph(nodes: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
-    """(u, v, sim): lists of k neighbours after NN-descent."""
-    lists = saved(first_lists(nodes, k), "knn-lists")
+def neighbour_links(nodes: DataFrame, k: int, threshold: float) -> DataFrame:
+    """(src, dst): links met in NN-descent with lists of k, enough of them to
+    hold every component together.
+
+    A list that is full of neighbours above the threshold hides further ones.
+    The vectors of such lists search again, now for their nearest outside the
+    component they are in, until no list is full of links. Each further turn
+    joins components, so there is an end, and no list grows with a group.
+    """
+    now = nodes.withColumn("own", F.col("node")).withColumn("search", F.lit(True))
+    links, near, turn = None, None, 0
     size = nodes.count()
     while True:
-        lists = saved(refined(lists, nodes, k), "knn-lists")
-        if lists.where("fresh").count() <= SETTLED * size * k:
-            break
-    return lists.select("u", "v", "sim")
+        step = saved(first_lists(now, k, threshold, turn), "knn-lists")
+        while True:
+            met = step.where("link").select(F.col("u").alias("src"), F.col("v").alias("dst"))
+            links = met if links is None else links.unionByName(met)
+            lists = step.where("listed").select("u", "v", "sim", "fresh")
+            if lists.where("fresh").count() <= SETTLED * size * k:
+                break
+            step = saved(refined(lists, now, k, threshold, near), "knn-lists")
+        full = lists.groupBy("u").agg(F.count("*").alias("n"), F.min("sim").alias("last")).where((F.col("n") >= k) & (F.col("last") >= threshold))
+        full = saved(full.select(F.col("u").alias("node"), F.lit(True).alias("search")), "knn-full")
+        size = full.count()
+        if not size:
+            return links
+        component = saved(connected_components(links), "knn-components").withColumnRenamed("id", "node")
+        now = nodes.join(component, "node", "left").join(full, "node", "left")
+        now = saved(now.select(
+            "grp", "node", "unit", "codes", F.coalesce("component", "node").alias("own"), F.coalesce("search", F.lit(False)).alias("search")
+        ), "knn-searching")
+        near = lists if near is None else near
+        turn += 1
 
 
 def audit(nodes: DataFrame, component: DataFrame, threshold: float, attempt: int = 0) -> tuple[float, DataFrame]:
@@ -246,8 +323,7 @@ def classes(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         same = rows.groupBy("grp", "unit").agg(F.min("node").alias("first"), F.count("*").cast("bigint").alias("weight"))
         known = saved(rows.join(same, ["grp", "unit"]), "knn-nodes")
         nodes = known.where("node = first").dropDuplicates(["node"])
-        graph = neighbour_graph(nodes, NEIGHBOURS << attempt)
-        found = graph.where(F.col("sim") >= threshold).select(F.col("u").alias("src"), F.col("v").alias("dst"))
+        found = neighbour_links(nodes, NEIGHBOURS << attempt, threshold)
         links = found if links is None else links.unionByName(found)
         component = saved(connected_components(links), "knn-components")
         recall, true = audit(nodes, component, threshold, attempt)

@@ -489,3 +489,22 @@ def test_vector_recall_below_the_bound_fails(spark, monkeypatch):
     frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
     with pytest.raises(RuntimeError, match="recall"):
         vector_dedup.classes(frame).collect()
+
+
+def test_vector_lists_full_of_links(spark, monkeypatch):
+    monkeypatch.setattr(vector_dedup, "CELL", 12)
+    monkeypatch.setattr(vector_dedup, "AUDITED", 0)  # nothing is found by the audit
+    rng = np.random.default_rng(4)
+    rows = []
+    for g in range(6):  # cosine 0.999 within each half, 0.985 between the halves
+        mid, off, *_ = np.linalg.qr(rng.standard_normal((64, 2)))[0].T
+        for side in (1, -1):
+            centre = mid + side * 0.0867 * off
+            rows += [centre + 0.0038 * rng.standard_normal(64) for _ in range(40)]
+    frame = spark.createDataFrame([(i, [float(v) for v in e], 0) for i, e in enumerate(rows)], "vec_id bigint, embedding array<double>, label int")
+    unit = np.array(rows) / np.linalg.norm(rows, axis=1, keepdims=True)
+    sim = unit @ unit.T
+    assert sim[:40, :40].min() > 0.998 and 0.98 < sim[:40, 40:80].min() and sim[:40, 40:80].max() < 0.99
+    got = {r.vec_id: r for r in vector_dedup.classes(frame).collect()}
+    for i in range(len(rows)):
+        assert (got[i].n_links, got[i].component_id) == (79, i // 80 * 80)
