@@ -1,10 +1,11 @@
 """Near-duplicates by ProbMinHash, banding and verification.
 
 A text is the set of its shingles of five words (lower case, split at ASCII
-white space), each weighted by 1 + ln(number of times). ProbMinHash gives
-every shingle a Poisson process of arrivals at the rate of its weight; each
-arrival falls on one of the registers, and a register keeps the shingle that
-arrives first. A shingle stops when its next arrival comes after the largest
+white space), each of weight 1 however often it comes, since links are of
+sets: a weight by count would band another similarity than is verified.
+ProbMinHash gives every shingle a Poisson process of arrivals at the rate of
+its weight; each arrival falls on one of the registers, and a register keeps
+the shingle that arrives first. A shingle stops when its next arrival comes after the largest
 register, so most stop after one or two. Two registers agree with the
 probability Jaccard similarity of the texts. Registers are banded, texts that
 agree in a band are candidates, and candidates are verified by the exact
@@ -109,10 +110,10 @@ def sketches(docs: DataFrame) -> DataFrame:
         def values(texts: list[str]) -> list:
             sizes, prints, bands = [], [], []
             for text in texts:
-                keys, counts = shingles(text, hashes)
+                keys, _ = shingles(text, hashes)
                 sizes.append(len(keys))
                 prints.append(hashlib.blake2b(keys.tobytes(), digest_size=16).digest() if len(keys) else None)
-                bands.append(bands_of(prob_minhash(keys, 1 + np.log(counts), BANDS * ROWS)) if len(keys) else None)
+                bands.append(bands_of(prob_minhash(keys, np.ones(len(keys)), BANDS * ROWS)) if len(keys) else None)
             return [sizes, prints, bands]
 
         return values

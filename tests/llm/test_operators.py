@@ -135,6 +135,18 @@ def test_near_classes_match_all_pairs(spark, monkeypatch, families, copies, roun
     assert got == brute_classes(shingle_sets(rows))
 
 
+def test_near_classes_where_own_lines_repeat(spark):
+    rows = []
+    for pair in range(30):  # 400 shared shingles or so; 30 times a header of some 40 own ones
+        body = [f"b{pair}_{i}" for i in range(404)]
+        rows += [" ".join([f"h{pair}_{side}_{i}" for i in range(35)] * 30 + body) for side in (0, 1)]
+    rows = list(enumerate(rows))
+    want = brute_classes(shingle_sets(rows))
+    assert all(want[i] == i // 2 * 2 for i in want)
+    got = {r.doc_id: r.class_id for r in near_dup.classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == want
+
+
 def test_near_classes_of_odd_rows(docs, none):
     got = near_dup.classes(docs).collect()
     assert len(got) == len(ROWS)
