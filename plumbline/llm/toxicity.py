@@ -41,8 +41,14 @@ SAMPLE_PER_CLASS = 2000
 LANDMARKS, NEGATIVES, ROUNDS = 256, 16_000, 3
 
 SENTENCE = re.compile(r"[.!?]+\s|\n+")
-# Letters spelled apart, by blanks or by marks: at least four in a row.
-APART = re.compile(r"(?<!\S)\S(?:[ \t]\S(?!\S)){3,}|[^\W\d_](?:[^\w\s][^\W\d_]){3,}")
+# Letters spelled apart, at least four in a row: by blanks, by marks and digits, by any of them.
+APART = (
+    re.compile(r"(?<!\S)\S(?:\s+\S(?!\S)){3,}"),
+    re.compile(r"[^\W\d_](?:(?:[^\w\s]|[\d_])+[^\W\d_]){3,}"),
+    re.compile(r"(?<![^\W\d_])[^\W\d_](?:[\W\d_]+[^\W\d_](?![^\W\d_])){3,}"),
+)
+# Runs of marks and digits between letters: a gap counts as one place, however wide.
+GAP = re.compile(r"(?<=[^\W\d_])(?:[^\w\s]|[\d_]){2,}(?=[^\W\d_])")
 
 
 @lru_cache(maxsize=None)
@@ -118,11 +124,16 @@ def score_words(words: list[str], weights: np.ndarray, bias: float) -> np.ndarra
 
 
 def words_of(text: str) -> set[str]:
-    """Distinct words between white space, lower case, and letters spelled apart as one word."""
+    """Distinct words between white space, lower case, also with wide gaps as
+    narrow ones, and letters spelled apart as one word."""
     low = text.lower()
     words = set(low.split())
-    for run in APART.findall(low):
-        words.add("".join(filter(str.isalpha, run)))
+    squeezed, wide = GAP.subn(".", low)
+    if wide:
+        words.update(squeezed.split())
+    for apart in APART:
+        for run in apart.findall(low):
+            words.add("".join(filter(str.isalpha, run)))
     return words
 
 

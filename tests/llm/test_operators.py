@@ -351,6 +351,16 @@ def test_disguised_insults_stay_near(machine):
     assert worst("that i*diot there") > worst("that idea there")
 
 
+@pytest.mark.parametrize("gap", [".", "--", "...", "****", "-" * 9, "_", "__", "7", "1_2", "  ", " \t ", " -- ", "\n"])
+def test_gaps_of_any_width(machine, gap):
+    worst = lambda text: machine.probability(np.array([toxicity.score_words(sorted(toxicity.words_of(text)), machine.weights, machine.bias).max()], dtype=float))[0]
+    for word in ("idiot", "stupid"):
+        assert worst(f"you {gap.join(word)} there") > 0.5
+    assert worst(f"you {gap.join('table')} there") < 0.5
+    if not any(map(str.isspace, gap)):
+        assert f"id{gap[0]}io{gap[0]}t".replace(gap[0], ".") in {w.replace(gap[0], ".") for w in toxicity.words_of(f"id{gap}io{gap}t")}
+
+
 def test_toxicity_of_odd_rows(spark, docs, none, machine):
     out = toxicity.scores(docs, machine, "s")
     assert out.columns == [*docs.columns, "s"] and out.count() == len(ROWS)
