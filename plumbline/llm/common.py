@@ -88,7 +88,7 @@ TEXTS = 500
 
 ARROW = {
     "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(),
-    "array<int>": pa.list_(pa.int32()), "array<bigint>": pa.list_(pa.int64()),
+    "array<int>": pa.list_(pa.int32()), "array<bigint>": pa.list_(pa.int64()), "array<string>": pa.list_(pa.string()),
 }
 
 

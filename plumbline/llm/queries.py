@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import byte_bpe, chat_format, exact_dedup, license_scan, mixing, near_dup, secret_scan, token_files, toxicity, vector_dedup
+from plumbline.llm import (
+    byte_bpe, chat_format, exact_dedup, lexical_search, license_scan, mixing, near_dup, secret_scan, token_align, token_files,
+    toxicity, vector_dedup, vector_search,
+)
 from plumbline.llm.common import read
 from plumbline.session import scratch_dir
 
@@ -171,3 +174,48 @@ FROM embeddings JOIN g ON vec_id = id LEFT JOIN n ON vec_id = x
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     # The audited recall is left to the operator: it is no value of a row.
     return vector_dedup.classes(read(spark, sf, "embeddings")).drop("recall")
+
+
+@add("op11_token_align")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    out = token_align.align(read(spark, sf, "documents"), *paths)
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    counts = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+    return out.select("doc_id", *counts, digest.alias("groups_sha256"))
+
+
+_TERMS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"""
+
+
+@add("op12_lexical_search", f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_TERMS} AS ts FROM documents),
+s AS (SELECT count(*) AS n_all, CAST(sum(len(ts)) AS BIGINT) AS l_all FROM d WHERE len(ts) > 0),
+i AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark WHERE item_id IS NOT NULL),
+p AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(ts) AS n, unnest(ts) AS term FROM d) o GROUP BY ALL),
+f AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+x AS (
+  SELECT item_id, doc_id, r, CAST(sum(CAST(floor(1000 * ln(CAST(2 * n_all + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT)
+    * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_all) // l_all)))) AS BIGINT) AS score
+  FROM i JOIN p USING (term) JOIN f USING (term), s GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+FROM x WHERE score > 0 QUALIFY rank <= 10
+""")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return lexical_search.ranked(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
+
+
+@add("op13_vector_search", """
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_cosine_similarity(a.e, b.e) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score
+FROM p QUALIFY rank <= 5
+""")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = read(spark, sf, "embeddings")
+    return vector_search.nearest(vectors, vectors.where("vec_id % 50 = 0"))
