@@ -21,6 +21,7 @@ tokenised once per task and kept.
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -44,6 +45,8 @@ PAIR = 1 << 24
 # A table of pairs up to this many rows (some 50 MB) is broadcast.
 MOST_PAIRS = 1_000_000
 
+Tokens = tuple[np.ndarray, np.ndarray]  # ids, and the places where they end
+
 
 def byte_of() -> dict[str, int]:
     """Byte of each character of a byte-level vocabulary: printable characters
@@ -69,9 +72,11 @@ class Aligner:
         self.bytes_b = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
         ]
+        self.size_a, self.size_b = (np.array([len(t) for t in of], dtype=np.int64) for of in (self.bytes_a, self.bytes_b))
+        self.spelling = [f"{i}{c}" for i in range(size) for c in ",|"] + [f"{i}{c}" for i in range(len(pieces)) for c in ",;"]
         # With a piece such as a blank after a letter, stretches would not be apart.
         self.apart = not any(" " in p.replace("▁", " ").lstrip(" ") for p in pieces)
-        self.known: dict[str, tuple] = {}
+        self.known: dict[str, tuple[bytes, bytes] | None] = {}
         self.large: list[str] = []
 
     def cuts(self, text: str) -> list[str]:
@@ -94,46 +99,47 @@ class Aligner:
         """Tokenise those not known yet, at one go. Long ones are kept until the next call."""
         for s in self.large:
             self.known.pop(s, None)
+        if len(self.known) + len(stretches) > MEMO:
+            self.known.clear()
         new = [s for s in stretches if s not in self.known]
         self.large = [s for s in new if len(s) > 64]
-        if not new:
-            return
-        if len(self.known) + len(new) > MEMO:
-            self.known.clear()
-            new = list(stretches)
-        of_a = self.a.encode_batch([f" {s}" for s in new], add_special_tokens=False)
-        of_b = self.b.encode(new, num_threads=1)
+        of_a = self.a.encode_batch_fast([f" {s}" for s in new], add_special_tokens=False) if new else []
+        of_b = self.b.encode(new, num_threads=1) if new else []
         for s, a, b in zip(new, of_a, of_b):
-            self.known[s] = self._aligned(f" {s}".encode(), a.ids, b)
-
-    def _aligned(self, data: bytes, a: list[int], b: list[int]) -> tuple:
-        """(whether both give the bytes, ids and ends of A, of B, groups, linked pairs)."""
-        of_a, of_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        fits = b"".join(of_a) == data and b"".join(of_b) == data
-        ends_a, ends_b = np.cumsum([len(t) for t in of_a]).tolist(), np.cumsum([len(t) for t in of_b]).tolist()
-        groups, pairs, _ = grouped(a, ends_a, b, ends_b)
-        return fits, a, ends_a, b, ends_b, ";".join(groups), pairs, len(groups), len(data)
-
-
-def listed(ids: list[int]) -> str:
-    return ",".join(map(str, ids))
-
-
-def grouped(a: list[int], ends_a: list[int], b: list[int], ends_b: list[int]) -> tuple[list[str], list[int], tuple[int, int]]:
-    """Groups closed by common ends, the pairs that end them, and how many
-    tokens of each are in them. The first group starts with the lists."""
-    groups, pairs, i, j, from_a, from_b = [], [], 0, 0, 0, 0
-    while i < len(a) and j < len(b):
-        if ends_a[i] < ends_b[j]:
-            i += 1
-        elif ends_a[i] > ends_b[j]:
-            j += 1
-        else:
-            groups.append(f"{listed(a[from_a : i + 1])}|{listed(b[from_b : j + 1])}")
-            pairs.append(a[i] * PAIR + b[j])
-            i, j = i + 1, j + 1
-            from_a, from_b = i, j
-    return groups, pairs, (from_a, from_b)
+            data, a = f" {s}".encode(), a.ids
+            fits = b"".join(map(self.bytes_a.__getitem__, a)) == data and b"".join(map(self.bytes_b.__getitem__, b)) == data
+            self.known[s] = (array("i", a).tobytes(), array("i", b).tobytes()) if fits else None
+
+    def tokens(self, stretches: list[str]) -> tuple[Tokens, Tokens] | None:
+        """Ids and ends of A and B for known stretches in a row; nothing if
+        one of the tokenizers does not give their bytes."""
+        found = [self.known[s] for s in stretches]
+        if None in found:
+            return None
+        both = zip((b"".join([f[i] for f in found]) for i in (0, 1)), (self.size_a, self.size_b))
+        a, b = ((ids, np.cumsum(size[ids])) for ids, size in ((np.frombuffer(x, dtype=np.int32), size) for x, size in both))
+        return a, b
+
+    def spelled(self, a: np.ndarray, cut_a: np.ndarray, b: np.ndarray, cut_b: np.ndarray) -> str:
+        """Closed groups as text: ids of A up to a cut, those of B up to its cut, and so on."""
+        until_a, until_b = (np.concatenate([[0], np.flatnonzero(c) + 1]) for c in (cut_a, cut_b))
+        order = np.empty(len(a) + len(b), dtype=np.int64)
+        order[np.arange(len(a)) + until_b[np.cumsum(cut_a) - cut_a]] = 2 * a + cut_a
+        order[np.arange(len(b)) + until_a[np.cumsum(cut_b) - cut_b + 1]] = 2 * (len(self.size_a) + b) + cut_b
+        return "".join(map(self.spelling.__getitem__, order.tolist()))[:-1]
+
+
+def listed(ids: np.ndarray) -> str:
+    return ",".join(map(str, ids.tolist()))
+
+
+def common_ends(a: Tokens, b: Tokens) -> tuple[np.ndarray, np.ndarray]:
+    """Which tokens of A and which of B end where one of the other ends."""
+    return np.isin(a[1], b[1], assume_unique=True), np.isin(b[1], a[1], assume_unique=True)
+
+
+def paired(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return a.astype(np.int64) * PAIR + b
 
 
 # What is known of a document or of a range of it. ``cut`` says whether a
@@ -175,33 +181,29 @@ def finished(whole: dict) -> dict:
     return {**whole, "groups": _chain(";", first, whole["groups"]), "n_groups": whole["n_groups"] + 1, "pre_a": "", "pre_b": ""}
 
 
-def fragment(aligner: Aligner, text: str, base: int, start: int, stop: int) -> tuple[dict, list[int]]:
+def fragment(aligner: Aligner, text: str, base: int, start: int, stop: int) -> tuple[dict, np.ndarray]:
     """Fragment and linked pairs of the bytes start to stop of a document, from
     the stretches ``text`` that cover them. ``base`` is where the blank before
     ``text`` stands. A token belongs to the range that holds its last byte."""
     stretches = aligner.cuts(text)
-    a, ends_a, b, ends_b, fits, at = [], [], [], [], True, base
     aligner.learn(set(stretches))
-    for s in stretches:
-        ok, ids_a, e_a, ids_b, e_b, *_, size = aligner.known[s]
-        fits = fits and ok
-        a += ids_a
-        b += ids_b
-        ends_a += [at + e for e in e_a]
-        ends_b += [at + e for e in e_b]
-        at += size
-    a, ends_a = _within(a, ends_a, start, stop)
-    b, ends_b = _within(b, ends_b, start, stop)
-    groups, pairs, (from_a, from_b) = grouped(a, ends_a, b, ends_b)
-    out = {**NOTHING, "fits": fits, "n_a": len(a), "n_b": len(b), "cut": bool(groups)}
-    if not groups:
-        return {**out, "pre_a": listed(a), "pre_b": listed(b)}, pairs
-    pre_a, pre_b = groups[0].split("|")
-    out |= {"pre_a": pre_a, "pre_b": pre_b, "groups": ";".join(groups[1:]), "n_groups": len(groups) - 1}
-    return {**out, "suf_a": listed(a[from_a:]), "suf_b": listed(b[from_b:])}, pairs
-
-
-def _within(ids: list[int], ends: list[int], start: int, stop: int) -> tuple[list[int], list[int]]:
+    both = aligner.tokens(stretches)
+    if both is None:
+        return {**NOTHING, "fits": False}, np.zeros(0, dtype=np.int64)
+    (a, ends_a), (b, ends_b) = (_within(t, start - base, stop - base) for t in both)
+    cut_a, cut_b = common_ends((a, ends_a), (b, ends_b))
+    out = {**NOTHING, "n_a": len(a), "n_b": len(b), "cut": bool(cut_a.any())}
+    if not out["cut"]:
+        return {**out, "pre_a": listed(a), "pre_b": listed(b)}, paired(a[cut_a], b[cut_b])
+    # From the first common end to the last the groups are closed.
+    (i, k), (j, m) = ((at[0] + 1, at[-1] + 1) for at in (np.flatnonzero(cut_a), np.flatnonzero(cut_b)))
+    out |= {"pre_a": listed(a[:i]), "pre_b": listed(b[:j]), "suf_a": listed(a[k:]), "suf_b": listed(b[m:])}
+    out |= {"groups": aligner.spelled(a[i:k], cut_a[i:k], b[j:m], cut_b[j:m]), "n_groups": int(cut_a.sum()) - 1}
+    return out, paired(a[cut_a], b[cut_b])
+
+
+def _within(tokens: Tokens, start: int, stop: int) -> Tokens:
+    ids, ends = tokens
     lo, hi = np.searchsorted(ends, [start, stop], side="right")
     return ids[lo:hi], ends[lo:hi]
 
@@ -229,8 +231,8 @@ def aligner_of(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
 
 
-def _counted(pairs: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(np.array(pairs, dtype=np.int64), return_counts=True)
+def _counted(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.unique(pairs, return_counts=True)
 
 
 PART_DDL = f"doc bigint, doc_id bigint, seq int, parts int, stretches string, base bigint, start bigint, stop bigint, {FRAGMENT_DDL}, pairs array<bigint>, times array<bigint>"
@@ -256,8 +258,7 @@ def _parts(docs: DataFrame, path_a: str, path_b: str, size: int) -> DataFrame:
                     number += 1
                     row = {"doc": number, "doc_id": doc_id, "seq": 0, "parts": 1, **NOTHING, "pairs": [], "times": []}
                     if stretches:
-                        known = [aligner.known[s] for s in stretches]
-                        row |= _aligned_text(known)
+                        row |= _aligned_text(aligner, stretches)
                     elif text:
                         several = list(ranges(text, size, aligner))
                         for seq, (cut, base, start, stop) in enumerate(several):
@@ -270,12 +271,17 @@ def _parts(docs: DataFrame, path_a: str, path_b: str, size: int) -> DataFrame:
     return named.mapInArrow(run, PART_DDL)
 
 
-def _aligned_text(known: list[tuple]) -> dict:
-    """Row of a document from those of its stretches: each ends with a common end."""
-    pairs, times = _counted([p for k in known for p in k[6]])
+def _aligned_text(aligner: Aligner, stretches: list[str]) -> dict:
+    """Row of a document that is one range: its end is a common end."""
+    both = aligner.tokens(stretches)
+    if both is None:
+        return {"fits": False}
+    (a, _), (b, _) = both
+    cut_a, cut_b = common_ends(*both)
+    pairs, times = _counted(paired(a[cut_a], b[cut_b]))
     return {
-        "fits": all(k[0] for k in known), "n_a": sum(len(k[1]) for k in known), "n_b": sum(len(k[3]) for k in known), "cut": True,
-        "groups": ";".join([k[5] for k in known]), "n_groups": sum(k[7] for k in known), "pairs": pairs, "times": times,
+        "n_a": len(a), "n_b": len(b), "cut": True, "groups": aligner.spelled(a, cut_a, b, cut_b), "n_groups": int(cut_a.sum()),
+        "pairs": pairs, "times": times,
     }
 
 

@@ -54,14 +54,16 @@ def brute_align(texts):
         of_a, of_b = tokens(text or "")
         ends = [np.cumsum([len(t) for _, t in of]).tolist() for of in (of_a, of_b)]
         common = sorted(set(ends[0]) & set(ends[1]))
-        groups, start = [], 0
-        for stop in common:
-            groups.append("|".join(",".join(str(i) for (i, _), e in zip(of, es) if start < e <= stop) for of, es in zip((of_a, of_b), ends)))
+        where = [{e: i for i, e in enumerate(es)} for es in ends]
+        groups, links, start = [], [], (0, 0)
+        for end in common:
+            stop = (where[0][end] + 1, where[1][end] + 1)
+            groups.append("|".join(",".join(str(i) for i, _ in of[x:y]) for of, x, y in zip((of_a, of_b), start, stop)))
+            links.append((of_a[stop[0] - 1][0], of_b[stop[1] - 1][0]))
             start = stop
-        links = [(i, j) for (i, _), e in zip(of_a, ends[0]) for (j, _), f in zip(of_b, ends[1]) if e == f] if len(of_a) < 200 else [
-            (of_a[ends[0].index(e)][0], of_b[ends[1].index(e)][0]) for e in common]
+        groups = ";".join(groups)
         corpus.update(links)
-        rows.append((len(of_a), len(of_b), ";".join(groups), links))
+        rows.append((len(of_a), len(of_b), groups, links))
     best = Counter()
     for (_, j), n in corpus.items():
         best[j] = max(best[j], n)
@@ -94,7 +96,7 @@ def test_joining_fragments_is_associative():
             i = rng.randrange(len(some) - 1)
             some[i : i + 2] = [token_align.joined(some[i], some[i + 1])]
         assert token_align.finished(some[0]) == left
-    assert any(not p["cut"] for p in parts) or len(parts) > 20
+    assert len(parts) > 20
     assert left["groups"] == brute_align([LONG[:2000]])[0][3]
 
 
