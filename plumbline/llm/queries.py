@@ -179,10 +179,8 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
 @add("op11_token_align")
 def op11(spark: SparkSession, sf: str) -> DataFrame:
     paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
-    out = token_align.align(read(spark, sf, "documents"), *paths)
-    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
     counts = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
-    return out.select("doc_id", *counts, digest.alias("groups_sha256"))
+    return token_align.align(read(spark, sf, "documents"), *paths).select("doc_id", *counts, "groups_sha256")
 
 
 _TERMS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

@@ -21,9 +21,10 @@ tokenised once per task and kept.
 from __future__ import annotations
 
 import os
-from array import array
+import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -38,7 +39,9 @@ from plumbline.llm.common import saved
 
 RANGE = 1 << 16  # bytes of a range
 FAN = 16  # fragments that are joined at a time
-MEMO = 250_000
+MEMO = 150_000
+# White space beside a blank or at an end.
+NO_CUT = re.compile(r"\s | \s|\A\s|\s\Z")
 TEXTS = 200
 # Id pairs are one number: A's id times this, plus B's.
 PAIR = 1 << 24
@@ -77,6 +80,7 @@ class Aligner:
         # With a piece such as a blank after a letter, stretches would not be apart.
         self.apart = not any(" " in p.replace("▁", " ").lstrip(" ") for p in pieces)
         self.known: dict[str, tuple[bytes, bytes] | None] = {}
+        self.older: dict[str, tuple[bytes, bytes] | None] = {}
         self.large: list[str] = []
 
     def cuts(self, text: str) -> list[str]:
@@ -84,7 +88,7 @@ class Aligner:
         if not self.apart:
             return [text]
         parts = text.split(" ")
-        if all(p and not p[0].isspace() and not p[-1].isspace() for p in parts):
+        if not text or not NO_CUT.search(text):
             return parts
         out, held = [], parts[0]
         for part in parts[1:]:
@@ -96,19 +100,39 @@ class Aligner:
         return [*out, held]
 
     def learn(self, stretches: set[str]) -> None:
-        """Tokenise those not known yet, at one go. Long ones are kept until the next call."""
+        """Tokenise those not known yet, at one go. Long ones are kept until the
+        next call, others at least until MEMO others were met."""
         for s in self.large:
             self.known.pop(s, None)
-        if len(self.known) + len(stretches) > MEMO:
-            self.known.clear()
-        new = [s for s in stretches if s not in self.known]
+        if len(self.known) > MEMO:
+            self.older, self.known = self.known, {}
+        new = []
+        for s in stretches:
+            if s not in self.known:
+                if s in self.older:
+                    self.known[s] = self.older[s]
+                else:
+                    new.append(s)
         self.large = [s for s in new if len(s) > 64]
-        of_a = self.a.encode_batch_fast([f" {s}" for s in new], add_special_tokens=False) if new else []
-        of_b = self.b.encode(new, num_threads=1) if new else []
-        for s, a, b in zip(new, of_a, of_b):
-            data, a = f" {s}".encode(), a.ids
-            fits = b"".join(map(self.bytes_a.__getitem__, a)) == data and b"".join(map(self.bytes_b.__getitem__, b)) == data
-            self.known[s] = (array("i", a).tobytes(), array("i", b).tobytes()) if fits else None
+        if new:
+            data = [f" {s}".encode() for s in new]
+            of_a = [e.ids for e in self.a.encode_batch_fast([f" {s}" for s in new], add_special_tokens=False)]
+            of_b = self.b.encode(new, num_threads=1)
+            both = zip(new, self._given_back(data, of_a, self.bytes_a, self.size_a), self._given_back(data, of_b, self.bytes_b, self.size_b))
+            self.known.update((s, None if a is None or b is None else (a, b)) for s, a, b in both)
+
+    def _given_back(self, data: list[bytes], ids: list[list[int]], token: list[bytes], size: np.ndarray) -> list[bytes | None]:
+        """The ids of each piece of data as bytes of 32-bit integers; None where
+        the tokens' bytes are not the data."""
+        flat = list(chain.from_iterable(ids))
+        until = np.cumsum([0, *map(len, ids)])
+        packed = np.array(flat, dtype=np.int32)
+        ends = np.concatenate([[0], np.cumsum(size[packed])])[until]
+        fits = [True] * len(data)
+        if b"".join(map(token.__getitem__, flat)) != b"".join(data) or (np.diff(ends) != [len(d) for d in data]).any():
+            fits = [b"".join(map(token.__getitem__, i)) == d for i, d in zip(ids, data)]
+        raw, cuts = packed.tobytes(), (4 * until).tolist()
+        return [raw[i:j] if ok else None for ok, i, j in zip(fits, cuts, cuts[1:])]
 
     def tokens(self, stretches: list[str]) -> tuple[Tokens, Tokens] | None:
         """Ids and ends of A and B for known stretches in a row; nothing if
@@ -310,10 +334,11 @@ def _reduced(fragments: DataFrame, rounds: int) -> DataFrame:
 
 
 def align(docs: DataFrame, path_a: str, path_b: str, size: int = RANGE) -> DataFrame:
-    """(doc_id, n_a, n_b, n_groups, groups, n_links, n_best, count_sum) per row
-    of docs (doc_id, text); other columns are ignored.
+    """(doc_id, n_a, n_b, n_groups, groups, groups_sha256, n_links, n_best,
+    count_sum) per row of docs (doc_id, text); other columns are ignored.
 
-    ``groups`` spells the groups, ``a1,a2|b1;a3|b2`` with A's and B's ids. A
+    ``groups`` spells the groups, ``a1,a2|b1;a3|b2`` with A's and B's ids; the
+    digest of none is empty. Who takes only the digest does not move them. A
     link is a pair of tokens that end together; the count of its ids is the
     number of links of the whole corpus with them. ``n_best`` counts the links
     whose count is the highest of all with their B id, ``count_sum`` adds the
@@ -371,5 +396,8 @@ def _with_counts(every: DataFrame, each: DataFrame) -> DataFrame:
         F.sum(F.col("times") * F.col("count")).alias("count_sum"),
     )
     kept = [F.when(F.col("fits"), F.col(n)).otherwise(0).alias(n) for n in ("n_a", "n_b", "n_groups")]
+    groups = F.when(F.col("fits"), F.col("groups")).otherwise("")
+    digest = F.when(groups != "", F.sha2(groups, 256)).otherwise("")
+    every = every.select("doc", "doc_id", *kept, groups.alias("groups"), digest.alias("groups_sha256"))
     added = [F.coalesce(n, F.lit(0)).alias(n) for n in ("n_links", "n_best", "count_sum")]
-    return every.join(sums, "doc", "left").select("doc_id", *kept, F.when(F.col("fits"), F.col("groups")).otherwise("").alias("groups"), *added)
+    return every.join(sums, "doc", "left").select("doc_id", "n_a", "n_b", "n_groups", "groups", "groups_sha256", *added)

@@ -76,7 +76,7 @@ def brute_align(texts):
 @pytest.mark.parametrize("size", [1 << 16, 900, 64])
 def test_alignment_is_that_of_whole_texts(spark, size):
     rows = [(i if i % 5 else None, t, "x", i, None) for i, t in enumerate(TEXTS)]
-    got = token_align.align(spark.createDataFrame(rows, DDL), A, B, size).collect()
+    got = token_align.align(spark.createDataFrame(rows, DDL), A, B, size).drop("groups_sha256").collect()
     want = [(r[0], *w) for r, w in zip(rows, brute_align(TEXTS))]
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
