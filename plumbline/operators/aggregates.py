@@ -141,12 +141,14 @@ def profile_nulls(df: DataFrame) -> DataFrame:
 
 
 def reconcile(before: DataFrame, after: DataFrame, columns: list[str]) -> DataFrame:
-    """Control totals of two stages side by side, with their difference."""
-    spec = {c: (c, "money") for c in columns}
-    both = control_total(before, spec).withColumn("_stage", F.lit("before")).unionByName(
-        control_total(after, spec).withColumn("_stage", F.lit("after"))
-    )
-    tall = both.unpivot(["_stage"], columns, "metric", "_value")
+    """Control totals of two stages side by side, with their difference. Totals
+    are subtracted as exact decimals and become doubles once, at the end."""
+    def totals(df: DataFrame, stage: str) -> DataFrame:
+        sums = [F.coalesce(F.sum(F.col(f"`{c}`").cast(MONEY)), F.lit(0)).cast("decimal(38,10)").alias(c) for c in columns]
+        return df.agg(*sums).withColumn("_stage", F.lit(stage))
+
+    tall = totals(before, "before").unionByName(totals(after, "after")).unpivot(["_stage"], columns, "metric", "_value")
     at = lambda stage: F.max(F.when(F.col("_stage") == stage, F.col("_value")))
     out = tall.groupBy("metric").agg(at("before").alias("before"), at("after").alias("after"))
-    return out.withColumn("difference", (F.col("after") - F.col("before")).cast(MONEY).cast("double"))
+    exact = {"before": F.col("before"), "after": F.col("after"), "difference": F.col("after") - F.col("before")}
+    return out.select("metric", *[c.cast("double").alias(n) for n, c in exact.items()])

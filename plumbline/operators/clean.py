@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions import text
+from plumbline.operators.lookups import Lookup, lookup_of
 from plumbline.sources.tables import YEAR
 
 
@@ -25,25 +26,35 @@ def filter_ne(df: DataFrame, column: str, value: object) -> DataFrame:
     return df.filter(~F.col(column).eqNullSafe(F.lit(value)))
 
 
-def exclude_values(df: DataFrame, column: str, values: DataFrame | list) -> DataFrame:
+def exclude_values(df: DataFrame, column: str, values: DataFrame | Lookup | list) -> DataFrame:
     """Rows whose value is not listed; null rows stay.
 
-    ``values`` is a short list, or a frame whose first column holds them.
+    ``values`` is a short list, a frame whose first column holds them, or the
+    lookup of one.
     """
     if isinstance(values, DataFrame):
-        listed = values.select(F.col(values.columns[0]).alias("_listed"))
-        return df.join(listed, F.col(column) == F.col("_listed"), "left_anti")
+        values = lookup_of(values.select(f"`{values.columns[0]}`"))
+    if isinstance(values, Lookup):
+        if values.constant:
+            return df.filter(~values.has(F.col(f"`{column}`")))
+        return df.join(values.frame.select(F.col("key").alias("_listed")), F.col(column) == F.col("_listed"), "left_anti")
     if not values:
         return df
     return df.filter(~F.coalesce(F.col(column).isin(*values), F.lit(False)))
 
 
-def replace_values(df: DataFrame, columns: list[str], mapping: DataFrame) -> DataFrame:
-    """Whole-value replacement from a frame of (wrong, right), one pass.
+def replace_values(df: DataFrame, columns: list[str], mapping: DataFrame | Lookup) -> DataFrame:
+    """Whole-value replacement in text columns from a frame of (wrong, right),
+    or its lookup, in one pass. A null ``right`` replaces nothing.
 
-    ``wrong`` must be unique, as :func:`read_mapping` makes it.
+    ``wrong`` must be unique, as :func:`read_mapping` makes it. A small map is
+    looked up in one projection for all columns; a large one is joined once
+    per column.
     """
-    pairs = mapping.select(F.col(mapping.columns[0]).alias("_wrong"), F.col(mapping.columns[1]).alias("_right"))
+    lookup = mapping if isinstance(mapping, Lookup) else lookup_of(mapping)
+    if lookup.constant:
+        return df.withColumns({c: lookup.replace(F.col(f"`{c}`")) for c in columns})
+    pairs = lookup.frame.select(F.col("key").alias("_wrong"), F.col("value").alias("_right"))
     names = df.columns
     for column in columns:
         fixed = F.coalesce(F.col("_right"), F.col(column)).alias(column)

@@ -13,7 +13,7 @@ from plumbline.operators.aggregates import aggregate, pre_sum
 from plumbline.operators.joins import bridge_first, enrich
 from plumbline.operators.locate import city_from_address, resolve_location
 from plumbline.plans import claims as claim_sheets
-from plumbline.plans.cleaning import Refs, apply_steps
+from plumbline.plans.cleaning import Refs, apply_steps, steps_of
 from plumbline.plans.fixed import (
     CALENDAR_STAMPS,
     CERTIFIED_CITIES,
@@ -197,6 +197,53 @@ def employee_residences(fact: DataFrame, refs: Refs, year: str = "21-22") -> Dat
     return apply_steps(out, "city", after, refs)
 
 
+def staff(fact: DataFrame, refs: Refs, year: str) -> DataFrame | None:
+    """Positions, temporary staff and (in 21-22) residences from one scan.
+
+    Each has its own rows, key and cleaning order; a row becomes one for each
+    of the three that takes it, and one aggregation by frame and city serves
+    all. Returns ``frame`` (positions, temporary, residences), ``city`` and the
+    metrics of all three, null in rows of another frame; None where a cleaning
+    step takes a join.
+    """
+    kind = F.col("emp_type")
+    wanted = {"positions": ("city", (kind == 1) | (kind == 2)), "temporary": ("city", (kind == 4) | (kind == 5))}
+    if year in STEPS["residences"]:
+        wanted["residences"] = ("home_city", F.lit(True))
+    cleaned = {name: steps_of(F.col(key), STEPS[name][year][0], refs) for name, (key, _) in wanted.items()}
+    if None in cleaned.values():
+        return None
+    pay = F.col("salary")
+    if year != "21-22":
+        pay = numbers.annualize_hourly(F.col("base_rate"), F.col("fte"), kind, F.col("pay_code"))
+    taken = F.array(*[
+        F.when(F.coalesce(mine & cleaned[name][1], F.lit(False)), F.struct(F.lit(name).alias("frame"), cleaned[name][0].alias("city")))
+        for name, (_, mine) in wanted.items()
+    ])
+    fields = {"position": F.col("position"), "flag": numbers.flag_to_int(F.col("vacant")), "salary": pay.cast(MONEY), "fte": F.col("fte")}
+    if year == "21-22":
+        fields["health"] = F.col("health")
+    rows = fact.select(F.explode(F.array_compact(taken)).alias("_t"), *[c.alias(n) for n, c in fields.items()]).select("_t.*", *fields)
+    # residences count no positions: without them fewer rows are kept apart
+    rows = rows.withColumn("position", F.when(F.col("frame") != "residences", F.col("position")))
+    spec = {
+        "positions": ("position", "nunique"),
+        "vacancies": ("flag", "sum"),
+        "annualized_salary": ("salary", "money"),
+        "employees": ("fte", "quantity"),
+        **({"employer_insurance_contributions": ("health", "money")} if year == "21-22" else {}),
+        "employee_residences": ("salary", "count"),
+    }
+    sums = aggregate(rows, ["frame", "city"], spec, present=True)
+    mine = {"temporary_employees": ("temporary", "positions")}
+    if year == "21-22":
+        mine["employee_residences"] = ("residences", "employee_residences")
+    mine |= {n: ("positions", n) for n in spec if n != "employee_residences"}
+    upper = [name for name in wanted if STEPS[name][year][1] == "U"]
+    key = F.when(F.col("frame").isin(*upper), F.upper("city")).otherwise(F.col("city")) if upper else F.col("city")
+    return sums.select("frame", key.alias("city"), *[F.when(F.col("frame") == f, F.col(c)).alias(n) for n, (f, c) in mine.items()])
+
+
 def facilities(
     fact: DataFrame, refs: Refs, year: str, *, agency: str, keep_excluded: bool | None = None
 ) -> DataFrame:
@@ -245,6 +292,13 @@ def expenses(fact: DataFrame, refs: Refs, year: str = "20-21") -> DataFrame:
     )
 
 
+def maintenance_rows(fact: DataFrame, refs: Refs) -> DataFrame:
+    """Maintenance expenses of 20-21 row by row, with their category."""
+    df = apply_steps(fact, "city", STEPS["expenses"]["20-21"][0], refs)
+    amount = F.col("amount").cast("double").alias("building_maintenance")
+    return df.filter(F.col("category") == MAINTENANCE).select("city", "category", amount)
+
+
 def attach_expenses(table: DataFrame, fact: DataFrame, refs: Refs, *, repeat_rows: bool = True) -> DataFrame:
     """Add the expense metrics of 20-21 to a city table.
 
@@ -255,11 +309,7 @@ def attach_expenses(table: DataFrame, fact: DataFrame, refs: Refs, *, repeat_row
     both = expenses(fact, refs)
     if not repeat_rows:
         return table.join(both, "city", "left")
-    df = apply_steps(fact, "city", STEPS["expenses"]["20-21"][0], refs)
-    rows = df.filter(F.col("category") == MAINTENANCE).select(
-        "city", "category", F.col("amount").cast("double").alias("building_maintenance")
-    )
-    return table.join(both.select("city", "utility_bills_paid"), "city", "left").join(rows, "city", "left")
+    return table.join(both.select("city", "utility_bills_paid"), "city", "left").join(maintenance_rows(fact, refs), "city", "left")
 
 
 def construction(fact: DataFrame, refs: Refs, year: str = "21-22") -> DataFrame:
@@ -279,7 +329,7 @@ def retiree_payments(fact: DataFrame, refs: Refs, year: str) -> DataFrame:
         df = clean.exclude_values(df, "zip", list(RETIREE_DROP_ZIPS[year]))
         df = apply_steps(enrich(refs.zips.select("zip", "city"), df, "zip", "zip"), "city", steps, refs, present=True)
     else:
-        df = clean.replace_values(df, ["zip"], refs.replacements)
+        df = clean.replace_values(df, ["zip"], refs.lookup("replacements"))
         df = apply_steps(df, "city", steps, refs, drop_zips=RETIREE_DROP_ZIPS[year], present=True)
     return aggregate(
         df, ["city"], {"benefits_paid_to_retirees": ("payment", "exact"), "number_of_payees": ("payees", "sum")}, present=True

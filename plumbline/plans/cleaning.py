@@ -10,14 +10,15 @@ C append " County", Q drop listed zips, J zip to city.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions import text
 from plumbline.operators import clean
 from plumbline.operators.joins import enrich
+from plumbline.operators.lookups import Lookup, lookup_of
 
 
 @dataclass(frozen=True)
@@ -32,6 +33,15 @@ class Refs:
     zips: DataFrame
     replacements: DataFrame
     exclusions: DataFrame
+    # Lookups made so far, with the frame each was made of.
+    _lookups: dict[str, tuple[DataFrame, Lookup]] = field(default_factory=dict, repr=False, compare=False)
+
+    def lookup(self, name: str) -> Lookup:
+        """Lookup of ``replacements`` or ``exclusions``, fetched once for all jobs."""
+        frame = getattr(self, name)
+        if name not in self._lookups or self._lookups[name][0] is not frame:
+            self._lookups[name] = (frame, lookup_of(frame if name == "replacements" else frame.select(frame.columns[0])))
+        return self._lookups[name][1]
 
     def counties(self) -> DataFrame:
         return clean.distinct_values(self.spine, "county")
@@ -89,9 +99,9 @@ def apply_steps(
         # become one projection
         df, expr = flush(df), pending
         if step == "R":
-            df = clean.replace_values(df, [key, *texts], refs.replacements)
+            df = clean.replace_values(df, [key, *texts], refs.lookup("replacements"))
         elif step == "X":
-            df = clean.exclude_values(df, key, refs.exclusions)
+            df = clean.exclude_values(df, key, refs.lookup("exclusions"))
         elif step == "N":
             df = clean.drop_null(df, [key])
         elif step == "V":
@@ -103,3 +113,30 @@ def apply_steps(
         else:
             raise ValueError(f"unknown cleaning step {step!r}")
     return flush(df)
+
+
+def steps_of(key: Column, steps: str, refs: Refs, *, vacant: str = "vacant") -> tuple[Column, Column] | None:
+    """The steps as expressions: the cleaned key, and whether the row stays
+    (with a key that is not null). None where a step takes a join: the zip
+    lookup, or a map or list too large for a constant.
+
+    Several orders of steps over one source are then columns of one scan.
+    """
+    spelling, excluded = refs.lookup("replacements"), refs.lookup("exclusions")
+    if not (spelling.constant and excluded.constant):
+        return None
+    stays = F.lit(True)
+    for step in steps.split():
+        if step in _PURE:
+            key = _PURE[step](key)
+        elif step == "R":
+            key = spelling.replace(key)
+        elif step == "X":
+            stays = stays & ~excluded.has(key)
+        elif step == "N":
+            stays = stays & key.isNotNull()
+        elif step == "V":
+            stays = stays & ~F.col(vacant).eqNullSafe(F.lit("Y"))
+        else:
+            return None
+    return key, stays & key.isNotNull()

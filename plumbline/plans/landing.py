@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.text import cp1252_from_latin1, cp1252_text
-from plumbline.operators import quality
 from plumbline.operators.clean import dedup_first, with_fy
 from plumbline.operators.unions import union_years
 from plumbline.plans.claims import SHEETS
@@ -28,8 +27,8 @@ from plumbline.plans.fixed import (
     RETIREE_OUT_OF_STATE_TO,
 )
 from plumbline.plans.out_of_state import claims_outside, fy_spine, retirees_outside, spend_outside, summary
-from plumbline.plans.years import city_year_table, county_year_table
-from plumbline.sources.ordinals import ORDINAL, promote_header, with_ordinal
+from plumbline.plans.years import city_metrics, county_year_table, guard_repeats, year_report, year_table
+from plumbline.sources.ordinals import ORDINAL, with_ordinal
 from plumbline.sources.tables import YEAR, conform, read_list, read_mapping, write_table, write_year
 
 ROW = "row_id"
@@ -64,6 +63,11 @@ class File:
     # In place of the fixed layout of the source and year.
     layout: Layout | None = None
 
+    @property
+    def names(self) -> dict[str, str]:
+        """The renames, whatever white space ends a header."""
+        return {header.strip(): name for header, name in self.renames.items()}
+
 
 # Rows of the sources that are not a plain table, by year.
 _CLAIMS = {y: Layout(footer=1) for y in ("18-19", "19-20", "20-21", "21-22")}
@@ -185,7 +189,7 @@ def load_source(spark: SparkSession, file: File, source: str, year: str) -> Data
     if file.sheets:
         parts = [
             _rows(spark, replace(file, path=f"{file.path.rstrip('/')}/{sheet}", sheets=()), layout, True)
-            .withColumnsRenamed(file.renames).withColumn(ROW, F.col(ROW) + i * SHEET_ROWS)
+            .withColumnsRenamed(file.names).withColumn(ROW, F.col(ROW) + i * SHEET_ROWS)
             for i, sheet in enumerate(file.sheets)
         ]
         rows = union_years(parts)
@@ -202,9 +206,9 @@ def load_source(spark: SparkSession, file: File, source: str, year: str) -> Data
 def _declared(rows: DataFrame, file: File, source: str, year: str, ordered: bool) -> DataFrame:
     schema = schema_of(source, year) + (f", {ROW} bigint" if ordered else "")
     if source not in KEEPS_ALL:
-        return conform(rows, file.renames, schema)
-    declared = conform(rows, file.renames, schema)
-    renamed = rows.withColumnsRenamed(file.renames)
+        return conform(rows, file.names, schema)
+    declared = conform(rows, file.names, schema)
+    renamed = rows.withColumnsRenamed(file.names)
     return renamed.select(*[F.col(f"`{c}`").cast(declared.schema[c].dataType) if c in declared.columns else F.col(f"`{c}`") for c in renamed.columns])
 
 
@@ -236,8 +240,8 @@ def _rows(spark: SparkSession, file: File, layout: Layout, ordered: bool) -> Dat
 
 
 def _header(reader: DataFrameReader, path: str, at: int) -> list[str]:
-    """Cells of the header row, read with the lines above it from the start of
-    the first file."""
+    """Cells of the header row without the white space at their ends, read with
+    the lines above it from the start of the first file."""
     first = min(reader.text(path).inputFiles())
     # No line has so few cells, so each comes as the record it is.
     raw = reader.schema(f"`_c0` string, `_c1` string, {RAGGED} string").option("columnNameOfCorruptRecord", RAGGED)
@@ -247,8 +251,8 @@ def _header(reader: DataFrameReader, path: str, at: int) -> list[str]:
     line = lines[at]
     record = line[RAGGED] if line[RAGGED] is not None else None
     if record is None:
-        return [line[0] or "", line[1] or ""]
-    return [c.strip() if "\n" not in c else c for c in next(csv.reader(io.StringIO(record)))]
+        return [(line[0] or "").strip(), (line[1] or "").strip()]
+    return [c.strip() for c in next(csv.reader(io.StringIO(record)))]
 
 
 def _recoded(df: DataFrame, file: File) -> DataFrame:
@@ -259,10 +263,12 @@ def _recoded(df: DataFrame, file: File) -> DataFrame:
 
 def load_refs(spark: SparkSession, geo: File, zips: File, replacements: str, exclusions: str) -> Refs:
     """The shared dimensions: first row per city in file order with all its
-    columns, upper-case cities in the zip lookup, spelling map, exclusions."""
-    rows = promote_header(with_ordinal(spark.read.csv(geo.path)), [ORDINAL])
-    spine = rows.withColumnsRenamed({**geo.renames, ORDINAL: "ord"})
-    lookup = conform(spark.read.option("header", True).csv(zips.path), zips.renames, "zip string, city string")
+    columns, upper-case cities in the zip lookup, spelling map, exclusions. Both
+    files are read as sources are: by layout and encoding, and a row with
+    another number of cells than the header fails the job."""
+    rows = _rows(spark, geo, geo.layout or Layout(), True).withColumnsRenamed(geo.names)
+    spine = rows.withColumn("ord", F.col(ROW) + 1).drop(ROW)  # lines below the header, from 1
+    lookup = conform(_rows(spark, zips, zips.layout or Layout(), False), zips.names, "zip string, city string")
     return Refs(
         dedup_first(spine, ["city"], ["ord"]),
         lookup.withColumn("city", F.upper("city")),
@@ -299,19 +305,23 @@ def assemble_year(
     agency: str,
     repeat_rows: bool = True,
     report_path: str | None = None,
+    most_repeats: int | None = None,
 ) -> None:
     """Read a year's landed files and write its city and county tables, and to
-    ``report_path`` what :func:`quality.year_report` finds in the city table."""
-    frames: dict[str, DataFrame] = {}
+    ``report_path`` what :func:`year_report` finds in the city table. The
+    metrics are written first, so the table, the guard and the report read no
+    source again. With ``most_repeats`` prisons and maintenance rows may make at
+    most so many rows of one city; more fail the job."""
     sources = load_year(spark, files, year)
-    city = city_year_table(
-        sources, refs, year, home_state=home_state, agency=agency, orders=ORDERS, repeat_rows=repeat_rows, frames=frames
-    )
+    metrics = city_metrics(sources, refs, year, home_state=home_state, agency=agency, orders=ORDERS, repeat_rows=repeat_rows).written()
+    if most_repeats is not None:
+        guard_repeats(metrics, most_repeats)
+    city = with_fy(year_table(refs.spine.drop("ord"), metrics), year)
     write_year(county_year_table(sources, refs, year), county_path)
     write_year(city, city_path)
     if report_path is not None:
         written = spark.read.schema(city.schema).parquet(city_path).where(F.col(YEAR) == year)
-        write_year(quality.year_report(frames, refs.spine, written, "city"), report_path, year)
+        write_year(year_report(metrics, refs.spine, written), report_path, year)
 
 
 def assemble_out_of_state(
