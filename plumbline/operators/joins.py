@@ -3,7 +3,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.operators.aggregates import aggregate
@@ -22,22 +26,80 @@ def attach_metric(spine: DataFrame, metric: DataFrame, key: str, how: str = "lef
     return outer_join_nullsafe(spine, metric, key)
 
 
-def outer_join_nullsafe(left: DataFrame, right: DataFrame, key: str, *, skewed: bool = False) -> DataFrame:
-    """Full outer join in which null keys match each other.
+# A key with so many rows on one side is split from the others, the heaviest MOST_HOT of them.
+HOT_ROWS, MOST_HOT = 500_000, 200
+
+
+@dataclass(frozen=True)
+class Side:
+    """Rows of one key class. ``held``: the hot keys that occur in them, or None
+    for the rows of all other keys."""
+
+    df: DataFrame
+    held: frozenset | None = None
+
 
-    A full outer join cannot split a hot key between tasks. With ``skewed``
-    it runs as an inner join and two anti joins, which can, at the price of
-    reading both sides twice; for sides that are grouped by key it is not
-    needed.
+def _is_one_of(key: str, values: frozenset) -> Column:
+    listed = [v for v in values if v is not None]
+    hit = F.coalesce(F.col(f"`{key}`").isin(*listed), F.lit(False)) if listed else F.lit(False)
+    return hit | F.col(f"`{key}`").isNull() if None in values else hit
+
+
+def by_key_class(frames: list[DataFrame], key: str, combine: Callable[[list[Side]], Side], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``combine`` of the frames' light rows and of their hot rows, united.
+
+    A key is hot if ``hot_rows`` rows of one frame have it; null counts as any
+    other. One aggregation over all frames finds the hot keys and which frames
+    have them, and at most MOST_HOT, the heaviest, are fetched. The split
+    changes the plan, not the rows, so a hot key beyond those is only slower.
+    """
+    tagged = [f.select(F.col(f"`{key}`").alias("k"), F.lit(i).alias("i")) for i, f in enumerate(frames)]
+    sizes = [F.count_if(F.col("i") == i).alias(f"n{i}") for i in range(len(frames))]
+    counts = reduce(DataFrame.union, tagged).groupBy("k").agg(*sizes)
+    most = F.greatest(*[f"n{i}" for i in range(len(frames))]) if len(frames) > 1 else F.col("n0")
+    hot = counts.where(most >= hot_rows).orderBy(most.desc(), "k").limit(MOST_HOT).collect()
+    if not hot:
+        return combine([Side(f) for f in frames]).df
+    keys = frozenset(r["k"] for r in hot)
+    light = combine([Side(f.where(~_is_one_of(key, keys))) for f in frames])
+    held = [frozenset(r["k"] for r in hot if r[f"n{i}"]) for i in range(len(frames))]
+    heavy = combine([Side(f.where(_is_one_of(key, keys)), h) for f, h in zip(frames, held)])
+    return light.df.unionByName(heavy.df)
+
+
+def outer(left: Side, right: Side, key: str) -> Side:
+    """Full outer join of two sides, null keys matching each other.
+
+    A full outer join cannot split a hot key between tasks; an inner join can.
+    Hot keys that both sides hold go through one. Which keys only one side
+    holds is known, so its rows are a filter, not an anti join.
     """
-    r = _renamed(right, key, "_rkey")
+    r = _renamed(right.df, key, "_rkey")
     same = F.col(key).eqNullSafe(F.col("_rkey"))
+    if left.held is None or right.held is None:
+        joined = left.df.join(r, same, "full_outer")
+        return Side(joined.withColumn(key, F.coalesce(F.col(key), F.col("_rkey"))).drop("_rkey"))
+    parts = []
+    if left.held & right.held:
+        parts.append(left.df.join(r, same, "inner").drop("_rkey"))
+    if left.held - right.held:
+        parts.append(left.df.where(_is_one_of(key, left.held - right.held)))
+    if right.held - left.held:
+        parts.append(right.df.where(_is_one_of(key, right.held - left.held)))
+    if not parts:
+        return Side(left.df.join(r, same, "inner").drop("_rkey"), frozenset())
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for s in (left, right) for f in s.df.schema if f.name not in parts[0].columns]
+    first = parts[0].select("*", *missing)
+    return Side(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts[1:], first), left.held | right.held)
+
+
+def outer_join_nullsafe(left: DataFrame, right: DataFrame, key: str, *, skewed: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Full outer join in which null keys match each other. With ``skewed``,
+    for raw sides, hot keys are counted first and joined apart from the rest
+    (see :func:`by_key_class`); sides that are grouped by key have none."""
     if not skewed:
-        joined = left.join(r, same, "full_outer")
-        return joined.withColumn(key, F.coalesce(F.col(key), F.col("_rkey"))).drop("_rkey")
-    matched = left.join(r, same, "inner").drop("_rkey")
-    left_only, right_only = anti_join(left, right, key), anti_join(right, left, key)
-    return matched.unionByName(left_only, allowMissingColumns=True).unionByName(right_only, allowMissingColumns=True)
+        return outer(Side(left), Side(right), key).df
+    return by_key_class([left, right], key, lambda sides: outer(*sides, key), hot_rows)
 
 
 def enrich(fact: DataFrame, dim: DataFrame, left_key: str, right_key: str, *, null_safe: bool = True) -> DataFrame:

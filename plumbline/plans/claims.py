@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.text import MONEY, strip
-from plumbline.operators.joins import outer_join_nullsafe
+from plumbline.operators.joins import HOT_ROWS, Side, by_key_class, outer
 
 SHEETS = ("medical_retiree", "medical_active", "pharmacy_retiree", "pharmacy_active")
 TOTALS = ("medical_claims", "pharmacy_claims", "total_claims")
@@ -23,19 +24,26 @@ def sheet_total(sheet: DataFrame, name: str, fill_null: bool = False) -> DataFra
 
 
 def combine_claims(
-    medical_retiree: DataFrame, medical_active: DataFrame, pharmacy_retiree: DataFrame, pharmacy_active: DataFrame
+    medical_retiree: DataFrame, medical_active: DataFrame, pharmacy_retiree: DataFrame, pharmacy_active: DataFrame,
+    *, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row per match of the four sheets on zip, with staged totals.
 
     A total is null where a part is null, so a zip on one sheet only has no
     total. Zips repeated on a sheet repeat their matches. The sheets are raw,
-    so the null zip may be hot and is split.
+    so the null zip or another may be hot: hot zips are counted once over all
+    four, and composed apart from the rest.
     """
-    mr, me = sheet_total(medical_retiree, "mr"), sheet_total(medical_active, "me")
-    pr, pe = sheet_total(pharmacy_retiree, "pr"), sheet_total(pharmacy_active, "pe")
-    medical = outer_join_nullsafe(mr, me, "zip", skewed=True).withColumn("medical_claims", F.col("me") + F.col("mr"))
-    pharmacy = outer_join_nullsafe(pr, pe, "zip", skewed=True).withColumn("pharmacy_claims", F.col("pe") + F.col("pr"))
-    return outer_join_nullsafe(medical, pharmacy, "zip", skewed=True).withColumns(
+    def combine(sides: list[Side]) -> Side:
+        mr, me, pr, pe = sides
+        medical, pharmacy = outer(mr, me, "zip"), outer(pr, pe, "zip")
+        medical = replace(medical, df=medical.df.withColumn("medical_claims", F.col("me") + F.col("mr")))
+        pharmacy = replace(pharmacy, df=pharmacy.df.withColumn("pharmacy_claims", F.col("pe") + F.col("pr")))
+        return outer(medical, pharmacy, "zip")
+
+    sheets = {"mr": medical_retiree, "me": medical_active, "pr": pharmacy_retiree, "pe": pharmacy_active}
+    joined = by_key_class([sheet_total(sheet, name) for name, sheet in sheets.items()], "zip", combine, hot_rows)
+    return joined.withColumns(
         {
             "total_claims": F.col("medical_claims") + F.col("pharmacy_claims"),
             "employee_claims": F.col("me") + F.col("pe"),

@@ -66,19 +66,14 @@ def _tall_name(frame: str, column: str) -> str:
 def tall(parts: list[tuple[Frame, DataFrame]], key: str) -> DataFrame | None:
     """The metric frames as one table. A part may hold several frames if it has
     a column ``frame`` that names them."""
-    types = {}
-    for frame, df in parts:
-        types |= {_tall_name(frame.name, c): df.schema[c].dataType for c in frame.columns}
-    done, rows = set(), []
-    for frame, df in parts:
-        if id(df) in done:
+    rows = []
+    for i, (frame, df) in enumerate(parts):
+        if any(df is d for _, d in parts[:i]):
             continue
-        done.add(id(df))
         own = {_tall_name(f.name, c): c for f, d in parts if d is df for c in f.columns}
-        name = F.col("frame") if "frame" in df.columns else F.lit(frame.name)
-        cells = [F.col(f"`{own[t]}`").alias(t) if t in own else F.lit(None).cast(kind).alias(t) for t, kind in types.items()]
-        rows.append(df.select(name.alias(SOURCE), F.col(key).alias(key), *cells))
-    return reduce(DataFrame.union, rows) if rows else None
+        name = "`frame`" if "frame" in df.columns else f"'{frame.name}'"
+        rows.append(df.selectExpr(f"{name} AS {SOURCE}", f"`{key}`", *[f"`{c}` AS `{t}`" for t, c in own.items()]))
+    return union_years(rows) if rows else None
 
 
 def wide(metrics: Metrics) -> DataFrame:
@@ -86,17 +81,17 @@ def wide(metrics: Metrics) -> DataFrame:
     for those that extend whether they have the key."""
     cells = []
     for f in metrics.frames:
-        mine = F.col(SOURCE) == f.name
-        columns = {_tall_name(f.name, c): F.col(f"`{_tall_name(f.name, c)}`") for c in f.columns}
+        mine = f"{SOURCE} = '{f.name}'"
+        names = [f"`{_tall_name(f.name, c)}`" for c in f.columns]
         if f.repeats:
             # few: the spellings of one key
-            cells.append(F.collect_list(F.when(mine, F.struct(*[c.alias(n) for n, c in columns.items()]))).alias(f.name))
+            cells.append(f"collect_list(CASE WHEN {mine} THEN struct({', '.join(names)}) END) AS `{f.name}`")
         else:
             # a key has one row, so the largest value is the only one
-            cells += [F.max(c).alias(n) for n, c in columns.items()]
+            cells += [f"max({n}) AS {n}" for n in names]
         if f.extends:
-            cells.append(F.coalesce(F.max(mine), F.lit(False)).alias(f"{f.name}?"))
-    return metrics.rows.where(F.col(metrics.key).isNotNull()).groupBy(metrics.key).agg(*cells)
+            cells.append(f"coalesce(max({mine}), false) AS `{f.name}?`")
+    return metrics.rows.where(F.col(metrics.key).isNotNull()).groupBy(metrics.key).agg(*map(F.expr, cells))
 
 
 def year_table(spine: DataFrame, metrics: Metrics) -> DataFrame:
@@ -117,16 +112,16 @@ def year_table(spine: DataFrame, metrics: Metrics) -> DataFrame:
         table = table.withColumn("_from_spine", of_spine).withColumn(key, F.coalesce(key, "_key"))
     else:
         table = table.join(right, F.col(key) == F.col("_key"), "left").withColumn("_from_spine", F.lit(True))
-    out, late = [], F.col("_from_spine")
+    out, late = [], "_from_spine"
     for f in metrics.frames:
         if f.extends:
-            late = late | F.col(f"`{f.name}?`")
+            late = f"({late} OR `{f.name}?`)"
         if f.repeats:
-            table = table.withColumn(f.name, F.explode_outer(F.when(late, F.col(f"`{f.name}`"))))
-            out += [F.col(f"`{f.name}`").getField(_tall_name(f.name, c)).alias(c) for c in f.columns]
+            table = table.withColumn(f.name, F.expr(f"explode_outer(CASE WHEN {late} THEN `{f.name}` END)"))
+            out += [f"`{f.name}`.`{_tall_name(f.name, c)}` AS `{c}`" for c in f.columns]
         else:
-            out += [F.when(late, F.col(f"`{_tall_name(f.name, c)}`")).alias(c) for c in f.columns]
-    return table.select(*[f"`{c}`" for c in [*base, *before]], *out)
+            out += [f"CASE WHEN {late} THEN `{_tall_name(f.name, c)}` END AS `{c}`" for c in f.columns]
+    return table.selectExpr(*[f"`{c}`" for c in [*base, *before]], *out)
 
 
 def guard_repeats(metrics: Metrics, most: int) -> None:
