@@ -2,29 +2,38 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.text import extract_zip, first_token, last_token, strip
 from plumbline.operators.clean import dedup_first
 from plumbline.operators.joins import enrich
+from plumbline.session import written
 
 # A dictionary up to this many terms is put into the plan as a constant.
 MAX_TERMS = 2000
-# Longest term prefix used to look up candidates in larger dictionaries.
-PREFIX = 8
+# Of a larger one the first HEAD terms are, and the others are found by grams:
+# a term of at least so many characters by one gram of that length, a shorter
+# one by itself.
+HEAD, GRAMS = 64, (6, 3)
+# Up to this many grams are put into the plan to cut the texts' grams by.
+MOST_GRAMS = 20_000
 
 
 def _first_of(text: Column, pairs: list[tuple[str, str]], chunk: int = 16) -> Column:
-    """Search a chunk of the list at a time, so that an early hit ends it. The
-    first term found decides, also when its value is null."""
+    """(t, v) of the first pair whose term is in the text, else null. A chunk of
+    the list is searched at a time, so that an early hit ends it."""
     if not pairs:
-        return F.lit(None).cast("string")
+        return F.lit(None).cast("struct<t:string,v:string>")
     hits = []
     for i in range(0, len(pairs), chunk):
-        listed = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(v).cast("string").alias("v")) for t, v in pairs[i : i + chunk]])
-        hits.append(F.get(F.filter(listed, lambda p: F.contains(text, p["t"])), F.lit(0)))
-    return F.coalesce(*hits)["v"]
+        listed = json.dumps([{"t": t, "v": v} for t, v in pairs[i : i + chunk]])
+        # one text literal, which the optimizer folds to an array
+        terms = F.from_json(F.lit(listed), "array<struct<t:string,v:string>>")
+        hits.append(F.get(F.filter(terms, lambda p: F.contains(text, p["t"])), F.lit(0)))
+    return F.coalesce(*hits)
 
 
 def first_contained(
@@ -39,42 +48,79 @@ def first_contained(
     max_terms: int = MAX_TERMS,
 ) -> DataFrame:
     """Add ``out``: the dictionary's first term in ``order`` found in ``text``,
-    or that term's ``value``; null if none is.
+    or that term's ``value`` as text; null if none is.
 
     Terms are matched as substrings, so the first listed wins over a longer
-    one, an empty term is in every text, and a null term or text in none. A dictionary of at most ``max_terms`` becomes a constant in a
-    projection. A larger one is joined: the texts' substrings of up to
-    PREFIX characters meet the terms' prefixes, and only texts that then
-    contain the term stay.
+    one, an empty term is in every text, and a null term or text in none. A
+    null ``order`` comes first; of terms with the same order the one with the
+    least value does, null before all. The first term found decides, also when
+    its value is null.
+
+    A dictionary of at most ``max_terms`` becomes a constant in a projection.
+    Of a larger one the first terms do, and texts without any of them are
+    looked up in an index of the others: each term lies under the one of its
+    grams that the fewest terms share, and only texts that hold that gram are
+    searched for the term. Both ways give the same.
     """
     value = value or term
     terms = dictionary.filter(F.col(term).isNotNull()).select(
-        F.col(term).alias("_term"), F.col(order).alias("_rank"), F.col(value).alias("_value")
+        F.col(term).alias("_term"), F.col(order).alias("_rank"), F.col(value).cast("string").alias("_value")
     )
-    held = terms.limit(max_terms + 1).collect()
-    if len(held) > max_terms:
-        return _first_contained_join(df, text, terms, out)
-    held.sort(key=lambda r: r["_rank"])
-    return df.withColumn(out, _first_of(text, [(r["_term"], r["_value"]) for r in held]))
-
-
-def _first_contained_join(df: DataFrame, text: Column, terms: DataFrame, out: str) -> DataFrame:
+    ordered = terms.orderBy(F.col("_rank").asc_nulls_first(), F.col("_value").asc_nulls_first(), "_term")
+    held = [(r["_term"], r["_value"]) for r in ordered.limit(max(max_terms, HEAD) + 1).collect()]
+    if len(held) <= max_terms:
+        return df.withColumn(out, _first_of(text, held)["v"])
+    return _first_contained_index(df, text, terms, held[:HEAD], out)
+
+
+def term_index(terms: DataFrame) -> DataFrame:
+    """(_gram, _size, _term, _rank, _value): every non-empty term under the one
+    of its grams that is in the fewest terms."""
+    length = F.length("_term")
+    size = F.when(length >= GRAMS[0], GRAMS[0]).when(length >= GRAMS[1], GRAMS[1]).otherwise(length)
+    sized = terms.where(length > 0).select("*", size.alias("_size"))
+    places = F.sequence(F.lit(1), F.length("_term") - F.col("_size") + 1)
+    distinct = sized.select("_term", "_size").distinct()
+    grams = distinct.select("_term", F.explode(F.array_distinct(F.transform(places, lambda i: F.substr("_term", i, F.col("_size"))))).alias("_gram"))
+    shared = grams.groupBy("_gram").agg(F.count("*").alias("_n"))
+    rarest = grams.join(shared, "_gram").groupBy("_term").agg(F.min(F.struct("_n", "_gram"))["_gram"].alias("_gram"))
+    return sized.join(rarest, "_term")
+
+
+def _first_contained_index(df: DataFrame, text: Column, terms: DataFrame, head: list[tuple[str, str]], out: str) -> DataFrame:
+    """As :func:`first_contained`, where ``head`` are the first of the terms.
+    They stay in the index, as other terms may tie with the last of them."""
     # An empty term is in every text: of these the first is a bound for all.
     empty = terms.filter(F.length("_term") == 0).agg(F.min(F.struct("_rank", "_value")).alias("_all"))
-    terms = terms.filter(F.length("_term") > 0)
-    keyed = df.withColumn("_text", text).withColumn("_id", F.sha2("_text", 256))
-    texts = keyed.filter(F.col("_text").isNotNull()).groupBy("_id").agg(F.any_value("_text").alias("_text"))
-    indexed = terms.withColumn("_gram", F.substring("_term", 1, PREFIX))
-    # at most PREFIX different lengths
-    sizes = sorted(r[0] for r in indexed.select(F.length("_gram")).distinct().collect())
-    grams = F.flatten(F.array(*[F.regexp_extract_all("_text", F.lit(f"(?s)(?=(.{{{n}}}))"), 1) for n in sizes]))
-    found = texts.select("_id", F.explode(F.array_distinct(grams)).alias("_gram"))
-    candidates = found.join(indexed, "_gram").select("_id", "_term", "_rank", "_value")
-    hits = candidates.join(texts, "_id").filter(F.contains("_text", F.col("_term")))
-    best = hits.groupBy("_id").agg(F.min(F.struct("_rank", "_value")).alias("_hit"))
-    # least() skips nulls
-    first = F.when(F.col("_text").isNotNull(), F.least("_hit", empty.scalar()))
-    return keyed.join(best, "_id", "left").withColumn(out, first["_value"]).drop("_id", "_text", "_hit")
+    index = written(term_index(terms), "term-index")
+    sizes = {r["_size"]: r["n"] for r in index.groupBy("_size").agg(F.count_distinct("_gram").alias("n")).collect()}  # a few lengths
+    few = sum(sizes.values()) <= MOST_GRAMS
+    keyed = df.withColumn("_text", text).withColumn("_head", _first_of(F.col("_text"), head)).withColumn("_id", F.sha2("_text", 256))
+    open_texts = keyed.where(F.col("_text").isNotNull() & F.col("_head").isNull())
+    of_text = [_grams_of(F.col("_text"), n, index if few else None) for n in sorted(sizes)]
+    grams = F.explode(F.flatten(F.array(*of_text))).alias("_gram")
+    if few:
+        # few grams are left of a text, so it goes along with them
+        candidates = open_texts.select("_id", "_text", grams).join(index.drop("_size"), "_gram")
+    else:
+        found = open_texts.select("_id", grams).join(index.drop("_size"), "_gram")
+        texts = open_texts.groupBy("_id").agg(F.any_value("_text").alias("_text"))
+        candidates = found.join(texts, "_id")
+    best = candidates.filter(F.contains("_text", F.col("_term"))).groupBy("_id").agg(F.min(F.struct("_rank", "_value")).alias("_hit"))
+    joined = keyed.join(best, "_id", "left")
+    # least() skips nulls; a text without a head term may hold an empty one
+    tail = F.when(F.col("_text").isNotNull(), F.least("_hit", empty.scalar()))
+    first = F.when(F.col("_head").isNotNull(), F.col("_head")["v"]).otherwise(tail["_value"])
+    return joined.withColumn(out, first).drop("_id", "_text", "_hit", "_head")
+
+
+def _grams_of(text: Column, size: int, index: DataFrame | None) -> Column:
+    """Distinct grams of one length; with an index only those it holds."""
+    grams = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), 1)
+    if index is None:
+        return F.array_distinct(grams)
+    listed = [r[0] for r in index.where(F.col("_size") == size).select("_gram").distinct().collect()]  # at most MOST_GRAMS
+    return F.array_intersect(grams, F.from_json(F.lit(json.dumps(listed)), "array<string>"))
 
 
 def county_dictionary(geo: DataFrame, city: str, county: str, order: str) -> DataFrame:

@@ -100,3 +100,49 @@ def test_repeated_rows_are_guarded(frame):
     years.guard_repeats(metrics, 12)
     with pytest.raises(ValueError, match=r"A \(12\)"):
         years.guard_repeats(metrics, 11)
+
+
+# (term, rank, value): ties in rank, null ranks and values, empty and null terms, all lengths
+TERMS = [
+    ("zz", 3, "zz"), ("aa", 3, "aa"), ("needle in", 5, "n"), ("needle", 6, "m"), ("x", 9, None), ("hay", 7, "h"), ("haystack", 7, "s"),
+    ("null rank", None, "r"), (None, 0, "none"), ("日本", 4, "jp"), ("q\"\\", 8, "quote"), ("tie", 2, None), ("tie too", 2, "t"),
+]
+PLACES = [
+    "zz aa", "aa", "needle in hay", "a needle", "x", "haystack", "a null rank here", None, "", "日本語", 'say q"\\', "tie too", "only tie", "nothing", "zz aa",
+]
+
+
+def first_brute(text, terms):
+    hits = [(r is not None, r or 0, v is not None, v or "") for t, r, v in terms if t is not None and text is not None and t in text]
+    return min(hits)[3] if hits and min(hits)[2] else None
+
+
+@pytest.mark.parametrize("extra", [[], [("", 6, "all")]])
+def test_first_listed_term_by_every_route(frame, monkeypatch, extra):
+    from pyspark.sql import functions as F
+
+    from plumbline.operators import locate
+
+    terms = TERMS + extra
+    df, listed = frame([(p, 1) for p in PLACES], "p string, n int"), frame(terms, "t string, r int, v string")
+    want = Counter((p, 1, first_brute(p, terms)) for p in PLACES)
+
+    def got(**kw):
+        return bag(locate.first_contained(df, F.col("p"), listed, "t", "r", "out", value="v", **kw), "p", "n", "out")
+
+    assert got() == want
+    assert got(max_terms=0) == want and got(max_terms=2) == want
+    monkeypatch.setattr(locate, "MOST_GRAMS", 0)
+    assert got(max_terms=0) == want
+    monkeypatch.setattr(locate, "HEAD", 1)
+    assert got(max_terms=3) == want
+    monkeypatch.setattr(locate, "MOST_GRAMS", 20_000)
+    assert got(max_terms=0) == want
+
+
+def test_each_term_lies_under_its_rarest_gram(frame):
+    from plumbline.operators import locate
+
+    listed = frame([("abcdefg", 1, ""), ("bcdefgh", 2, ""), ("abc", 3, ""), ("xy", 4, "")], "_term string, _rank int, _value string")
+    got = {r["_term"]: r["_gram"] for r in locate.term_index(listed).collect()}
+    assert got == {"abcdefg": "abcdef", "bcdefgh": "cdefgh", "abc": "abc", "xy": "xy"}
