@@ -22,10 +22,10 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
-from plumbline.llm.common import per_text
+from plumbline.llm.common import per_text, stretches
 
 # Entries that one Python worker keeps; a full memo is emptied.
-MEMO = 250_000
+MEMO = 150_000
 
 
 class Encoder:
@@ -40,9 +40,11 @@ class Encoder:
         self.automaton = ahocorasick.Automaton()
         for rank, token in self.tokens.items():
             if len(token) == 1 or rank in self.parts:
-                self.automaton.add_word(token.decode("latin-1"), rank)
+                self.automaton.add_word(token.decode("latin-1"), (len(token) - 1, rank))
         self.automaton.make_automaton()
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.key = max(self.tokens) + 1
+        self.lengths = [len(self.tokens.get(rank, b"")) for rank in range(self.key)]
+        self.pairs: dict[int, bool] = {}
         self.shorter_of: dict[int, int | None] = {}
         self.pieces: dict[str, tuple[int, ...]] = {}
 
@@ -64,7 +66,7 @@ class Encoder:
         whether the two tokens now at the border would have been merged
         before the merge just undone.
         """
-        key = (left, right)
+        key = left * self.key + right
         known = self.pairs.get(key)
         if known is not None:
             return known
@@ -103,34 +105,35 @@ class Encoder:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        size = [len(piece)]
-        longest = [0] * len(piece)
-        at: list[int | None] = [None] * len(piece)
-        for end, rank in self.automaton.iter(piece.decode("latin-1")):
-            n = len(self.tokens[rank])
-            start = end - n + 1
-            if n > longest[start]:
-                longest[start], at[start] = n, rank
-        open_place = [True] * (len(piece) + 1)
+        size, lengths, pairs, key_of = len(piece), self.lengths, self.pairs, self.key
+        # Matches come by their end, so the last with a start is the longest.
+        at = [0] * size
+        for end, (more, rank) in self.automaton.iter(piece.decode("latin-1")):
+            at[end - more] = rank
+        open_place = [True] * (size + 1)
         out: list[int] = []
         place, rank = 0, at[0]
-        while place < size[0]:
-            while True:
-                end = place + len(self.tokens[rank])
-                if open_place[end] and (not out or self.compatible(out[-1], rank)):
+        while True:
+            end = place + lengths[rank]
+            if open_place[end]:
+                if out:
+                    fits = pairs.get(out[-1] * key_of + rank)
+                    if fits is None:
+                        fits = self.compatible(out[-1], rank)
+                if not out or fits:
                     out.append(rank)
-                    place = end
-                    rank = at[place] if place < size[0] else None
-                    break
-                less = self.shorter(rank)
-                if less is not None:
-                    rank = less
+                    if end == size:
+                        return out
+                    place, rank = end, at[end]
                     continue
+            less = self.shorter(rank)
+            while less is None:
                 # Nothing fits here: close the place and shorten the token before.
                 open_place[place] = False
                 rank = out.pop()
-                place -= len(self.tokens[rank])
-        return out
+                place -= lengths[rank]
+                less = self.shorter(rank)
+            rank = less
 
     def encode(self, text: str) -> list[int]:
         ids: list[int] = []
@@ -165,20 +168,41 @@ def merged(token: bytes, ranks: dict[bytes, int], below: int) -> list[bytes]:
     return parts
 
 
-class Words(dict):
-    """Ids of a stretch of text between single blanks, by the stretch. The
-    pattern never matches across such a blank, so each is encoded alone."""
+class Words:
+    """What is kept of a stretch of text between single blanks: its ids, and of
+    them their number, their decimal list and the bytes they decode to. The
+    pattern never matches across such a blank, so each is encoded alone.
+
+    Two generations of up to MEMO stretches: one met again moves on.
+    """
 
     def __init__(self, encoder: Encoder):
         self.encoder = encoder
-
-    def __missing__(self, stretch: str) -> tuple[int, ...]:
-        ids = tuple(self.encoder.encode(stretch))
-        if len(stretch) <= 64:
-            if len(self) >= MEMO:
-                self.clear()
-            self[stretch] = ids
-        return ids
+        self.known: dict[str, tuple[int, str, bytes]] = {}
+        self.older: dict[str, tuple[int, str, bytes]] = {}
+
+    def spelled(self, text: str) -> list[tuple[int, str, bytes]]:
+        """(number, decimal list, bytes) of each stretch of a text that has ids."""
+        first, *rest = stretches(text)
+        wanted = [first, *(" " + s for s in rest)]
+        known = self.known
+        try:
+            return [known[s] for s in wanted]
+        except KeyError:
+            return [self._one(s) for s in wanted]
+
+    def _one(self, stretch: str) -> tuple[int, str, bytes]:
+        got = self.known.get(stretch)
+        if got is None:
+            got = self.older.get(stretch)
+            if got is None:
+                ids = self.encoder.encode(stretch)
+                got = (len(ids), ",".join(map(str, ids)), self.encoder.decode(ids))
+            if len(stretch) <= 64:
+                if len(self.known) >= MEMO:
+                    self.older, self.known = self.known, {}
+                self.known[stretch] = got
+        return got
 
 
 @lru_cache(maxsize=2)
@@ -189,36 +213,27 @@ def encoder(path: str, pattern: str) -> tuple[Encoder, Words]:
 
 
 def text_ids(text: str, own: Encoder, words: Words) -> list[int]:
-    if "  " in text or text[:1] == " " or text[-1:] == " ":
-        return own.encode(text)
-    first, *rest = text.split(" ")
-    # A blank beside other white space belongs to the white space.
-    if not all(s and not s[0].isspace() and not s[-1].isspace() for s in rest) or first[-1:].isspace():
-        return own.encode(text)
-    ids: list[int] = list(words[first])
-    for stretch in rest:
-        ids += words[" " + stretch]
-    return ids
+    return [int(i) for _, listed, _ in words.spelled(text) if listed for i in listed.split(",")]
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) per row of docs (doc_id, text).
 
     Null texts count as empty: no ids, the digests of nothing. Texts are read
-    whole; a batch of Arrow rows at a time is in memory. The ids are decoded
-    again through the token table and the bytes digested.
+    whole; a batch of Arrow rows at a time is in memory. The ids of every
+    stretch are decoded again through the token table; the bytes of a text are
+    those of its stretches in a row, and are digested.
     """
     def start():
         own, words = encoder(path, pattern)
-        spelled = [str(i) for i in range(max(own.tokens) + 1)]
 
         def values(texts: list[str]) -> list:
             sizes, listed, data = [], [], []
             for text in texts:
-                ids = text_ids(text, own, words)
-                sizes.append(len(ids))
-                listed.append(hashlib.sha256(",".join(map(spelled.__getitem__, ids)).encode()).hexdigest())
-                data.append(hashlib.sha256(own.decode(ids)).hexdigest())
+                parts = [p for p in words.spelled(text) if p[0]]
+                sizes.append(sum([n for n, _, _ in parts]))
+                listed.append(hashlib.sha256(",".join([s for _, s, _ in parts]).encode()).hexdigest())
+                data.append(hashlib.sha256(b"".join([b for _, _, b in parts])).hexdigest())
             return [sizes, listed, data]
 
         return values

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -28,6 +29,26 @@ def whole_text(text: str | Column = "text") -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+# White space beside a blank or at an end.
+_NO_CUT = re.compile(r"\s | \s|\A\s|\s\Z")
+
+
+def stretches(text: str) -> list[str]:
+    """The text cut in front of every blank between two characters that are not
+    white space; all but the first stretch without that blank."""
+    parts = text.split(" ")
+    if not text or not _NO_CUT.search(text):
+        return parts
+    out, held = [], parts[0]
+    for part in parts[1:]:
+        if held and part and not held[-1].isspace() and not part[0].isspace():
+            out.append(held)
+            held = part
+        else:
+            held = f"{held} {part}"
+    return [*out, held]
+
+
 def power_of_two(least: float, low: int, high: int = 1 << 20) -> int:
     """Smallest power of two that is at least ``least``, within bounds."""
     n = low

@@ -21,7 +21,6 @@ tokenised once per task and kept.
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -35,13 +34,11 @@ from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from plumbline.llm.common import saved
+from plumbline.llm.common import saved, stretches
 
 RANGE = 1 << 16  # bytes of a range
 FAN = 16  # fragments that are joined at a time
 MEMO = 150_000
-# White space beside a blank or at an end.
-NO_CUT = re.compile(r"\s | \s|\A\s|\s\Z")
 TEXTS = 200
 # Id pairs are one number: A's id times this, plus B's.
 PAIR = 1 << 24
@@ -85,21 +82,9 @@ class Aligner:
 
     def cuts(self, text: str) -> list[str]:
         """The text in stretches, each but the first without the blank before it."""
-        if not self.apart:
-            return [text]
-        parts = text.split(" ")
-        if not text or not NO_CUT.search(text):
-            return parts
-        out, held = [], parts[0]
-        for part in parts[1:]:
-            if held and part and not held[-1].isspace() and not part[0].isspace():
-                out.append(held)
-                held = part
-            else:
-                held = f"{held} {part}"
-        return [*out, held]
-
-    def learn(self, stretches: set[str]) -> None:
+        return stretches(text) if self.apart else [text]
+
+    def learn(self, wanted: set[str]) -> None:
         """Tokenise those not known yet, at one go. Long ones are kept until the
         next call, others at least until MEMO others were met."""
         for s in self.large:
@@ -107,7 +92,7 @@ class Aligner:
         if len(self.known) > MEMO:
             self.older, self.known = self.known, {}
         new = []
-        for s in stretches:
+        for s in wanted:
             if s not in self.known:
                 if s in self.older:
                     self.known[s] = self.older[s]
@@ -134,10 +119,10 @@ class Aligner:
         raw, cuts = packed.tobytes(), (4 * until).tolist()
         return [raw[i:j] if ok else None for ok, i, j in zip(fits, cuts, cuts[1:])]
 
-    def tokens(self, stretches: list[str]) -> tuple[Tokens, Tokens] | None:
+    def tokens(self, cut: list[str]) -> tuple[Tokens, Tokens] | None:
         """Ids and ends of A and B for known stretches in a row; nothing if
         one of the tokenizers does not give their bytes."""
-        found = [self.known[s] for s in stretches]
+        found = [self.known[s] for s in cut]
         if None in found:
             return None
         both = zip((b"".join([f[i] for f in found]) for i in (0, 1)), (self.size_a, self.size_b))
@@ -209,9 +194,9 @@ def fragment(aligner: Aligner, text: str, base: int, start: int, stop: int) -> t
     """Fragment and linked pairs of the bytes start to stop of a document, from
     the stretches ``text`` that cover them. ``base`` is where the blank before
     ``text`` stands. A token belongs to the range that holds its last byte."""
-    stretches = aligner.cuts(text)
-    aligner.learn(set(stretches))
-    both = aligner.tokens(stretches)
+    cut = aligner.cuts(text)
+    aligner.learn(set(cut))
+    both = aligner.tokens(cut)
     if both is None:
         return {**NOTHING, "fits": False}, np.zeros(0, dtype=np.int64)
     (a, ends_a), (b, ends_b) = (_within(t, start - base, stop - base) for t in both)
@@ -236,8 +221,8 @@ def ranges(text: str, size: int, aligner: Aligner) -> Iterator[tuple[str, int, i
     """(stretches, base, start, stop) of the byte ranges of blank + text. A
     border inside a stretch longer than a quarter of the range is left out, so
     that no long stretch is tokenised time and again."""
-    stretches = aligner.cuts(text)
-    ends = np.cumsum([len(s.encode()) + 1 for s in stretches])
+    cut = aligner.cuts(text)
+    ends = np.cumsum([len(s.encode()) + 1 for s in cut])
     starts = np.concatenate([[0], ends[:-1]])
     total, start = int(ends[-1]), 0
     while start < total:
@@ -246,7 +231,7 @@ def ranges(text: str, size: int, aligner: Aligner) -> Iterator[tuple[str, int, i
         if ends[last] - starts[last] > size // 4:
             stop = int(ends[last])
         first = int(np.searchsorted(ends, start, side="right"))
-        yield " ".join(stretches[first : last + 1]), int(starts[first]), start, stop
+        yield " ".join(cut[first : last + 1]), int(starts[first]), start, stop
         start = stop
 
 
@@ -277,12 +262,12 @@ def _parts(docs: DataFrame, path_a: str, path_b: str, size: int) -> DataFrame:
                 rows = []
                 texts = ["" if t is None else t for t in batch["text"].to_pylist()]
                 short = [aligner.cuts(t) if t and len(t.encode()) < size else None for t in texts]
-                aligner.learn({s for stretches in short if stretches for s in stretches})
-                for doc_id, text, stretches in zip(batch["doc_id"].to_pylist(), texts, short):
+                aligner.learn({s for cut in short if cut for s in cut})
+                for doc_id, text, whole_cut in zip(batch["doc_id"].to_pylist(), texts, short):
                     number += 1
                     row = {"doc": number, "doc_id": doc_id, "seq": 0, "parts": 1, **NOTHING, "pairs": [], "times": []}
-                    if stretches:
-                        row |= _aligned_text(aligner, stretches)
+                    if whole_cut:
+                        row |= _aligned_text(aligner, whole_cut)
                     elif text:
                         several = list(ranges(text, size, aligner))
                         for seq, (cut, base, start, stop) in enumerate(several):
@@ -295,9 +280,9 @@ def _parts(docs: DataFrame, path_a: str, path_b: str, size: int) -> DataFrame:
     return named.mapInArrow(run, PART_DDL)
 
 
-def _aligned_text(aligner: Aligner, stretches: list[str]) -> dict:
+def _aligned_text(aligner: Aligner, cut: list[str]) -> dict:
     """Row of a document that is one range: its end is a common end."""
-    both = aligner.tokens(stretches)
+    both = aligner.tokens(cut)
     if both is None:
         return {"fits": False}
     (a, _), (b, _) = both

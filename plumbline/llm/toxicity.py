@@ -17,8 +17,10 @@ the same value as going through the landmarks.
 
 from __future__ import annotations
 
+import heapq
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -91,7 +93,7 @@ def _features(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (a * LETTERS + b) * LETTERS + c, weight / size
 
 
-def _by_length(words: list[str], limit: int = 4096) -> Iterator[list[int]]:
+def _by_length(words: list[str], limit: int = 1024) -> Iterator[list[int]]:
     """Positions of words in groups of one length."""
     groups: dict[int, list[int]] = {}
     for at, word in enumerate(words):
@@ -192,15 +194,23 @@ def _landmark_table(landmarks: list[str]) -> dict:
 
 
 def _svm(z: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = 1.0) -> tuple[np.ndarray, float]:
-    """Linear machine of squared hinge loss, by Newton steps on the primal."""
-    z = np.hstack([z, np.ones((len(z), 1), dtype=z.dtype)]).astype(np.float64)
-    w = np.zeros(z.shape[1])
-    keep = np.full(z.shape[1], ridge)
+    """Linear machine of squared hinge loss, by Newton steps on the primal. Rows
+    become doubles a block at a time."""
+    size = z.shape[1] + 1
+    w = np.zeros(size)
+    keep = np.full(size, ridge)
     keep[-1] = 1e-6
     for _ in range(30):
-        inside = y * (z @ w) < 1
-        part = z[inside] * cost[inside, None]
-        new = np.linalg.solve(part.T @ z[inside] + np.diag(keep), part.T @ y[inside])
+        square, right = np.diag(keep), np.zeros(size)
+        for at in range(0, len(z), 2048):
+            block, target = np.ones((len(z[at : at + 2048]), size)), y[at : at + 2048]
+            block[:, :-1] = z[at : at + 2048]
+            inside = target * (block @ w) < 1
+            block, target = block[inside], target[inside]
+            part = block * cost[at : at + 2048][inside, None]
+            square += part.T @ block
+            right += part.T @ target
+        new = np.linalg.solve(square, right)
         if np.abs(new - w).max() < 1e-6:
             break
         w = new
@@ -257,6 +267,7 @@ def fit(bags: list[tuple[int, list[list[str]]]]) -> Machine:
     y = np.array([label for label, _ in bags])
     if not len(y) or y.min() == y.max():
         return NOTHING
+    # Words longer than a window are scored by their windows, but not learned from.
     bags = [(label, [[w for w in s if len(w) <= WINDOW] for s in sentences]) for label, sentences in bags]
     held = np.arange(len(bags)) % 4 == 3  # for the probability only
     if not 0 < y[held].sum() < held.sum() or len(bags) < 40:
@@ -271,11 +282,14 @@ def fit(bags: list[tuple[int, list[list[str]]]]) -> Machine:
         return NOTHING
 
     # Letter runs are shared by words of one stem, so they tell more from few documents.
-    runs_of = {w: runs(w) for w in {*seen[0], *seen[1]}}
+    # Of clean documents only the runs that toxic ones have are counted.
     run_seen = [{}, {}]
-    for label, sentences in train:
-        for run in set().union(*(runs_of[w] for s in sentences for w in s)):
-            run_seen[label][run] = run_seen[label].get(run, 0) + 1
+    for label in (1, 0):
+        for one, sentences in train:
+            if one == label:
+                for run in set().union(*(runs(w) for w in {w for s in sentences for w in s})):
+                    if label or run in run_seen[1]:
+                        run_seen[label][run] = run_seen[label].get(run, 0) + 1
 
     def lean(counts: list[dict], key: str) -> float:
         up, down = counts[1].get(key, 0), counts[0].get(key, 0)
@@ -284,7 +298,7 @@ def fit(bags: list[tuple[int, list[list[str]]]]) -> Machine:
     run_lean = {r: lean(run_seen, r) for r in run_seen[1]}
 
     def skew(word: str) -> float:
-        return lean(seen, word) + max((run_lean.get(r, -9.0) for r in runs_of[word]), default=-9.0)
+        return lean(seen, word) + max((run_lean.get(r, -9.0) for r in runs(word)), default=-9.0)
 
     clean = sorted(seen[0], key=lambda w: (-seen[0][w], w))
     striking = sorted((w for w in seen[1] if seen[1][w] >= 2 or n[1] < 8), key=lambda w: (-skew(w), w))[: LANDMARKS * 5 // 8]
@@ -309,13 +323,15 @@ def fit(bags: list[tuple[int, list[list[str]]]]) -> Machine:
         return mapped[[known[w] for w in words]]
 
     toxic = [sentences for label, sentences in train if label]
-    value_of = {w: skew(w) for s in toxic for sentence in s for w in sentence}
-    vocabulary = list(dict.fromkeys([*seen[0], *seen[1]]))
+    vocabulary = list(dict.fromkeys([*seen[1], *seen[0]]))
+    at_of = {w: i for i, w in enumerate(vocabulary)}
+    value_of = array("d", (skew(w) for w in seen[1]))  # of toxic words, which come first
+    known_clean = np.fromiter((w in seen[0] for w in vocabulary), dtype=bool, count=len(vocabulary))
     for _ in range(ROUNDS):
         # Witnesses: the worst sentence of each toxic document, its worst word.
         witnesses: dict[str, float] = {}
         for sentences in toxic:
-            worst = max((w for s in sentences for w in s), key=lambda w: (value_of.get(w, -99), w), default=None)
+            worst = max((w for s in sentences for w in s), key=lambda w: (value_of[at_of[w]], w), default=None)
             if worst is not None:
                 witnesses[worst] = witnesses.get(worst, 0) + 1
         for w in striking:  # words as striking as a witness
@@ -336,14 +352,11 @@ def fit(bags: list[tuple[int, list[list[str]]]]) -> Machine:
         weights[spec["ids"]] = spec["table"] @ per_landmark
         weights[0] = 0
         machine = (weights, bias)
-        scored = dict(zip(vocabulary, score_words(vocabulary, *machine).tolist()))
-        hard = sorted(seen[0], key=lambda x: (-scored[x], x))[: NEGATIVES // 10]
-        negatives |= set(hard)
-        value_of = {x: v - (4.0 if x in seen[0] else 0.0) for x, v in scored.items()}
+        scored = score_words(vocabulary, *machine).astype(np.float64)
+        negatives |= set(heapq.nsmallest(NEGATIVES // 10, seen[0], key=lambda x: (-scored[at_of[x]], x)))
+        value_of = array("d", (scored - 4.0 * known_clean).tobytes())
     scale = [b for b, h in zip(bags, held) if h] if held.any() else bags
-    words = list({w for _, sentences in scale for s in sentences for w in s})
-    scored = dict(zip(words, score_words(words, *machine).tolist()))
-    worst = np.array([max((scored[w] for s in sentences for w in s), default=machine[1]) for _, sentences in scale])
+    worst = np.array([max(score_words(words, *machine).tolist(), default=machine[1]) for words in (sorted({w for s in of for w in s}) for _, of in scale)])
     slope, offset = _platt(worst, np.array([label for label, _ in scale]))
     return Machine(*machine, slope, offset)
 
@@ -377,10 +390,14 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
                 "sentences": [[" ".join(sorted(words_of(s))) for s in sentences_of(t)] for t in batch["text"]],
             })
 
-    rows = sample.mapInPandas(split, "doc_id bigint, toxic int, sentences array<string>").toPandas().sort_values("doc_id", kind="stable")
-    # Spread both classes over the held part, whatever the order of ids.
-    rows = rows.sort_values(["toxic", "doc_id"], kind="stable")
-    return fit([(int(t), [s.split(" ") for s in sentences]) for t, sentences in zip(rows["toxic"], rows["sentences"])])
+    rows = sample.mapInPandas(split, "doc_id bigint, toxic int, sentences array<string>")
+    # Sorted, which spreads both classes over the held part. One object per distinct word.
+    known: dict[str, str] = {}
+    bags = sorted(
+        ((r["toxic"], r["doc_id"], [[known.setdefault(w, w) for w in s.split(" ")] for s in r["sentences"]]) for r in rows.toLocalIterator()),
+        key=lambda b: b[:2],
+    )
+    return fit([(toxic, sentences) for toxic, _, sentences in bags])
 
 
 def scores(docs: DataFrame, machine: Machine, name: str = "toxic_score") -> DataFrame:
