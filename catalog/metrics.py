@@ -131,6 +131,7 @@ def _(spark, sf):
     return _each(lambda y: county.call_centers(rows, r, y))
 
 
+# County spellings of the tower source, as in plans/fixed.py.
 TOWERS = {"Dade County": "Miami-Dade County", "Saint Lucie County": "St. Lucie County", "De Soto County": "Desoto County"}
 TOWER_COUNT = "CAST(count(tower) AS BIGINT) AS radio_towers"
 
