@@ -10,6 +10,7 @@ what it is does not.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,8 +35,9 @@ def with_ordinal(df: DataFrame, order: list[str] | None = None, *, total: str |
     that name with the number of all rows.
 
     Without ``order``, ``df`` must come straight from files and is numbered in
-    path and line order: rows are counted per file block, so blocks stay
-    apart in tasks of their own. With ``order``, the rows are range
+    path and line order. Rows of Parquet files know their place in the file,
+    so only the row counts in the footers are read. Of other files rows are
+    counted per file block, so blocks stay apart in tasks of their own. With ``order``, the rows are range
     partitioned by the whole key, so that even a leading value most rows share
     is split, and written to the scratch folder with their place; the written
     table fixes the ranges, which another run of the same plan might cut
@@ -44,6 +46,9 @@ def with_ordinal(df: DataFrame, order: list[str] | None = None, *, total: str |
     shuffled to look its block up.
     """
     if order is None:
+        indexed = _row_indexed(df)
+        if indexed is not None:
+            return _numbered(*indexed, df.columns, total)
         path, start = F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start")
         rows = df.select("*", F.struct(path, start).alias("_block"), F.monotonically_increasing_id().alias("_row"))
     else:
@@ -54,19 +59,47 @@ def with_ordinal(df: DataFrame, order: list[str] | None = None, *, total: str |
         rows = df.sparkSession.read.schema(placed.schema).parquet(path)
     # a block is read by one task in its order, so its numbers are consecutive
     sizes = rows.groupBy("_block").agg(F.count("*").alias("_n"), F.min("_row").alias("_row0"))
+    return _numbered(rows, sizes, df.columns, total)
+
+
+def _row_indexed(df: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """Rows of whole Parquet files with their place in the file, and the sizes
+    of the files; None for other formats and for rows that were filtered.
+
+    The sizes need no column, so the scan takes row counts from the footers
+    and decodes nothing. A file whose count falls short of its last index has
+    lost rows to a filter, and its indexes are no ordinals.
+    """
+    at = F.col("_metadata.row_index")
+    try:
+        rows = df.select("*", F.struct(F.col("_metadata.file_path").alias("path")).alias("_block"), at.alias("_row"))
+    except AnalysisException:
+        return None
+    sizes = rows.groupBy("_block").agg(F.count("*").alias("_n"), F.max("_row").alias("_last"))
+    sizes = _kept(sizes.withColumn("_row0", F.lit(0).cast("bigint")), "files")
+    if not sizes.where("_n <> _last + 1").isEmpty():
+        return None
+    return rows, sizes.drop("_last")
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _numbered(rows: DataFrame, sizes: DataFrame, columns: list[str], total: str | None) -> DataFrame:
+    """``rows`` numbered through from the sizes (``_n``) and first numbers (``_row0``) of their blocks."""
     earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    starts = sizes.select(
+    starts = _kept(sizes.select(
         "_block", "_row0", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"), F.sum("_n").over(everything).alias("_all")
-    )
-    kept = scratch_dir(df.sparkSession, "blocks")
-    starts.write.parquet(kept)
-    starts = df.sparkSession.read.schema(starts.schema).parquet(kept)
+    ), "blocks")
     if starts.count() <= MOST_BLOCKS:
         starts = F.broadcast(starts)
     number = F.col("_start") + F.col("_row") - F.col("_row0")
     out = [F.col("_all").cast("bigint").alias(total)] if total else []
-    return rows.join(starts, "_block").select(*df.columns, number.cast("bigint").alias(ORDINAL), *out)
+    return rows.join(starts, "_block").select(*columns, number.cast("bigint").alias(ORDINAL), *out)
 
 
 def _nearest(df: DataFrame, order: list[str], n: int, last: bool = False) -> DataFrame:

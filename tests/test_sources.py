@@ -56,6 +56,26 @@ def test_file_order_over_many_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+def test_parquet_rows_are_numbered_by_their_place_in_the_file(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(0, 20_000, 1, 4).selectExpr("id", "CAST(rand(1) AS STRING) AS x").write.option("parquet.block.size", 2048).parquet(path)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+    try:
+        df = spark.read.parquet(path)
+        assert df.rdd.getNumPartitions() > 5
+        numbered = ordinals.with_ordinal(df, total="n")
+        assert numbered.columns == ["id", "x", "_ord", "n"]
+        assert numbered.where("id != _ord OR n != 20000").isEmpty() and numbered.count() == 20_000
+        assert ordinals._row_indexed(df) is not None
+        # What a filter left is numbered through, as in other formats.
+        some = df.where("id % 3 = 1")
+        assert ordinals._row_indexed(some) is None
+        assert ordinals.with_ordinal(some).where("_ord != id div 3").isEmpty()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_row_numbers_by_key_with_a_hot_leading_value(spark):
     rng = random.Random(3)
     keys = [(None if i % 50 == 0 else ("hot" if i % 2 else f"k{rng.randrange(9)}"), i) for i in range(3000)]
