@@ -216,8 +216,9 @@ def text_ids(text: str, own: Encoder, words: Words) -> list[int]:
     return [int(i) for _, listed, _ in words.spelled(text) if listed for i in listed.split(",")]
 
 
-def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) per row of docs (doc_id, text).
+def encode_documents(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) per row of docs (doc_id,
+    text); the columns ``keep`` come along after doc_id.
 
     Null texts count as empty: no ids, the digests of nothing. Texts are read
     whole; a batch of Arrow rows at a time is in memory. The ids of every
@@ -238,7 +239,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
         return values
 
-    return per_text(docs, ["doc_id"], {"n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"}, start)
+    return per_text(docs, ["doc_id", *keep], {"n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"}, start)
 
 
 def token_ids(docs: DataFrame, path: str, pattern: str) -> DataFrame:

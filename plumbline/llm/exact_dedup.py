@@ -168,9 +168,16 @@ class Store:
         known = self.known().select("digest", F.col("keep_id").alias("known_id"))
         pairs = saved(positive.join(known, "digest"), "dedup-positive")
         wanted = pairs.select("digest", F.col("keep_id").alias("doc_id")).unionByName(pairs.select("digest", F.col("known_id").alias("doc_id")))
-        found = texts.join(wanted.distinct().hint("shuffle_hash"), ["digest", "doc_id"], "left_semi")
-        # One text per side and digest; equal bytes leave one distinct value.
-        return found.groupBy("digest").agg(F.min("norm").alias("low"), F.max("norm").alias("high")).where("low = high").select("digest")
+        wanted = wanted.select(F.col("digest").alias("wanted"), F.col("doc_id").alias("wanted_id")).distinct()
+        same = (F.col("digest") == F.col("wanted")) & F.col("doc_id").eqNullSafe(F.col("wanted_id"))
+        found = texts.join(wanted.hint("shuffle_hash"), same, "left_semi")
+        # One text per side and digest, of two ids (a null one included);
+        # equal bytes leave one distinct value.
+        ids = F.struct("doc_id")
+        sides = found.groupBy("digest").agg(
+            F.min("norm").alias("low"), F.max("norm").alias("high"), (F.min(ids) != F.max(ids)).alias("both")
+        )
+        return sides.where("low = high AND both").select("digest")
 
 
 def _filter_of(group: pd.DataFrame) -> pd.DataFrame:
@@ -198,7 +205,8 @@ def classes(docs: DataFrame, batches: int = 3) -> DataFrame:
     kept, text_sha256.
 
     Rows are taken in as ``batches`` runs of ascending doc_id, so the first
-    keeper of a text has its smallest id; null ids come with the smallest.
+    keeper of a text has its smallest id; null ids come last, and keep a text
+    only when no other row has it.
     Null and empty texts are equal to each other. Of repeated rows (same id
     and text) one is kept. No rows give no rows. Texts move only for the byte
     check of digests met in two batches; everything else moves digests. A text
@@ -210,7 +218,7 @@ def classes(docs: DataFrame, batches: int = 3) -> DataFrame:
     low, high, n = rows.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
     low, high = low or 0, high or 0
     step = max(1, -(-(high - low + 1) // batches))
-    rows = rows.withColumn("batch", F.coalesce(F.expr(f"(doc_id - {low}L) div {step}L"), F.lit(0)))
+    rows = rows.withColumn("batch", F.coalesce(F.expr(f"(doc_id - {low}L) div {step}L"), F.lit(batches - 1)))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), normalised().alias("norm")).withColumn(
         "digest", F.unhex(F.sha2("norm", 256))
     )

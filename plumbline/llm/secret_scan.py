@@ -41,12 +41,15 @@ BASE = (
     Rule("hex", r"[0-9a-f]{24,}"),
 )
 MORE = (
-    Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("basic", r"(?:https?|ftp|postgres|postgresql|mysql|mongodb|redis|amqp)://[^\s:/@]{1,100}:[^\s:/@]{3,100}@"),
+    Rule("basic", r"(?:https?|ftp|postgres|postgresql|mysql|mongodb|redis|amqp)://[^\s:/@]+:[^\s:/@]{3,}@"),
 )
 RULES = BASE + MORE
 
+# Matches of one text are summed up in runs of this many, see ``spans``.
+RUN = 128
+
 FINDINGS = "sha binary, rules array<string>, spans array<struct<start:bigint,end:bigint,kind:string,rule:string>>"
 
 
@@ -54,7 +57,9 @@ def spans(text: str, rule: Rule) -> Column:
     """Spans of a rule in a text column, in code points, end exclusive.
 
     The text between matches comes from a split by the same pattern, so the
-    lengths of gaps and matches in turn give every position.
+    lengths of gaps and matches in turn give every position. A fold copies the
+    list that it extends, so it goes over runs of ``RUN`` matches, and the
+    starts of the runs come from a fold over their sums.
     """
     gaps = F.split(text, rule.pattern, -1)
     found = F.regexp_extract_all(F.col(text), F.lit(rule.pattern), F.lit(0))
@@ -68,24 +73,39 @@ def spans(text: str, rule: Rule) -> Column:
         ),
     )
     span = "struct<start:bigint,end:bigint,kind:string,rule:string>"
-    out = F.aggregate(
-        piece,
-        F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(f"array<{span}>").alias("spans")),
-        lambda a, p: F.struct(
-            (a["at"] + p["gap"] + p["size"]).alias("at"),
-            F.when(
-                p["counts"],
-                F.concat(a["spans"], F.array(F.struct(
-                    (a["at"] + p["gap"]).alias("start"),
-                    (a["at"] + p["gap"] + p["size"]).alias("end"),
-                    F.lit(rule.kind).alias("kind"),
-                    F.lit(rule.name).alias("rule"),
-                ))),
-            ).otherwise(a["spans"]).alias("spans"),
-        ),
-        lambda a: a["spans"],
-    )
-    return F.when(F.col(text).rlike(rule.pattern), out).otherwise(F.array().cast(f"array<{span}>"))
+    none = F.array().cast(f"array<{span}>")
+    zero = F.lit(0).cast("bigint")
+
+    def placed(start: Column, run: Column) -> Column:
+        return F.aggregate(
+            run,
+            F.struct(start.alias("at"), none.alias("spans")),
+            lambda a, p: F.struct(
+                (a["at"] + p["gap"] + p["size"]).alias("at"),
+                F.when(
+                    p["counts"],
+                    F.concat(a["spans"], F.array(F.struct(
+                        (a["at"] + p["gap"]).alias("start"),
+                        (a["at"] + p["gap"] + p["size"]).alias("end"),
+                        F.lit(rule.kind).alias("kind"),
+                        F.lit(rule.name).alias("rule"),
+                    ))),
+                ).otherwise(a["spans"]).alias("spans"),
+            ),
+            lambda a: a["spans"],
+        )
+
+    def in_runs(pieces: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(pieces) - 1) / RUN).cast("int")), lambda k: F.slice(pieces, k * RUN + 1, RUN))
+        sums = F.transform(runs, lambda r: F.aggregate(r, zero, lambda a, p: a + p["gap"] + p["size"]))
+        starts = F.aggregate(
+            sums, F.array(zero), lambda a, n: F.concat(a, F.array(F.element_at(a, -1) + n))
+        )
+        return F.flatten(F.zip_with(F.slice(starts, F.lit(1), F.size(runs)), runs, placed))
+
+    # A lambda's argument is worked out once, however often it is used.
+    out = F.element_at(F.transform(F.array(piece), in_runs), 1)
+    return F.when(F.col(text).rlike(rule.pattern), out).otherwise(none)
 
 
 def digest(text: str) -> Column:

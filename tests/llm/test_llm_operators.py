@@ -232,6 +232,43 @@ def test_ledger_scans_only_what_is_new(spark, docs, none):
     assert secret_scan.findings(none.select(none.doc_id.alias("path"), "text"), empty).collect() == []
 
 
+def test_more_rules_take_secrets_of_any_length(spark):
+    long = "p" * 150
+    key, jwt = "-----BEGIN " + "RSA " * 30 + "PRIVATE KEY-----", "eyJ" + ".eyJ".join(["k" * 300, "m" * 9]) + "." + "n" * 2000
+    rows = [(1, f"see https://{long}:{long}@host and ftp://u:ab@h"), (2, f"é {key} x"), (3, f"{jwt}, {jwt}"), (4, "eyJshort.eyJx.y")]
+    ledger = scratch_dir(spark, "t-ledger")
+    versions = spark.createDataFrame(rows, "path bigint, text string")
+    secret_scan.update_ledger(versions, ledger)
+    got = {r.path: [tuple(s) for s in r.spans] for r in secret_scan.findings(versions, ledger).collect()}
+    assert got[1] == [("basic", 4, 4 + len(f"https://{long}:{long}@"))]
+    assert got[2] == [("pem", 2, 2 + len(key))]
+    assert got[3] == [("jwt", 0, len(jwt)), ("jwt", len(jwt) + 2, 2 * len(jwt) + 2)]
+    assert got[4] == []
+
+
+@pytest.mark.parametrize("n", [1, 127, 128, 129, 256, 9_000])
+def test_many_secrets_in_one_text(spark, n):
+    text = "".join(f"é{i} token={'x' * (3 + i % 9)} " for i in range(n)) + "deadbeef" * 3
+    ledger = scratch_dir(spark, "t-ledger")
+    versions = spark.createDataFrame([(1, text)], "path bigint, text string")
+    secret_scan.update_ledger(versions, ledger)
+    assert [tuple(s) for s in secret_scan.findings(versions, ledger).first().spans] == base_spans(text)
+
+
+def test_query_of_secrets_against_brute_force(spark):
+    from plumbline.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    want = []
+    for r in read(spark, sf, "documents").collect():
+        spans = base_spans(r.text or "")
+        kinds = [k for k, _, _ in spans]
+        base = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+        want.append((r.doc_id, *(kinds.count(k) for k in ("assign", "access", "hex")), hashlib.sha256(base.encode()).hexdigest()))
+    got = QUERIES["op3_secret_scan"](spark, sf)
+    assert multiset(got, "doc_id", "n_assign", "n_access", "n_hex", "base_sha256") == sorted(want, key=str)
+
+
 # ---- op4 ----------------------------------------------------------------
 
 
@@ -449,6 +486,14 @@ def test_exact_classes(spark, docs, none, batches):
     assert exact_dedup.classes(none, batches).collect() == []
 
 
+def test_a_null_id_keeps_only_what_no_row_with_an_id_has(spark):
+    rows = [(None, "x y"), (1, "a"), (2, "b"), (100, "x  y"), (None, "a"), (None, "z"), (None, "z")]
+    got = exact_dedup.classes(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert multiset(got, "doc_id", "keep_id", "group_size", "kept") == sorted([
+        (None, 100, 2, False), (1, 1, 2, True), (2, 2, 1, True), (100, 100, 2, True), (None, 1, 2, False),
+        (None, None, 2, True), (None, None, 2, False)], key=str)
+
+
 def test_kept_rows(docs, none):
     out = exact_dedup.kept(docs)
     assert out.columns == docs.columns

@@ -74,6 +74,15 @@ def test_mix_keeps_all_in_its_order(stages):
     assert [files[k] for k in sorted(files)] == order
 
 
+def test_run_ends_in_the_order_of_the_mix(spark, stages):
+    mix = stages["mix"]
+    order = mixing.schedule(mix, mixing.tempered_shares(mix)).orderBy("mix_slot", "mix_row")
+    got = corpus_pipeline.run(spark, SF)
+    assert got.columns == stages["byte_bpe"].columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, stages["byte_bpe"].collect()), key=str)
+    assert [r.doc_id for r in got.orderBy("mix_slot", "mix_row").collect()] == [r.doc_id for r in order.collect()]
+
+
 def test_ids_are_the_library_s(stages):
     own, _ = byte_bpe.encoder(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
     library = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=own.ranks, special_tokens={})
