@@ -39,9 +39,17 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, as counts and digests."""
+    """Token ids of each document, as counts and digests, and its place in the
+    mix: ``mix_slot`` and ``mix_row``.
+
+    The place depends on doc_id and source alone, so it is that of the mix
+    stage. It is worked out for the encoded rows, which hold no text.
+    """
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return byte_bpe.encode_documents(docs, path, public_tokenizers.PATTERN)
+    shares = mixing.tempered_shares(docs)
+    encoded = saved(byte_bpe.encode_documents(docs, path, public_tokenizers.PATTERN, keep=("source",)), "pipeline-byte_bpe")
+    placed = mixing.schedule(encoded, shares)
+    return placed.drop("source", "mix_block", "mix_release", "mix_deadline")
 
 
 STAGES = [
