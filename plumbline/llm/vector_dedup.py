@@ -1,20 +1,23 @@
 """Embedding near-duplicates by NN-descent.
 
-A neighbour graph per label starts from cells of random hyperplanes and is
-refined: neighbours of a common vector are compared with each other, and each
-vector keeps its nearest, until hardly a list changes. Every pair at or above
-the threshold that is met on the way is a link, whether it stays in a list or
-not. Vectors whose lists are saturated (full of neighbours above the
-threshold) search again for their nearest outside their component. Whole
-components are compared in blocks, so link counts are exact within a
-component. An audit compares a fixed number of vectors with all rows of their
-label and asks for a recall; below it, the search goes on with new cells and
-longer lists, and is audited with other vectors. When the last attempt is
-below it too, the job fails.
+A neighbour graph per label starts from cells of random hyperplanes, in as many
+tables as a pair at the threshold needs to share a cell of one, and is refined:
+neighbours of a common vector are compared with each other, and each vector
+keeps its nearest, until hardly a list changes. Lists hold neighbours within
+``REACH`` times the angle of the threshold; farther ones lead nowhere. Every
+pair at or above the threshold that is met on the way is a link, whether it
+stays in a list or not. A list that is saturated (full of links) takes no more;
+its vector is then given a list twice as long beside it, of neighbours outside
+its component, until no list is full of links. Whole components are compared
+in blocks, so link counts are exact within a component. An audit compares a
+fixed number of vectors with all rows of their label and asks for a recall;
+below it, the search goes on with new cells and longer lists, and is audited
+with other vectors. When the last attempt is below it too, the job fails.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -25,12 +28,15 @@ from pyspark.sql import functions as F
 from plumbline.llm.common import connected_components, saved
 
 THRESHOLD = 0.98
-NEIGHBOURS, TABLES, CELL = 10, 4, 48
-SETTLED = 0.002  # share of list places that still change at the end
+NEIGHBOURS, CELL, PLANES = 10, 48, 30
+MISSED = 0.004  # chance that every table parts two vectors at the threshold
+REACH = 3  # lists reach as far as so many times the threshold's angle
+SETTLED = 0.002  # share of list entries that still change at the end
 AUDITED, RECALL, ATTEMPTS = 256, 0.97, 3
 BLOCK = 256
 
-UNIT = "grp string, node bigint, unit binary, codes array<bigint>"
+UNIT = "grp string, node bigint, unit binary"
+CODE = "grp string, node bigint, tab int, code bigint, bits int"
 FOUND = "u bigint, v bigint, sim double, link boolean"
 NO_ENTRY = -3.0
 
@@ -72,15 +78,18 @@ def _matrix(units: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(units), dtype=np.float64).reshape(len(units), -1)
 
 
-def units(vectors: DataFrame, seed: int) -> DataFrame:
-    """(grp, node, unit, codes) of vectors (vec_id, embedding, label) that can
-    be compared: label and id not null, every component finite, not all zero.
+def _reach(threshold: float) -> float:
+    """Smallest cosine of a list entry."""
+    return math.cos(min(math.pi, REACH * math.acos(min(1.0, max(-1.0, threshold)))))
+
+
+def units(vectors: DataFrame) -> DataFrame:
+    """(grp, node, unit) of vectors (vec_id, embedding, label) that can be
+    compared: label and id not null, every component finite, not all zero.
 
     ``grp`` is label and length: vectors of different length never compare.
-    ``codes`` holds the sides of random hyperplanes, 30 per table.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        planes: dict[int, np.ndarray] = {}
         for batch in batches:
             rows = []
             for label, node, values in zip(batch["label"], batch["node"], batch["embedding"]):
@@ -89,12 +98,8 @@ def units(vectors: DataFrame, seed: int) -> DataFrame:
                 if not top:
                     continue
                 x = x / top  # no overflow in the square
-                x = x / np.sqrt((x * x).sum())
-                if len(x) not in planes:
-                    planes[len(x)] = np.random.default_rng([seed, len(x)]).standard_normal((len(x), TABLES * 30))
-                bits = (x @ planes[len(x)] > 0).reshape(TABLES, 30)
-                rows.append((f"{label}/{len(x)}", node, x.tobytes(), bits @ (1 << np.arange(30))))
-            yield pd.DataFrame(rows, columns=["grp", "node", "unit", "codes"])
+                rows.append((f"{label}/{len(x)}", node, (x / np.sqrt((x * x).sum())).tobytes()))
+            yield pd.DataFrame(rows, columns=["grp", "node", "unit"])
 
     named = vectors.where("label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL").select(
         F.col("label").cast("string").alias("label"), F.col("vec_id").cast("bigint").alias("node"), "embedding"
@@ -102,6 +107,46 @@ def units(vectors: DataFrame, seed: int) -> DataFrame:
     return named.mapInPandas(run, UNIT)
 
 
+def cells(nodes: DataFrame, threshold: float, seed: tuple[int, ...]) -> DataFrame:
+    """(node, grp, tab, depth, cell, deal): where each vector is compared first.
+
+    A cell is a label and as many hyperplanes as leave about ``CELL`` vectors
+    on average, and more of them in a place that is fuller. Cells that stay too
+    full (a dense group) are dealt at random into several. The number of tables
+    grows with the number of hyperplanes, so that two vectors at the threshold
+    are parted by all of them with a chance of ``MISSED`` only.
+    """
+    together = 1 - max(math.acos(min(1.0, max(-1.0, threshold))) / math.pi, 1e-3)
+    sizes = nodes.groupBy("grp").agg(F.count("*").alias("n"))
+    bits = F.greatest(F.lit(0), F.least(F.lit(PLANES), F.ceil(F.log2(F.col("n") / CELL)))).cast("int")
+    tables = F.when(F.col("bits") == 0, 1).otherwise(F.ceil(math.log(MISSED) / F.log(1 - F.pow(F.lit(together), F.col("bits"))))).cast("int")
+    sized = nodes.join(sizes.select("grp", bits.alias("bits")).withColumn("tables", tables), "grp").select("grp", "node", "unit", "bits", "tables")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        planes: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            for size, rows in batch.groupby(batch["unit"].str.len()):
+                x, most = _matrix(rows["unit"]), rows["tables"].to_numpy()
+                for t in range(most.max()):
+                    if (size, t) not in planes:
+                        planes[size, t] = np.random.default_rng([*seed, size, t]).standard_normal((size // 8, PLANES))
+                    code = (x @ planes[size, t] > 0) @ (1 << np.arange(PLANES))
+                    out = rows[["grp", "node", "bits"]].assign(tab=t, code=code)[most > t]
+                    yield out[["grp", "node", "tab", "code", "bits"]]
+
+    codes = saved(sized.mapInPandas(run, CODE), "knn-codes")
+    place = lambda depth: F.expr(f"shiftright(code, {PLANES} - {depth})")
+    wide = codes.withColumn("wide", place("bits"))
+    fill = wide.groupBy("grp", "tab", "wide").agg(F.count("*").alias("n"))
+    more = F.when(F.col("n") > 2 * CELL, F.ceil(F.log2(F.col("n") / CELL))).otherwise(0).cast("int")
+    placed = wide.join(fill.select("grp", "tab", "wide", more.alias("more")), ["grp", "tab", "wide"])
+    placed = placed.withColumn("depth", F.least(F.lit(PLANES), F.col("bits") + F.col("more"))).withColumn("cell", place("depth"))
+    key = ["grp", "tab", "depth", "cell"]
+    deals = placed.groupBy(*key).agg(F.ceil(F.count("*") / (2 * CELL)).alias("deals"))
+    deal = F.pmod(F.xxhash64("node", "tab", *map(F.lit, seed)), "deals").alias("deal")
+    return placed.join(deals, key).select("node", *key, deal)
+
+
 def _nearest(pairs: DataFrame, k: int) -> DataFrame:
     """The k nearest v of each u as ``listed``, and of the rest the links.
 
@@ -139,22 +184,10 @@ def _found(ids: np.ndarray, a: np.ndarray, b: np.ndarray, sim: np.ndarray, linke
     )
 
 
-def first_lists(nodes: DataFrame, k: int, threshold: float, turn: int = 0) -> DataFrame:
-    """(u, v, sim, fresh, link, listed): the nearest within cells.
-
-    A cell is a label and as many hyperplanes as leave about ``CELL`` vectors,
-    other ones in each turn; a fuller cell (a dense place) is dealt at random
-    into several.
-    """
-    sizes = nodes.groupBy("grp").agg(F.count("*").alias("n"))
-    bits = F.greatest(F.lit(0), F.least(F.lit(30), F.ceil(F.log2(F.col("n") / CELL)))).cast("int")
-    placed = nodes.join(sizes.select("grp", bits.alias("bits")), "grp").select(
-        "grp", "node", "unit", "own", "search", "bits", F.posexplode("codes").alias("tab", "code")
-    )
-    shifted = f"shiftright(code, cast(least(30 - bits, bits * {turn}) AS int))"
-    placed = placed.withColumn("cell", F.expr(f"{shifted} & (shiftleft(1L, bits) - 1L)")).drop("code", "bits")
-    fill = placed.groupBy("grp", "tab", "cell").agg(F.ceil(F.count("*") / (2 * CELL)).alias("deals"))
-    placed = placed.join(fill, ["grp", "tab", "cell"]).withColumn("deal", F.pmod(F.xxhash64("node", "tab", F.lit(turn)), "deals"))
+def first_lists(nodes: DataFrame, k: int, threshold: float, seed: tuple[int, ...] = (0, 0)) -> DataFrame:
+    """(u, v, sim, fresh, link, listed): the nearest within cells."""
+    reach = _reach(threshold)
+    placed = cells(nodes, threshold, seed).join(nodes.select("node", "unit", "own", "search"), "node")
 
     def each(rows: pd.DataFrame) -> tuple:
         x, ids, own, search = _matrix(rows["unit"]), rows["node"].to_numpy(), rows["own"].to_numpy(), rows["search"].to_numpy(dtype=bool)
@@ -166,10 +199,10 @@ def first_lists(nodes: DataFrame, k: int, threshold: float, turn: int = 0) -> Da
         shown = np.where(other, sim, NO_ENTRY)
         near = np.argpartition(-shown, m - 1, axis=1)[:, :m]
         a, b = np.repeat(np.arange(len(ids)), m), near.ravel()
-        good = search[a] & other[a, b]
+        good = search[a] & other[a, b] & (sim[a, b] >= reach)
         return _found(ids, a[good], b[good], sim, other & (sim >= threshold))
 
-    pairs = in_groups(placed, ["grp", "tab", "cell", "deal"], each, FOUND)
+    pairs = in_groups(placed, ["grp", "tab", "depth", "cell", "deal"], each, FOUND)
     pairs = pairs.groupBy("u", "v").agg(F.max("sim").alias("sim"), F.lit(True).alias("fresh"), F.max("link").alias("link"))
     return _nearest(pairs, k)
 
@@ -189,16 +222,20 @@ def refined(lists: DataFrame, nodes: DataFrame, k: int, threshold: float, near:
     Of the vectors that list a centre, as many as a list is long stand for
     the rest, chosen by hash; so a centre has at most 2k members, also one
     that very many list, and as many more from the settled lists ``near``.
-    Pairs are compared when one of both is fresh, and leave the task only if
-    they enter the list of one side, or in the star of the links met.
+    Centres without a fresh member have nothing to compare and are left out
+    before vectors are sent. Pairs are compared when one of both is fresh, and
+    leave the task only if they enter the list of one side, or in the star of
+    the links met. A list full of links takes no more.
     """
     around = _members(lists, k)
     if near is not None:
         around = around.unionByName(_members(near.withColumn("fresh", F.lit(False)), k))
-    around = around.groupBy("centre", "member").agg(F.max("fresh").alias("fresh"))
-    last = lists.groupBy("u").agg(F.when(F.count("*") >= k, F.min("sim")).otherwise(-2.0).alias("last"))
-    sides = nodes.select(F.col("node").alias("member"), "unit", "own", "search").join(last.withColumnRenamed("u", "member"), "member", "left")
-    rows = around.join(sides.withColumn("last", F.coalesce("last", F.lit(-2.0))), "member")
+    around = around.repartition("centre").groupBy("centre", "member").agg(F.max("fresh").alias("fresh"))
+    around = around.withColumn("live", F.max("fresh").over(Window.partitionBy("centre"))).where("live").drop("live")
+    floor = F.when(F.count("*") < k, _reach(threshold)).when(F.min("sim") >= threshold, 2.0).otherwise(F.min("sim"))
+    last = lists.groupBy(F.col("u").alias("member")).agg(floor.alias("last"))
+    sides = nodes.select(F.col("node").alias("member"), "unit", "own", "search")
+    rows = around.join(last, "member", "left").withColumn("last", F.coalesce("last", F.lit(_reach(threshold)))).join(sides, "member")
 
     def each(g: pd.DataFrame) -> tuple:
         fresh, ids = g["fresh"].to_numpy(dtype=bool), g["member"].to_numpy()
@@ -216,39 +253,41 @@ def refined(lists: DataFrame, nodes: DataFrame, k: int, threshold: float, near:
     return _nearest(merged, k)
 
 
-def neighbour_links(nodes: DataFrame, k: int, threshold: float) -> DataFrame:
-    """(src, dst): links met in NN-descent with lists of k, enough of them to
-    hold every component together.
+def components(nodes: DataFrame, k: int, threshold: float, attempt: int = 0, held: DataFrame | None = None) -> DataFrame:
+    """(id, component) of the vectors with links, by NN-descent with lists of k.
 
     A list that is full of neighbours above the threshold hides further ones.
-    The vectors of such lists search again, now for their nearest outside the
-    component they are in, until no list is full of links. Each further turn
-    joins components, so there is an end, and no list grows with a group.
+    The vectors of such lists get another list, twice as long, for their
+    nearest outside the component they are in, until no list is full of links.
+    Each further turn joins components, so there is an end: the number of
+    components falls, and no turn follows one that joined none. ``held`` are
+    components known before; they are carried forward, with the links met since.
     """
     now = nodes.withColumn("own", F.col("node")).withColumn("search", F.lit(True))
-    links, near, turn = None, None, 0
-    size = nodes.count()
+    near, turn = None, 0
+    edges = None if held is None else held.select(F.col("id").alias("src"), F.col("component").alias("dst"))
     while True:
-        step = saved(first_lists(now, k, threshold, turn), "knn-lists")
+        step = saved(first_lists(now, k, threshold, (attempt, turn)), "knn-lists")
         while True:
             met = step.where("link").select(F.col("u").alias("src"), F.col("v").alias("dst"))
-            links = met if links is None else links.unionByName(met)
+            edges = met if edges is None else edges.unionByName(met)
             lists = step.where("listed").select("u", "v", "sim", "fresh")
-            if lists.where("fresh").count() <= SETTLED * size * k:
+            size, fresh = lists.agg(F.count("*"), F.count_if("fresh")).first()
+            if fresh <= SETTLED * size:
                 break
             step = saved(refined(lists, now, k, threshold, near), "knn-lists")
+        component = saved(connected_components(edges), "knn-components")
         full = lists.groupBy("u").agg(F.count("*").alias("n"), F.min("sim").alias("last")).where((F.col("n") >= k) & (F.col("last") >= threshold))
         full = saved(full.select(F.col("u").alias("node"), F.lit(True).alias("search")), "knn-full")
-        size = full.count()
-        if not size:
-            return links
-        component = saved(connected_components(links), "knn-components").withColumnRenamed("id", "node")
-        now = nodes.join(component, "node", "left").join(full, "node", "left")
+        if full.isEmpty():
+            return component
+        edges = component.select(F.col("id").alias("src"), F.col("component").alias("dst"))
+        now = nodes.join(component.withColumnRenamed("id", "node"), "node", "left").join(full, "node", "left")
         now = saved(now.select(
-            "grp", "node", "unit", "codes", F.coalesce("component", "node").alias("own"), F.coalesce("search", F.lit(False)).alias("search")
+            "grp", "node", "unit", F.coalesce("component", "node").alias("own"), F.coalesce("search", F.lit(False)).alias("search")
         ), "knn-searching")
         near = lists if near is None else near
-        turn += 1
+        turn, k = turn + 1, 2 * k
 
 
 def audit(nodes: DataFrame, component: DataFrame, threshold: float, attempt: int = 0) -> tuple[float, DataFrame]:
@@ -316,16 +355,14 @@ def classes(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     label are one node that counts for all its copies. No rows give no rows.
     A recall below ``RECALL`` in the last attempt is an error.
     """
-    known, links, audited, recall = None, None, None, 1.0
     every = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"))
+    rows = saved(units(vectors), "knn-units")
+    same = rows.groupBy("grp", "unit").agg(F.min("node").alias("first"), F.count("*").cast("bigint").alias("weight"))
+    known = saved(rows.join(same, ["grp", "unit"]), "knn-nodes")
+    nodes = known.where("node = first").dropDuplicates(["node"])
+    component, audited = None, None
     for attempt in range(ATTEMPTS):
-        rows = saved(units(vectors, attempt), "knn-units")
-        same = rows.groupBy("grp", "unit").agg(F.min("node").alias("first"), F.count("*").cast("bigint").alias("weight"))
-        known = saved(rows.join(same, ["grp", "unit"]), "knn-nodes")
-        nodes = known.where("node = first").dropDuplicates(["node"])
-        found = neighbour_links(nodes, NEIGHBOURS << attempt, threshold)
-        links = found if links is None else links.unionByName(found)
-        component = saved(connected_components(links), "knn-components")
+        component = components(nodes, NEIGHBOURS << attempt, threshold, attempt, component)
         recall, true = audit(nodes, component, threshold, attempt)
         audited = true if audited is None else audited.unionByName(true)
         if recall >= RECALL:
@@ -333,7 +370,8 @@ def classes(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     else:
         raise RuntimeError(f"recall {recall:.3f} after {ATTEMPTS} attempts, {RECALL} is asked for")
     if recall < 1 or attempt:  # what audits have found besides
-        component = saved(connected_components(links.unionByName(audited)), "knn-components")
+        held = component.select(F.col("id").alias("src"), F.col("component").alias("dst"))
+        component = saved(connected_components(held.unionByName(audited)), "knn-components")
     counts = link_counts(nodes, component, threshold)
     node = known.select(F.col("node").alias("vec_id"), "first", "weight")
     node = node.join(counts.withColumnRenamed("node", "first"), "first", "left")
