@@ -575,3 +575,22 @@ def test_vector_lists_full_of_links(spark, monkeypatch):
     got = {r.vec_id: r for r in vector_dedup.classes(frame).collect()}
     for i in range(len(rows)):
         assert (got[i].n_links, got[i].component_id) == (79, i // 80 * 80)
+
+
+def test_vector_cells_keep_lone_pairs_together(spark, monkeypatch):
+    # Pairs that have no other neighbour, in a group that is cut by many planes and has a dense half.
+    monkeypatch.setattr(vector_dedup, "AUDITED", 0)
+    monkeypatch.setattr(vector_dedup, "CELL", 12)
+    rng = np.random.default_rng(6)
+    base = rng.standard_normal((300, 64))
+    dense = rng.standard_normal(64) + 0.25 * rng.standard_normal((600, 64))  # alike, but not linked
+    x = np.vstack([base, base + 0.11 * rng.standard_normal(base.shape), dense])
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    linked = unit @ unit.T >= 0.98
+    np.fill_diagonal(linked, False)
+    assert linked.sum() == 600
+    frame = spark.createDataFrame([(i, [float(v) for v in e], 0) for i, e in enumerate(x)], "vec_id bigint, embedding array<double>, label int")
+    got = {r.vec_id: r for r in vector_dedup.classes(frame).collect()}
+    found = sum(got[i].n_links for i in range(len(x)))
+    assert 0.97 * 600 <= found <= 600
+    assert all(got[i].n_links <= linked[i].sum() for i in range(len(x)))
