@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from plumbline.operators import clean, joins, lookups
 from plumbline.plans import claims, years
@@ -102,6 +103,27 @@ def test_repeated_rows_are_guarded(frame):
         years.guard_repeats(metrics, 11)
 
 
+def test_rows_that_multiply_are_made_in_many_tasks(spark, frame):
+    spine = frame([("A", "c1"), ("B", "c1"), ("C", "c2"), (None, "c2")], "city string, county string")
+    one = frame([("A", 1.0), ("Z", 9.0)], "city string, m double")
+    twice = frame([("A", 5), ("A", 6), ("Z", 7)], "city string, t int")
+    more = frame([("Z", "n1"), ("B", "n2")], "city string, e string")
+    parts = [
+        (years.Frame("one", ("m",)), one), (years.Frame("twice", ("t",), repeats=True), twice),
+        (years.Frame("more", ("e",), extends=True), more),
+    ]
+    prisons = frame([("A", i) for i in range(5)] + [("B", 7), (None, 8), ("Z", 9)], "city string, p int")
+    rows = frame([("A", i % 50) for i in range(200)] + [(None, 1), ("Z", 2)], "city string, r int")
+    metrics = years.Metrics("city", years.tall(parts, "city"), tuple(f for f, _ in parts), {"prisons": prisons, "maintenance": rows})
+    got = years.year_table(spine, metrics)
+    chain = spine.join(prisons, "city", "left").join(rows, "city", "left").join(one, "city", "left").join(twice, "city", "left")
+    chain = joins.outer_join_nullsafe(chain, more, "city")
+    assert got.columns == chain.columns
+    assert bag(got, *chain.columns) == bag(chain, *chain.columns)
+    tasks = got.where("city = 'A'").groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(tasks) >= int(spark.conf.get("spark.sql.shuffle.partitions")) and max(r["count"] for r in tasks) < 1000
+
+
 # (term, rank, value): ties in rank, null ranks and values, empty and null terms, all lengths
 TERMS = [
     ("zz", 3, "zz"), ("aa", 3, "aa"), ("needle in", 5, "n"), ("needle", 6, "m"), ("x", 9, None), ("hay", 7, "h"), ("haystack", 7, "s"),
