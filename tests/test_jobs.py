@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -198,6 +199,10 @@ def test_positions_temporary_and_residences(frame, refs):
     same(city.employee_residences(df, refs), pd_steps(want, "city", "U"))
 
 
+def bag(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
 @pytest.mark.parametrize("year", YEARS)
 def test_certified(frame, refs, year):
     rng = random.Random(4)
@@ -226,6 +231,21 @@ def test_certified(frame, refs, year):
     same(city.certified_businesses(df, refs, year, order=["i"]), want)
 
 
+def test_certified_years_share_one_pass(frame, refs, capsys):
+    day = lambda n: dt.date(2018, 1, 1) + dt.timedelta(n)
+    rows = [
+        (i, f"{i % 9}" if i % 13 else None, "B" if i % 4 else None, MESSY[i % len(MESSY)], day(i * 7 % 1200), day(i * 11 % 1200), f"x, 0000{i % 4}-1")
+        for i in range(150)
+    ]
+    df = frame(rows, "i int, tax_id string, business string, city string, effective_on date, expire_on date, address string")
+    places = city.certified_places(df, YEARS, order=["i"])
+    places.explain()
+    assert capsys.readouterr().out.count("ExistingRDD") == 1
+    for year in YEARS:
+        together = city.certified_businesses(df, refs, year, order=["i"], places=places)
+        assert together.count() and bag(together) == bag(city.certified_businesses(df, refs, year, order=["i"]))
+
+
 def test_surplus(frame, refs):
     rng = random.Random(6)
     rows = [(i, rng.choice(MESSY), rng.choice([1, None]), rng.choice([10.5, None]), rng.choice([1.25, None]), rng.randrange(5), 2.5) for i in range(250)]
