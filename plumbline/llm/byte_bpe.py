@@ -26,6 +26,9 @@ from plumbline.llm.common import per_text, stretches
 
 # Entries that one Python worker keeps; a full memo is emptied.
 MEMO = 150_000
+# Stretches in each of a worker's two generations, some 250 bytes each: fewer
+# are met again after they went.
+STRETCHES = 400_000
 
 
 class Encoder:
@@ -173,7 +176,7 @@ class Words:
     them their number, their decimal list and the bytes they decode to. The
     pattern never matches across such a blank, so each is encoded alone.
 
-    Two generations of up to MEMO stretches: one met again moves on.
+    Two generations of up to STRETCHES: one met again moves on.
     """
 
     def __init__(self, encoder: Encoder):
@@ -185,11 +188,10 @@ class Words:
         """(number, decimal list, bytes) of each stretch of a text that has ids."""
         first, *rest = stretches(text)
         wanted = [first, *(" " + s for s in rest)]
-        known = self.known
-        try:
-            return [known[s] for s in wanted]
-        except KeyError:
-            return [self._one(s) for s in wanted]
+        found = list(map(self.known.get, wanted))
+        for i in [i for i, got in enumerate(found) if got is None]:
+            found[i] = self._one(wanted[i])
+        return found
 
     def _one(self, stretch: str) -> tuple[int, str, bytes]:
         got = self.known.get(stretch)
@@ -199,7 +201,7 @@ class Words:
                 ids = self.encoder.encode(stretch)
                 got = (len(ids), ",".join(map(str, ids)), self.encoder.decode(ids))
             if len(stretch) <= 64:
-                if len(self.known) >= MEMO:
+                if len(self.known) >= STRETCHES:
                     self.older, self.known = self.known, {}
                 self.known[stretch] = got
         return got
@@ -232,9 +234,10 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, keep: tuple[str,
             sizes, listed, data = [], [], []
             for text in texts:
                 parts = [p for p in words.spelled(text) if p[0]]
-                sizes.append(sum([n for n, _, _ in parts]))
-                listed.append(hashlib.sha256(",".join([s for _, s, _ in parts]).encode()).hexdigest())
-                data.append(hashlib.sha256(b"".join([b for _, _, b in parts])).hexdigest())
+                counts, spelled, raw = zip(*parts) if parts else ((), (), ())
+                sizes.append(sum(counts))
+                listed.append(hashlib.sha256(",".join(spelled).encode()).hexdigest())
+                data.append(hashlib.sha256(b"".join(raw)).hexdigest())
             return [sizes, listed, data]
 
         return values

@@ -411,6 +411,18 @@ def test_toxicity_of_odd_rows(spark, docs, none, machine):
 # ---- op7 ----------------------------------------------------------------
 
 
+def test_bpe_asks_only_for_stretches_not_known():
+    own = byte_bpe.Encoder(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    words, asked = byte_bpe.Words(own), []
+    one = words._one
+    words._one = lambda stretch: asked.append(stretch) or one(stretch)
+    words.spelled("some words here")
+    got = words.spelled("some words there here")
+    assert asked == ["some", " words", " here", " there"]
+    assert b"".join(b for _, _, b in got) == b"some words there here"
+    assert [int(i) for _, listed, _ in got for i in listed.split(",")] == own.encode("some words there here")
+
+
 def test_bpe_matches_the_library(spark, docs, none):
     own, _ = byte_bpe.encoder(BPE, public_tokenizers.PATTERN)
     reference = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=own.ranks, special_tokens={})
