@@ -39,7 +39,10 @@ from plumbline.llm.common import saved, stretches
 RANGE = 1 << 16  # bytes of a range
 FAN = 16  # fragments that are joined at a time
 MEMO = 150_000
-TEXTS = 200
+TEXTS = 64
+# New stretches that are tokenised at a time: the libraries' own results take
+# far more memory than the ids that are kept of them.
+LEARNT = 4096
 # Id pairs are one number: A's id times this, plus B's.
 PAIR = 1 << 24
 # A table of pairs up to this many rows (some 50 MB) is broadcast.
@@ -99,11 +102,12 @@ class Aligner:
                 else:
                     new.append(s)
         self.large = [s for s in new if len(s) > 64]
-        if new:
-            data = [f" {s}".encode() for s in new]
-            of_a = [e.ids for e in self.a.encode_batch_fast([f" {s}" for s in new], add_special_tokens=False)]
-            of_b = self.b.encode(new, num_threads=1)
-            both = zip(new, self._given_back(data, of_a, self.bytes_a, self.size_a), self._given_back(data, of_b, self.bytes_b, self.size_b))
+        for i in range(0, len(new), LEARNT):
+            some = new[i : i + LEARNT]
+            data = [f" {s}".encode() for s in some]
+            of_a = [e.ids for e in self.a.encode_batch_fast([f" {s}" for s in some], add_special_tokens=False)]
+            of_b = self.b.encode(some, num_threads=1)
+            both = zip(some, self._given_back(data, of_a, self.bytes_a, self.size_a), self._given_back(data, of_b, self.bytes_b, self.size_b))
             self.known.update((s, None if a is None or b is None else (a, b)) for s, a, b in both)
 
     def _given_back(self, data: list[bytes], ids: list[list[int]], token: list[bytes], size: np.ndarray) -> list[bytes | None]:

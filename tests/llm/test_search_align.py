@@ -81,6 +81,25 @@ def test_alignment_is_that_of_whole_texts(spark, size):
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 
+def test_stretches_are_tokenised_some_at_a_time(monkeypatch):
+    monkeypatch.setattr(token_align, "LEARNT", 3, raising=False)
+    plain, bounded = token_align.Aligner(A, B), token_align.Aligner(A, B)
+    sizes = []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **how):
+            sizes.append(len(texts))
+            return plain.a.encode_batch_fast(texts, **how)
+
+    bounded.a = Counting()
+    wanted = {f"w{i}é" for i in range(10)} | {"y" * 70}
+    bounded.learn(wanted)
+    assert sum(sizes) == 11 and max(sizes) == 3
+    monkeypatch.setattr(token_align, "LEARNT", 100, raising=False)
+    plain.learn(wanted)
+    assert bounded.known == plain.known and set(plain.known) == wanted
+
+
 def test_alignment_of_no_rows(spark):
     assert token_align.align(spark.createDataFrame([], DDL), A, B).collect() == []
 
