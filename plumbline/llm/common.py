@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -105,6 +106,32 @@ def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def per_worker(make: Callable) -> Callable:
+    """Keep what ``make`` returns, for each of its last two arguments, in a
+    Python worker until that works for another operator (:func:`taken_by`)."""
+    kept = lru_cache(maxsize=2)(make)
+    _KEPT[make.__module__] = kept.cache_clear
+    return kept
+
+
+def taken_by(operator: str) -> None:
+    """Drop what a reused Python worker keeps for operators (modules) but this one."""
+    for name, clear in _KEPT.items():
+        if name != operator:
+            clear()
+    give_back()
+
+
+def give_back() -> None:
+    """Return what this process has freed to the system; Arrow's pool and the
+    allocator hold on to it otherwise."""
+    pa.default_memory_pool().release_unused()
+    pa.system_memory_pool().release_unused()
+
+
 TEXTS = 500
 
 ARROW = {
@@ -131,6 +158,7 @@ def per_text(
     schema = T.StructType([*own.schema.fields[: len(keep)], *added.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        taken_by(start.__module__)
         values_of = start()
         for whole in batches:
             # Some hundred texts at a time are Python strings.
@@ -138,5 +166,6 @@ def per_text(
                 texts = ["" if t is None else t for t in batch.column(at).to_pylist()]
                 new = [pa.array(v, type=t) for v, t in zip(values_of(texts), types)]
                 yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *new], names=schema.names)
+            give_back()
 
     return own.mapInArrow(run, schema)

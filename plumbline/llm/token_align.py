@@ -14,16 +14,15 @@ short document is one fragment.
 A range is tokenised with the stretches that cross its borders, from the last
 cut before to the first cut after it. A cut is a blank between two characters
 that are not white space: no token of A or B reaches across the front of it
-(:class:`Aligner` makes sure of B's vocabulary). Stretches between cuts are
-tokenised once per task and kept.
+(:class:`Aligner` makes sure of B's vocabulary). So every cut is a common end,
+and the groups of a text are those of its stretches in a row: stretches are
+tokenised and grouped once per task, and their groups are kept.
 """
 
 from __future__ import annotations
 
 import os
 from collections.abc import Iterator
-from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -34,21 +33,24 @@ from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from plumbline.llm.common import saved, stretches
+from plumbline.llm.common import give_back, per_worker, saved, stretches, taken_by
 
 RANGE = 1 << 16  # bytes of a range
 FAN = 16  # fragments that are joined at a time
-MEMO = 150_000
+MEMO = 100_000
 TEXTS = 64
 # New stretches that are tokenised at a time: the libraries' own results take
 # far more memory than the ids that are kept of them.
 LEARNT = 4096
+# So many of them are one text to the libraries, which costs less than one each.
+TOGETHER = 64
 # Id pairs are one number: A's id times this, plus B's.
 PAIR = 1 << 24
 # A table of pairs up to this many rows (some 50 MB) is broadcast.
 MOST_PAIRS = 1_000_000
 
 Tokens = tuple[np.ndarray, np.ndarray]  # ids, and the places where they end
+Stretch = tuple[str, bytes, int, int]  # groups as text, linked pairs as 64-bit integers, numbers of A's and of B's tokens
 
 
 def byte_of() -> dict[str, int]:
@@ -79,8 +81,8 @@ class Aligner:
         self.spelling = [f"{i}{c}" for i in range(size) for c in ",|"] + [f"{i}{c}" for i in range(len(pieces)) for c in ",;"]
         # With a piece such as a blank after a letter, stretches would not be apart.
         self.apart = not any(" " in p.replace("▁", " ").lstrip(" ") for p in pieces)
-        self.known: dict[str, tuple[bytes, bytes] | None] = {}
-        self.older: dict[str, tuple[bytes, bytes] | None] = {}
+        self.known: dict[str, Stretch | None] = {}
+        self.older: dict[str, Stretch | None] = {}
         self.large: list[str] = []
 
     def cuts(self, text: str) -> list[str]:
@@ -94,52 +96,79 @@ class Aligner:
             self.known.pop(s, None)
         if len(self.known) > MEMO:
             self.older, self.known = self.known, {}
-        new = []
-        for s in wanted:
-            if s not in self.known:
-                if s in self.older:
-                    self.known[s] = self.older[s]
-                else:
-                    new.append(s)
-        self.large = [s for s in new if len(s) > 64]
-        for i in range(0, len(new), LEARNT):
-            some = new[i : i + LEARNT]
-            data = [f" {s}".encode() for s in some]
-            of_a = [e.ids for e in self.a.encode_batch_fast([f" {s}" for s in some], add_special_tokens=False)]
-            of_b = self.b.encode(some, num_threads=1)
-            both = zip(some, self._given_back(data, of_a, self.bytes_a, self.size_a), self._given_back(data, of_b, self.bytes_b, self.size_b))
-            self.known.update((s, None if a is None or b is None else (a, b)) for s, a, b in both)
-
-    def _given_back(self, data: list[bytes], ids: list[list[int]], token: list[bytes], size: np.ndarray) -> list[bytes | None]:
-        """The ids of each piece of data as bytes of 32-bit integers; None where
-        the tokens' bytes are not the data."""
-        flat = list(chain.from_iterable(ids))
-        until = np.cumsum([0, *map(len, ids)])
-        packed = np.array(flat, dtype=np.int32)
-        ends = np.concatenate([[0], np.cumsum(size[packed])])[until]
-        fits = [True] * len(data)
-        if b"".join(map(token.__getitem__, flat)) != b"".join(data) or (np.diff(ends) != [len(d) for d in data]).any():
-            fits = [b"".join(map(token.__getitem__, i)) == d for i, d in zip(ids, data)]
-        raw, cuts = packed.tobytes(), (4 * until).tolist()
-        return [raw[i:j] if ok else None for ok, i, j in zip(fits, cuts, cuts[1:])]
+        new = wanted.difference(self.known)
+        met = [s for s in new if s in self.older]
+        self.known.update((s, self.older[s]) for s in met)
+        fresh = list(new.difference(met))
+        self.large = [s for s in fresh if len(s) > 64]
+        for i in range(0, len(fresh), LEARNT):
+            self._tokenise(fresh[i : i + LEARNT])
+
+    def _tokenise(self, some: list[str]) -> None:
+        """Groups of each stretch; None where the tokens' bytes are not its own.
+        Of many, runs go to the libraries as one text, with a blank between two:
+        no token reaches across it. White space at an end could, beside that."""
+        if self.apart and len(some) > TOGETHER:
+            plain = [s for s in some if s and s.strip() == s]
+            some = [*(s for s in some if not s or s.strip() != s), *self._in_runs(plain, TOGETHER)]
+        self.known.update(dict.fromkeys(self._in_runs(some, 1)))
+
+    def _in_runs(self, some: list[str], size: int) -> list[str]:
+        """Take in stretches, so many as one text; returns those of the runs
+        that are not given back, or not cut at their ends."""
+        runs = [some[i : i + size] for i in range(0, len(some), size)]
+        texts = [" ".join(run) for run in runs]
+        data = [f" {t}".encode() for t in texts]
+        of_a = [e.ids for e in self.a.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)]
+        of_b = self.b.encode(texts, num_threads=1)
+        fits = [
+            all(b"".join(map(token.__getitem__, ids)) == d for token, ids in ((self.bytes_a, i), (self.bytes_b, j)))
+            for d, i, j in zip(data, of_a, of_b)
+        ]
+        left = [s for run, ok in zip(runs, fits) if not ok for s in run]
+        some, of_a, of_b = ([x for of, ok in zip(each, fits) if ok for x in of] for each in (runs, of_a, of_b))
+        a, b = (np.array(of, dtype=np.int64) for of in (of_a, of_b))
+        ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        cut_a, cut_b = common_ends((a, ends_a), (b, ends_b))
+        ends = np.cumsum([len(s.encode()) + 1 for s in some])
+        if not np.isin(ends, ends_a[cut_a]).all():
+            return left + some
+        words, raw = self._words(a, cut_a, b, cut_b), paired(a[cut_a], b[cut_b]).tobytes()
+        until_a, until_b = (np.concatenate([[0], np.searchsorted(e, ends) + 1]) for e in (ends_a, ends_b))
+        at = (until_a + until_b).tolist()
+        closed = (8 * np.concatenate([[0], np.cumsum(cut_a)])[until_a]).tolist()
+        of = zip(some, at, at[1:], closed, closed[1:], np.diff(until_a).tolist(), np.diff(until_b).tolist())
+        self.known.update((s, ("".join(words[i:j])[:-1], raw[k:m], n_a, n_b)) for s, i, j, k, m, n_a, n_b in of)
+        return left
+
+    def found(self, cut: list[str]) -> list[Stretch] | None:
+        """Known stretches in a row; nothing if one of the tokenizers does not
+        give their bytes."""
+        found = [self.known[s] for s in cut]
+        return None if None in found else found
 
     def tokens(self, cut: list[str]) -> tuple[Tokens, Tokens] | None:
-        """Ids and ends of A and B for known stretches in a row; nothing if
-        one of the tokenizers does not give their bytes."""
-        found = [self.known[s] for s in cut]
-        if None in found:
+        """Ids and ends of A and B for known stretches in a row, read from
+        their groups; nothing if :meth:`found` has none."""
+        found = self.found(cut)
+        if found is None:
             return None
-        both = zip((b"".join([f[i] for f in found]) for i in (0, 1)), (self.size_a, self.size_b))
-        a, b = ((ids, np.cumsum(size[ids])) for ids, size in ((np.frombuffer(x, dtype=np.int32), size) for x, size in both))
+        groups = [g.split("|") for f in found for g in f[0].split(";")]
+        both = zip((np.array(",".join(g[i] for g in groups).split(","), dtype=np.int64) for i in (0, 1)), (self.size_a, self.size_b))
+        a, b = ((ids, np.cumsum(size[ids])) for ids, size in both)
         return a, b
 
     def spelled(self, a: np.ndarray, cut_a: np.ndarray, b: np.ndarray, cut_b: np.ndarray) -> str:
         """Closed groups as text: ids of A up to a cut, those of B up to its cut, and so on."""
+        return "".join(self._words(a, cut_a, b, cut_b))[:-1]
+
+    def _words(self, a: np.ndarray, cut_a: np.ndarray, b: np.ndarray, cut_b: np.ndarray) -> list[str]:
+        """The ids in the order of :meth:`spelled`, each with the sign after it."""
         until_a, until_b = (np.concatenate([[0], np.flatnonzero(c) + 1]) for c in (cut_a, cut_b))
         order = np.empty(len(a) + len(b), dtype=np.int64)
         order[np.arange(len(a)) + until_b[np.cumsum(cut_a) - cut_a]] = 2 * a + cut_a
         order[np.arange(len(b)) + until_a[np.cumsum(cut_b) - cut_b + 1]] = 2 * (len(self.size_a) + b) + cut_b
-        return "".join(map(self.spelling.__getitem__, order.tolist()))[:-1]
+        return list(map(self.spelling.__getitem__, order.tolist()))
 
 
 def listed(ids: np.ndarray) -> str:
@@ -239,7 +268,7 @@ def ranges(text: str, size: int, aligner: Aligner) -> Iterator[tuple[str, int, i
         start = stop
 
 
-@lru_cache(maxsize=1)
+@per_worker
 def aligner_of(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
 
@@ -259,6 +288,7 @@ def _parts(docs: DataFrame, path_a: str, path_b: str, size: int) -> DataFrame:
     """A row per short document, aligned, and a row per range of a long one, to
     be aligned. ``doc`` numbers the documents, whatever their ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        taken_by(aligner_of.__module__)
         aligner = aligner_of(path_a, path_b)
         number = TaskContext.get().partitionId() << 40
         for whole in batches:
@@ -279,6 +309,7 @@ def _parts(docs: DataFrame, path_a: str, path_b: str, size: int) -> DataFrame:
                         continue
                     rows.append(row)
                 yield pa.RecordBatch.from_pylist(rows, schema=PART)
+            give_back()
 
     named = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     return named.mapInArrow(run, PART_DDL)
@@ -286,16 +317,13 @@ def _parts(docs: DataFrame, path_a: str, path_b: str, size: int) -> DataFrame:
 
 def _aligned_text(aligner: Aligner, cut: list[str]) -> dict:
     """Row of a document that is one range: its end is a common end."""
-    both = aligner.tokens(cut)
-    if both is None:
+    found = aligner.found(cut)
+    if found is None:
         return {"fits": False}
-    (a, _), (b, _) = both
-    cut_a, cut_b = common_ends(*both)
-    pairs, times = _counted(paired(a[cut_a], b[cut_b]))
-    return {
-        "n_a": len(a), "n_b": len(b), "cut": True, "groups": aligner.spelled(a, cut_a, b, cut_b), "n_groups": int(cut_a.sum()),
-        "pairs": pairs, "times": times,
-    }
+    groups, raw, n_a, n_b = zip(*found)
+    linked = np.frombuffer(b"".join(raw), dtype=np.int64)
+    pairs, times = _counted(linked)
+    return {"n_a": sum(n_a), "n_b": sum(n_b), "cut": True, "groups": ";".join(groups), "n_groups": len(linked), "pairs": pairs, "times": times}
 
 
 def _reduced(fragments: DataFrame, rounds: int) -> DataFrame:

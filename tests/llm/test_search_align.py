@@ -100,6 +100,31 @@ def test_stretches_are_tokenised_some_at_a_time(monkeypatch):
     assert bounded.known == plain.known and set(plain.known) == wanted
 
 
+def test_many_stretches_are_tokenised_in_runs(monkeypatch):
+    odd = {"", " lead", "trail ", "a\n", "\u0085z", "a▁b", "x▁", "ﬁ", "é́", "<s>", "<|endoftext|>", "日本語", "z" * 3000}
+    wanted = odd | {f"w{i}é" for i in range(300)}
+    one, runs = token_align.Aligner(A, B), token_align.Aligner(A, B)
+    monkeypatch.setattr(token_align, "TOGETHER", 1 << 20, raising=False)
+    one.learn(wanted)
+    monkeypatch.setattr(token_align, "TOGETHER", 16, raising=False)
+    sizes, own = [], runs.a
+
+    class Counting:
+        def encode_batch_fast(self, texts, **how):
+            sizes.append(len(texts))
+            return own.encode_batch_fast(texts, **how)
+
+    runs.a = Counting()
+    runs.learn(wanted)
+    assert sum(sizes) < len(wanted) / 2
+    assert runs.known == one.known and set(one.known) == wanted
+    # each as if it were a text of its own
+    for s in wanted:
+        n_a, n_b, _, groups, n_links, *_ = brute_align([s])[0]
+        got = one.known[s]
+        assert (got is None) if not n_a else (got[0], got[2], got[3], len(got[1]) // 8) == (groups, n_a, n_b, n_links)
+
+
 def test_alignment_of_no_rows(spark):
     assert token_align.align(spark.createDataFrame([], DDL), A, B).collect() == []
 
