@@ -15,20 +15,19 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import ahocorasick
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
-from plumbline.llm.common import per_text, stretches
+from plumbline.llm.common import per_text, per_worker, stretches
 
 # Entries that one Python worker keeps; a full memo is emptied.
 MEMO = 150_000
 # Stretches in each of a worker's two generations, some 250 bytes each: fewer
 # are met again after they went.
-STRETCHES = 400_000
+STRETCHES = 300_000
 
 
 class Encoder:
@@ -207,7 +206,7 @@ class Words:
         return got
 
 
-@lru_cache(maxsize=2)
+@per_worker
 def encoder(path: str, pattern: str) -> tuple[Encoder, Words]:
     """One per Python worker and vocabulary."""
     own = Encoder(path, pattern)

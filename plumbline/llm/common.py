@@ -110,8 +110,8 @@ _KEPT: dict[str, Callable[[], None]] = {}
 
 
 def per_worker(make: Callable) -> Callable:
-    """Keep what ``make`` returns, for each of its last two arguments, in a
-    Python worker until that works for another operator (:func:`taken_by`)."""
+    """Keep what ``make`` returns (for the last two sets of arguments) in a
+    Python worker, until that works for another operator (:func:`taken_by`)."""
     kept = lru_cache(maxsize=2)(make)
     _KEPT[make.__module__] = kept.cache_clear
     return kept

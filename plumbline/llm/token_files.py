@@ -19,7 +19,6 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -30,7 +29,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
-from plumbline.llm.common import ARROW, per_text, saved
+from plumbline.llm.common import ARROW, per_text, per_worker, saved
 
 MEMO = 400_000
 BLOCK_IDS = 1 << 18
@@ -116,7 +115,7 @@ def id_type(tokenizer: Tokenizer) -> str:
     return "H" if tokenizer.get_vocab_size() <= 1 << 16 else "I"
 
 
-@lru_cache(maxsize=2)
+@per_worker
 def words_of(path: str) -> Words:
     """One per Python worker and vocabulary."""
     return Words(path)

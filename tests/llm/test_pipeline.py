@@ -119,3 +119,24 @@ def test_queries_match_their_sql(spark, name):
     for table in ("documents", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     assert difference(QUERIES[name](spark, SF), con, SQL[name]) is None
+
+
+def test_a_worker_keeps_nothing_of_the_stage_before(spark, monkeypatch):
+    """The encoder and its memos go when texts come to another operator, not
+    when they come to its own."""
+    import pyarrow as pa
+
+    from plumbline.llm import near_dup
+
+    docs = spark.createDataFrame([(1, "some words of a text")], "doc_id bigint, text string")
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: run)
+    batch = pa.RecordBatch.from_pylist([{"doc_id": 1, "text": "some words of a text"}])
+    path, kept = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), byte_bpe.encoder
+    for _ in range(2):
+        assert len(list(byte_bpe.encode_documents(docs, path, public_tokenizers.PATTERN)(iter([batch])))) == 1
+        own = kept(path, public_tokenizers.PATTERN)
+    hits = kept.cache_info().hits
+    list(byte_bpe.encode_documents(docs, path, public_tokenizers.PATTERN)(iter([batch])))
+    assert kept.cache_info().hits == hits + 1 and kept(path, public_tokenizers.PATTERN) is own
+    assert len(list(near_dup.sketches(docs)(iter([batch])))) == 1
+    assert kept.cache_info().currsize == 0
