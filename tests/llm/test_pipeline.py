@@ -116,7 +116,7 @@ def test_queries_match_their_sql(spark, name):
     from compare import difference
 
     con = duckdb.connect()
-    for table in ("documents", "embeddings", "conversations"):
+    for table in ("documents", "embeddings", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     assert difference(QUERIES[name](spark, SF), con, SQL[name]) is None
 
