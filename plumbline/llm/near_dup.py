@@ -34,6 +34,7 @@ from plumbline.llm.common import connected_components, per_text, saved
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 25, 5
 MEMO = 300_000
+AT_ONCE = 65_536  # shingles whose arrivals are drawn together
 PER_TASK = 500  # members compared with one leader in a group
 ROUNDS = 3  # rounds of leaders before what is left is joined by prefixes
 
@@ -72,49 +73,68 @@ def shingles(text: str, hashes: dict, words: int = WORDS) -> tuple[np.ndarray, n
 
 def prob_minhash(keys: np.ndarray, weights: np.ndarray, registers: int) -> np.ndarray:
     """Shingle that arrives first at each register."""
-    first = np.full(registers, np.inf)
-    winner = np.zeros(registers, dtype=np.uint64)
+    order = np.argsort(keys, kind="stable")
+    return prob_minhashes(keys[order], weights[order], np.array([len(keys)]), registers)[0]
+
+
+def prob_minhashes(keys: np.ndarray, weights: np.ndarray, sizes: np.ndarray, registers: int) -> np.ndarray:
+    """A row per set: the shingle that arrives first at each register. The sets
+    lie one after another in ``keys``, ascending in each; ``sizes`` counts them."""
+    first = np.full(len(sizes) * registers, np.inf)
+    winner = np.zeros(len(sizes) * registers, dtype=np.uint64)
     keys, rate = keys.astype(np.uint64), weights.astype(np.float64)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
     time = np.zeros(len(keys))
     step = 0
     while len(keys):
         step += 1
         draw = _mix(keys + np.uint64(step * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
         time = time - np.log1p(-((draw >> np.uint64(11)).astype(np.float64) * 2.0**-53)) / rate
-        on_time = time < first.max()
-        keys, rate, time = keys[on_time], rate[on_time], time[on_time]
-        at = (_mix(draw[on_time] + _C3) % np.uint64(registers)).astype(np.int64)
-        # The earliest of the arrivals at a register; ties by key.
-        order = np.lexsort((keys, time, at))
-        at_sorted = at[order]
-        lead = order[np.r_[True, at_sorted[1:] != at_sorted[:-1]]] if len(order) else order
-        better = time[lead] < first[at[lead]]
-        lead = lead[better]
-        first[at[lead]], winner[at[lead]] = time[lead], keys[lead]
-    return winner
+        on_time = time < first.reshape(-1, registers).max(axis=1)[owner]
+        keys, rate, time, owner = keys[on_time], rate[on_time], time[on_time], owner[on_time]
+        at = owner * registers + (_mix(draw[on_time] + _C3) % np.uint64(registers)).astype(np.int64)
+        before = first[at]
+        np.minimum.at(first, at, time)
+        # The earliest of the arrivals at a register; of ties the least key, which is written last.
+        lead = np.flatnonzero((time < before) & (time == first[at]))[::-1]
+        winner[at[lead]] = keys[lead]
+    return winner.reshape(-1, registers)
 
 
 def bands_of(winner: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
-    """One hash per band."""
-    out = np.arange(1, bands + 1, dtype=np.uint64)
+    """One hash per band; of a row of registers per set, a row each."""
+    cut = winner.reshape(*winner.shape[:-1], bands, rows)
+    out = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), cut.shape[:-1])
     for k in range(rows):
-        out = _mix(out * _C1 + winner.reshape(bands, rows)[:, k])
+        out = _mix(out * _C1 + cut[..., k])
     return out.view(np.int64)
 
 
+def set_bands(sets: list[np.ndarray]) -> list[np.ndarray | None]:
+    """Bands of each set of shingles (ascending), None for an empty one. Some
+    sets at a time go through the registers together."""
+    out: list[np.ndarray | None] = [None] * len(sets)
+    filled = [i for i, keys in enumerate(sets) if len(keys)]
+    sizes = np.array([len(sets[i]) for i in filled], dtype=np.int64)
+    group = np.cumsum(sizes) // AT_ONCE
+    for cut in np.split(np.arange(len(filled)), np.flatnonzero(np.diff(group)) + 1):
+        if len(cut):
+            keys = np.concatenate([sets[filled[i]] for i in cut])
+            bands = bands_of(prob_minhashes(keys, np.ones(len(keys)), sizes[cut], BANDS * ROWS))
+            for i, row in zip(cut, bands):
+                out[filled[i]] = row
+    return out
+
+
 def sketches(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, print, bands): ``print`` is equal for equal shingle sets, null for none."""
     def start():
         hashes = _WordHashes()
 
         def values(texts: list[str]) -> list:
-            sizes, prints, bands = [], [], []
-            for text in texts:
-                keys, _ = shingles(text, hashes)
-                sizes.append(len(keys))
-                prints.append(hashlib.blake2b(keys.tobytes(), digest_size=16).digest() if len(keys) else None)
-                bands.append(bands_of(prob_minhash(keys, np.ones(len(keys)), BANDS * ROWS)) if len(keys) else None)
-            return [sizes, prints, bands]
+            sets = [shingles(text, hashes)[0] for text in texts]
+            prints = [hashlib.blake2b(keys.tobytes(), digest_size=16).digest() if len(keys) else None for keys in sets]
+            return [[len(keys) for keys in sets], prints, set_bands(sets)]
 
         return values
 

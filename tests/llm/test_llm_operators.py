@@ -170,6 +170,21 @@ def test_registers_estimate_weighted_similarity():
     assert abs(got - want) < 4 * (want * (1 - want) / m) ** 0.5
 
 
+def test_sets_drawn_together_have_the_bands_of_each_alone(monkeypatch):
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for n in [0, 1, 2, 5000, 0, *rng.integers(1, 400, 300), 0]]
+    registers = near_dup.BANDS * near_dup.ROWS
+    want = [near_dup.bands_of(near_dup.prob_minhash(s, np.ones(len(s)), registers)).tolist() if len(s) else None for s in sets]
+    calls, drawn = [], near_dup.prob_minhashes
+    monkeypatch.setattr(near_dup, "prob_minhashes", lambda *a: calls.append(1) or drawn(*a))
+    for at_once, most in ((1, 303), (1000, 70), (near_dup.AT_ONCE, 2)):
+        monkeypatch.setattr(near_dup, "AT_ONCE", at_once)
+        calls.clear()
+        assert [b if b is None else b.tolist() for b in near_dup.set_bands(sets)] == want
+        assert len(calls) <= most
+    assert near_dup.set_bands([]) == [] and near_dup.set_bands([sets[0]]) == [None]
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(230)] + [(1000 + i, 1001 + i) for i in range(60)]
