@@ -162,6 +162,42 @@ def test_first_listed_term_by_every_route(frame, monkeypatch, extra):
     assert got(max_terms=0) == want
 
 
+def test_grams_after_a_term_that_is_found_are_left_out(frame):
+    from pyspark.sql import functions as F
+
+    from plumbline.operators import locate
+
+    listed = frame([("x", 2, ""), ("haystack", 3, ""), ("needle", 1, ""), ("on", None, "")], "_term string, _rank int, _value string")
+    index = locate.term_index(listed)
+    texts = frame([("x haystack",), ("needle x",), ("haystack",), ("x" * 40 + "needle on",), ("",)], "p string")
+    got = {r["p"]: sorted(r["g"]) for r in texts.select("p", locate._listed_grams(F.col("p"), index).alias("g")).collect()}
+    of = {r["_term"]: r["_gram"] for r in index.collect()}
+    assert got == {
+        "x haystack": ["x"], "needle x": ["needle"], "haystack": [of["haystack"]], "x" * 40 + "needle on": ["on"], "": [],
+    }
+
+
+def test_random_terms_by_the_index(frame, monkeypatch):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from plumbline.operators import locate
+
+    monkeypatch.setattr(locate, "HEAD", 1)
+    rng = random.Random(5)
+
+    def word(most):
+        return "".join(rng.choice("ab日 ") for _ in range(rng.randint(1, most)))
+
+    terms = [(word(9), rng.choice([None, *range(40)]), rng.choice([None, "u", "v"])) for _ in range(120)]
+    terms = [t for t in terms if len(t[0]) > 2 or rng.random() < 0.2]
+    texts = [word(60) for _ in range(80)]
+    df, listed = frame([(t,) for t in texts], "p string"), frame(terms, "t string, r int, v string")
+    want = Counter((t, first_brute(t, terms)) for t in texts)
+    assert bag(locate.first_contained(df, F.col("p"), listed, "t", "r", "out", value="v", max_terms=0), "p", "out") == want
+
+
 def test_each_term_lies_under_its_rarest_gram(frame):
     from plumbline.operators import locate
 
