@@ -3,12 +3,16 @@ the year table's parts: each against the plain way."""
 
 import random
 from collections import Counter
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from plumbline.operators import clean, joins, lookups
+from plumbline.operators.aggregates import aggregate
+from plumbline.plans import city_jobs as city
 from plumbline.plans import claims, years
+from plumbline.plans.cleaning import Refs, aggregate_cleaned, apply_steps
 
 
 def bag(df, *columns):
@@ -204,3 +208,53 @@ def test_each_term_lies_under_its_rarest_gram(frame):
     listed = frame([("abcdefg", 1, ""), ("bcdefgh", 2, ""), ("abc", 3, ""), ("xy", 4, "")], "_term string, _rank int, _value string")
     got = {r["_term"]: r["_gram"] for r in locate.term_index(listed).collect()}
     assert got == {"abcdefg": "abcdef", "bcdefgh": "cdefgh", "abc": "abc", "xy": "xy"}
+
+
+def _below_first_group(df):
+    """The optimised plan below its lowest group-by."""
+    return str(df._jdf.queryExecution().optimizedPlan().toString()).rsplit("Aggregate [", 1)[1].split("\n", 1)[1]
+
+
+def _spelling_refs(frame):
+    return Refs(
+        frame([("TAMPA", "Hillsborough County", 0)], "city string, county string, ord int"), frame([("00001", "TAMPA")], "zip string, city string"),
+        frame([("TAMPPA", "TAMPA"), ("OUT", None)], "wrong string, fixed string"), frame([("ATLANTA",), ("OCALA",)], "listed string"),
+    )
+
+
+def test_cleaning_steps_see_each_spelling_once(frame):
+    refs, rows = _spelling_refs(frame), [("F", 1, "tampa", 2.5, 1.0, 1.0), ("F", 2, "Atlanta", 2.5, 1.0, 1.0)]
+    facilities = frame(rows, "agency string, id int, city string, square_feet double, land double, structure double")
+    surplus = frame([("tampa", 1, "$2.50")], "city string, line_items long, savings string")
+    employers = frame([("a", "tampa", 2.5)], "agency string, city string, contribution double")
+    travel = frame([("to tampa", 2.5)], "destination string, amount double")
+    certified = frame([(1, "t", "b", "tampa")], "i int, tax_id string, business string, city string")
+    for df in (
+        city.facilities(facilities, refs, "21-22", agency="F"), city.state_surplus(surplus, refs, "21-22"),
+        city.retirement_employers(employers, refs, "21-22"), city.employer_contributions(employers, refs, "21-22"),
+        city.travel(travel, refs, "21-22"), city.certified_businesses(certified, refs, "21-22", order=["i"]),
+    ):
+        # the exclusion list is looked up by hash
+        assert "xxhash64" in str(df._jdf.queryExecution().optimizedPlan().toString())
+        assert "xxhash64" not in _below_first_group(df)
+
+
+@pytest.mark.parametrize("most", [4000, 0])
+@pytest.mark.parametrize("steps", ["U R X S", "R X L S", "S R X", "N L U S R X", "R F X", "T R X", ""])
+def test_sums_per_spelling_are_the_sums_of_the_rows(frame, monkeypatch, most, steps):
+    monkeypatch.setattr(lookups.lookup_of, "__defaults__", (most,))
+    refs, rng = _spelling_refs(frame), random.Random(7)
+    names = ["tampa", " TAMPA", "TAMPPA", "Tamppa ", "ATLANTA", " Ocala", "OUT", " ", "", None]
+    rows = [
+        (rng.choice(names), rng.choice(["a", "TAMPPA", "TAMPA", None]), rng.choice([Decimal("0.0013"), Decimal("7.25"), None]), rng.choice([3, None]))
+        for _ in range(300)
+    ]
+    df = frame(rows + [("lonely", None, None, None)], "city string, name string, amount decimal(18,4), items int")
+    spec = {
+        "names": ("name", "nunique"), "paid": ("amount", "money"), "exact": ("amount", "exact"), "plain": ("amount", "sum"),
+        "items": ("items", "sum"), "rows": ("items", "count"), "share": ("amount", "quantity"),
+    }
+    want = aggregate(apply_steps(df, "city", steps, refs, texts=("name",), present=True), ["city"], spec, present=True)
+    got = aggregate_cleaned(df, "city", steps, refs, spec, texts=("name",))
+    assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in want.schema]
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
