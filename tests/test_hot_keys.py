@@ -239,6 +239,26 @@ def test_cleaning_steps_see_each_spelling_once(frame):
         assert "xxhash64" not in _below_first_group(df)
 
 
+def test_text_that_is_no_number_fails_unless_its_city_is_excluded(frame):
+    refs = _spelling_refs(frame)
+    ddl = "city string, line_items long, savings string"
+    parts = "donee string, line_items long, direct_cost string, federal_cost string, overseas_cost string, service_charge string"
+    donees = frame([("d", "TAMPA", 1), ("o", "OCALA", 1)], "donee string, city string, seq int")
+    spend = "state string, city string, amount string, vendor string"
+    for bad in ("n/a", "1..2", ""):
+        late = lambda c: city.state_surplus(frame([("tampa", 1, "$2.50"), (c, 1, bad)], ddl), refs, "21-22")  # noqa: E731,B023
+        early = lambda d: city.state_surplus(
+            frame([("d", 1, "$1,000.25", "1", "1", "$2"), ("d", 1, "1", None, "x", "1"), (d, 1, "1", "1", bad, None)], parts), refs, "19-20", bridge=donees, order=["seq"]  # noqa: B023
+        )
+        market = lambda c: city.marketplace(frame([("FL", "tampa", "1,002.5", "a"), ("FL", c, bad, "a")], spend), refs, "21-22", home_state="FL")  # noqa: E731,B023
+        assert [r["state_surplus_savings"] for r in late("ATLANTA").collect()] == [2.5]
+        assert [r["state_surplus_savings"] for r in early("o").collect()] == [1000.25]
+        assert [r["marketplace_spend"] for r in market("ocala").collect()] == [1002.5]
+        for df in (late("tampa"), early("d"), market(" tampa")):
+            with pytest.raises(Exception, match="no number"):
+                df.collect()
+
+
 @pytest.mark.parametrize("most", [4000, 0])
 @pytest.mark.parametrize("steps", ["U R X S", "R X L S", "S R X", "N L U S R X", "R F X", "T R X", ""])
 def test_sums_per_spelling_are_the_sums_of_the_rows(frame, monkeypatch, most, steps):
